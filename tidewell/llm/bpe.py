@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -153,6 +154,12 @@ class Codec(Pieces):
         return b"".join([text.get(i, b"") for i in ids.tolist()]).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def codec(path: str) -> Codec:
+    """One a worker process, for all its tasks: what is remembered only saves time."""
+    return Codec(path)
+
+
 def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, ids array<int>, decoded string, one row per row of docs.
 
@@ -162,14 +169,14 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        made_codec = codec(path)
         for batch in slices(batches):
-            made = codec.encode(texts_of(batch))
+            made = made_codec.encode(texts_of(batch))
             sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("<i4")
             flat = np.frombuffer(b"".join(made), "<i4")
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            decoded = pa.array([codec.decode(np.frombuffer(x, "<i4")) for x in made], pa.string())
+            decoded = pa.array([made_codec.decode(np.frombuffer(x, "<i4")) for x in made], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, decoded], names=["doc_id", "ids", "decoded"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewell.llm.common import columns, slices, staged, table, texts_of
-from tidewell.llm.tokens import Encoder
+from tidewell.llm.tokens import encoder
 
 WIDTH, END_ID = 2048, 1
 
@@ -39,9 +39,9 @@ def pack(docs: DataFrame, vocabulary: str | None = None, width: int = WIDTH, end
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, at = Encoder(path), 0
+        encode_all, at = encoder(path).encode, 0
         for batch in slices(batches):
-            ids = [x + end for x in encoder.encode(texts_of(batch))]
+            ids = [x + end for x in encode_all(texts_of(batch))]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             starts = at + np.cumsum(sizes) - sizes
             at += int(sizes.sum())

@@ -11,6 +11,7 @@ import json
 import os
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 
@@ -98,12 +99,13 @@ class Pieces:
 class Encoder(Pieces):
     """UTF-8 texts -> ids as little-endian unsigned 32-bit integers, by the tokenizers library."""
 
-    def __init__(self, path: str, bound: int = 1_000_000):
+    def __init__(self, path: str, bound: int = 1_400_000):
         tokenizer = load(path)
-        ending = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix")
-        size = tokenizer.get_vocab_size()
-        mark = [(tokenizer.id_to_token(i) or "").endswith(ending) if ending else (tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)]
-        edge = np.array(mark)
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        ending = model.get("end_of_word_suffix")
+        edge = np.zeros(tokenizer.get_vocab_size(), bool)
+        edge[[i for token, i in model["vocab"].items() if (token.endswith(ending) if ending else token.startswith("\u0120"))]] = True
 
         def learn(pieces: list[bytes]) -> list[bytes]:
             return [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
@@ -121,3 +123,9 @@ class Encoder(Pieces):
             return [raw[i:j] for i, j in zip(starts, at.tolist(), strict=True)]
 
         super().__init__(learn, words, bound)
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One a worker process, for all its tasks: what is remembered only saves time."""
+    return Encoder(path)
