@@ -73,27 +73,33 @@ class Pieces:
         if len(self.spaced) + len(self.tails) > self.bound:
             self.spaced.clear()
             self.tails.clear()
-        out: list[bytes] = []
-        cut: list[list[bytes]] = []
+        get = self.spaced.get
+        out: list[list[bytes | None]] = []
+        gaps: list[tuple[list[bytes | None], list[int], list[bytes]]] = []
         for text in texts:
-            parts: list[bytes] = []
             if not text:
-                out.append(b"")
+                out.append([])
             elif odd(text):
-                out.append(self.learn([text])[0])
+                out.append(self.learn([text]))
             elif any(x in text for x in RARE) or any(x in text for x in RUNS):
                 found = PIECE.findall(text)
                 unlike = [*dict.fromkeys(found)]
-                out.append(b"".join(map(dict(zip(unlike, self.learn(unlike), strict=True)).__getitem__, found)))
+                out.append([*map(dict(zip(unlike, self.learn(unlike), strict=True)).__getitem__, found)])
             else:
-                first, *parts = text.replace(b"\n", b" \n").split(b" ")
-                out.append(self.learn([first])[0] if first else b"")
-            cut.append(parts)
-        new = set().union(*cut).difference(self.spaced)
-        if new:
-            self._spaced(new)
-        known = self.spaced.__getitem__
-        return [head + b"".join(map(known, parts)) for head, parts in zip(out, cut, strict=True)]
+                parts = text.replace(b"\n", b" \n").split(b" ")
+                made = [*map(get, parts)]
+                made[0] = self.learn(parts[:1])[0] if parts[0] else b""
+                if None in made:
+                    at = [i for i, x in enumerate(made) if x is None]
+                    gaps.append((made, at, [parts[i] for i in at]))
+                out.append(made)
+        if gaps:
+            self._spaced(set().union(*(parts for _, _, parts in gaps)))
+            known = self.spaced
+            for made, at, parts in gaps:
+                for i, part in zip(at, parts, strict=True):
+                    made[i] = known[part]
+        return [b"".join(made) for made in out]
 
 
 class Encoder(Pieces):
