@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm.bpe import op9_bpe_round_trip
+from tidewell.llm.jaccard_join import op1_jaccard_join
 from tidewell.llm.packing import op10_packing
 from tidewell.llm.quality import op6_quality_rules
 from tidewell.llm.secrets import op3_secret_scans
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_secret_scans, op6_quality_rules, op9_bpe_round_trip, op10_packing)}
+    return {f.__name__: f for f in (op1_jaccard_join, op3_secret_scans, op6_quality_rules, op9_bpe_round_trip, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
