@@ -11,11 +11,12 @@ from tidewell.llm.jaccard_join import op1_jaccard_join
 from tidewell.llm.packing import op10_packing
 from tidewell.llm.quality import op6_quality_rules
 from tidewell.llm.secrets import op3_secret_scans
+from tidewell.llm.suffix_dedup import op2_suffix_dedup
 from tidewell.llm.substring_dedup import op7_substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op3_secret_scans, op6_quality_rules, op7_substring_dedup, op9_bpe_round_trip, op10_packing)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_suffix_dedup, op3_secret_scans, op6_quality_rules, op7_substring_dedup, op9_bpe_round_trip, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
