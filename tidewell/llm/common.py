@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -35,9 +36,16 @@ def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    tidy(spark)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let go of shuffle files that no plan needs any more: Spark deletes them once their plans are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete staging tables that no later plan reads."""
     for path in paths:

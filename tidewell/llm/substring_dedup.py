@@ -95,7 +95,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, k: int = K, memory: int
     parts = compare(strings(base, wanted, units, ["digest", "first"]), units, memory)
     own = found.join(kinds.select("minimiser", "digest", "first"), ["minimiser", "digest"]).filter("doc_id = first").select("minimiser", "digest", "doc_id", "key", "start")
     partly = parts.join(own, ["minimiser", "digest"]).select("doc_id", "key", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high")).alias("end"))
-    spans, spans_path = staged(whole.unionByName(partly), "spans")
+    whole, _ = staged(whole, "spans")
+    partly, _ = staged(partly, "spans")
+    spans = whole.unionByName(partly)
     discard(docs.sparkSession, path, kinds_path)
 
     def make(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, int, bytes]:

@@ -89,8 +89,13 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, k: int = K, shard: int =
     whole = found.join(kinds.filter("n > 1").select("minimiser", "digest"), ["minimiser", "digest"]).select("key", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("windows") + width - 1).cast("long").alias("end"))
     unlike = kinds.groupBy("minimiser").agg(F.count("*").alias("unlike"), F.max(F.col("twice") & (F.col("n") == 1)).alias("twice")).filter("unlike > 1 or twice").select("minimiser")
     wanted = kinds.join(unlike, "minimiser").select("key", "minimiser", "start", "windows")
-    spans, spans_path = staged(whole.unionByName(sort_shards(strings(base, wanted, units, []), width, shard, memory)).distinct(), "spans")
-    discard(docs.sparkSession, path, kinds_path)
+    whole, _ = staged(whole, "spans")
+    discard(docs.sparkSession, path)
+    wanted, wanted_path = staged(wanted, "wanted")
+    discard(docs.sparkSession, kinds_path)
+    parts, _ = staged(sort_shards(strings(base, wanted, units, []), width, shard, memory), "spans")
+    discard(docs.sparkSession, wanted_path)
+    spans = whole.unionByName(parts).distinct()
 
     def make(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, int, bytes]:
         kept, at = [], 0
