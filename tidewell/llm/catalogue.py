@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm.bpe import op9_bpe_round_trip
+from tidewell.llm.chunk_store import op4_chunk_store
 from tidewell.llm.jaccard_join import op1_jaccard_join
 from tidewell.llm.packing import op10_packing
 from tidewell.llm.quality import op6_quality_rules
@@ -16,7 +17,7 @@ from tidewell.llm.substring_dedup import op7_substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_suffix_dedup, op3_secret_scans, op6_quality_rules, op7_substring_dedup, op9_bpe_round_trip, op10_packing)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_suffix_dedup, op3_secret_scans, op4_chunk_store, op6_quality_rules, op7_substring_dedup, op9_bpe_round_trip, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
