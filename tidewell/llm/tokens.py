@@ -52,6 +52,7 @@ class Pieces:
         self.learn, self.words, self.bound = learn, words or (lambda found: learn([b" " + w for w in found])), bound
         self.spaced: dict[bytes, bytes] = {}  # by what follows a space, or else begins with a line feed
         self.tails: dict[bytes, bytes] = {}
+        self.heads: dict[bytes, bytes] = {b"": b""}  # a text's first piece, without a space before it
 
     def _spaced(self, parts: set[bytes]) -> None:
         """Letters and the ASCII punctuation after them never share a token, so each is learnt by itself."""
@@ -73,6 +74,8 @@ class Pieces:
         if len(self.spaced) + len(self.tails) > self.bound:
             self.spaced.clear()
             self.tails.clear()
+        if len(self.heads) > self.bound // 10:
+            self.heads = {b"": b""}
         get = self.spaced.get
         out: list[list[bytes | None]] = []
         gaps: list[tuple[list[bytes | None], list[int], list[bytes]]] = []
@@ -88,7 +91,10 @@ class Pieces:
             else:
                 parts = text.replace(b"\n", b" \n").split(b" ")
                 made = [*map(get, parts)]
-                made[0] = self.learn(parts[:1])[0] if parts[0] else b""
+                head = self.heads.get(parts[0])
+                if head is None:
+                    head = self.heads[parts[0]] = self.learn(parts[:1])[0]
+                made[0] = head
                 if None in made:
                     at = [i for i, x in enumerate(made) if x is None]
                     gaps.append((made, at, [parts[i] for i in at]))
