@@ -46,6 +46,13 @@ def tidy(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Arrow batches of 8 MB at most: rows here may hold texts of 100 kB and more, and a worker holds a batch or two."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
+    return spark
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete staging tables that no later plan reads."""
     for path in paths:
@@ -122,4 +129,4 @@ def columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
