@@ -100,7 +100,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
                     leaves.append(name)
                     recipe.append(name + (stop - at).to_bytes(4, "little"))
                     if name not in met:
-                        if len(met) > 500_000:
+                        if len(met) > 200_000:
                             met.clear()
                         met.add(name)
                         names.append(name)
