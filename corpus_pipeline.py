@@ -1,22 +1,61 @@
-"""Stages that make training sequences of a table of documents."""
+"""From a table of documents to training sequences.
+
+Each stage works on all that the stage before it kept, and returns the columns of documents; the last returns pieces of
+packed sequences.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewell.llm.common import staged, table
-from tidewell.llm.packing import digest, pack
+from tidewell.llm import jaccard_join, packing, quality, secrets, suffix_dedup
+from tidewell.llm.common import staged, table, tune
 
+#: Packing has no counterpart in SQL; the tests hold the pipeline against a brute-force version.
 ORACLE_SQL: str | None = None
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return digest(pack(docs))
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.assess(docs).filter("quality.kept").select(*[f"`{c}`" for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, the document with the smallest doc_id."""
+    return jaccard_join.keep_one(docs)
+
+
+def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without what long repeated strings cover. A cut through a character takes the rest of it along; a text
+    that nothing is left of goes with its document."""
+    return suffix_dedup.cut_repeats(docs)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with a mark in place of each secret."""
+    return with_size(secrets.redact(docs))
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 2048 tokens, with checksums of their ids."""
+    return packing.digest(packing.pack(docs))
+
+
+def with_size(docs: DataFrame) -> DataFrame:
+    """n_chars follows the text where the table has it."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("packing", packing)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", lambda spark, docs, sf_dir: quality_rules(tune(spark), docs, sf_dir)),
+    ("jaccard_join", lambda spark, docs, sf_dir: near_duplicates(tune(spark), docs, sf_dir)),
+    ("suffix_dedup", lambda spark, docs, sf_dir: with_size(repeated_substrings(tune(spark), docs, sf_dir))),
+    ("secret_scans", lambda spark, docs, sf_dir: secret_scans(tune(spark), docs, sf_dir)),
+    ("packing", lambda spark, docs, sf_dir: sequences(tune(spark), docs, sf_dir)),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,9 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import discard, staged, table
+from tidewell.llm.common import discard, slices, staged, table, texts_of
 from tidewell.llm.induced_sort import InducedSort, equal_neighbours
-from tidewell.llm.windows import Units, keyed, occurrences, strings, with_spans
+from tidewell.llm.windows import Units, keyed, merged, occurrences, strings, with_spans
 
 WIDTH, K = 200, 32
 
@@ -72,14 +72,9 @@ def sort_shards(found: DataFrame, width: int, shard: int, memory: int) -> DataFr
     return found.repartition("minimiser").sortWithinPartitions("minimiser").select("minimiser", "key", "start", "string").mapInArrow(run, "key long, start long, end long")
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, k: int = K, shard: int = 1 << 22, memory: int = 1 << 26) -> DataFrame:
-    """doc_id, n (bytes), removed, spans (maximal removed runs), kept (binary).
-
-    A byte goes if a string of `width` bytes that covers it also starts anywhere else in the table, the same row
-    included. Null texts are empty; shorter texts lose nothing. Rows that repeat lose all of a long enough text. A null
-    doc_id stays null. An empty table gives no rows. Other columns aren't read.
-    """
-    units, base = Units("bytes", width, k), keyed(docs)
+def find_repeats(base: DataFrame, width: int = WIDTH, k: int = K, shard: int = 1 << 22, memory: int = 1 << 26) -> DataFrame:
+    """key, start, end of repeated bytes, overlapping, for the texts of base (doc_id, key, text; see windows.keyed)."""
+    spark, units = base.sparkSession, Units("bytes", width, k)
     found, path = staged(occurrences(base.withColumn("doc_id", F.lit(0).cast("long")), units).drop("doc_id"), "occurrences")
     one = F.min(F.struct("key", "start")).alias("place")
     kinds, kinds_path = staged(
@@ -90,23 +85,62 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, k: int = K, shard: int =
     unlike = kinds.groupBy("minimiser").agg(F.count("*").alias("unlike"), F.max(F.col("twice") & (F.col("n") == 1)).alias("twice")).filter("unlike > 1 or twice").select("minimiser")
     wanted = kinds.join(unlike, "minimiser").select("key", "minimiser", "start", "windows")
     whole, _ = staged(whole, "spans")
-    discard(docs.sparkSession, path)
+    discard(spark, path)
     wanted, wanted_path = staged(wanted, "wanted")
-    discard(docs.sparkSession, kinds_path)
+    discard(spark, kinds_path)
     parts, _ = staged(sort_shards(strings(base, wanted, units, []), width, shard, memory), "spans")
-    discard(docs.sparkSession, wanted_path)
-    spans = whole.unionByName(parts).distinct()
+    discard(spark, wanted_path)
+    return whole.unionByName(parts).distinct()
+
+
+def remaining(text: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    kept, at = [], 0
+    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+        kept.append(text[at:a])
+        at = b
+    kept.append(text[at:])
+    return b"".join(kept)
+
+
+def remove_repeats(docs: DataFrame, width: int = WIDTH, k: int = K, shard: int = 1 << 22, memory: int = 1 << 26) -> DataFrame:
+    """doc_id, n (bytes), removed, spans (maximal removed runs), kept (binary).
+
+    A byte goes if a string of `width` bytes that covers it also starts anywhere else in the table, the same row
+    included. Null texts are empty; shorter texts lose nothing. Rows that repeat lose all of a long enough text. A null
+    doc_id stays null. An empty table gives no rows. Other columns aren't read.
+    """
+    base = keyed(docs)
 
     def make(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, int, bytes]:
-        kept, at = [], 0
-        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-            kept.append(text[at:a])
-            at = b
-        kept.append(text[at:])
-        out = b"".join(kept)
+        out = remaining(text, starts, ends)
         return len(text), len(text) - len(out), len(starts), out
 
-    return with_spans(base, spans, ["key"], make)
+    return with_spans(base, find_repeats(base, width, k, shard, memory), ["key"], make)
+
+
+def cut_repeats(docs: DataFrame, width: int = WIDTH, k: int = K) -> DataFrame:
+    """The columns of docs, with texts that remove_repeats leaves; a character that loses a byte goes wholly. Rows of
+    whose text nothing but white space is left go, rows that lose nothing stay as they are."""
+    lists = find_repeats(keyed(docs), width, k).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    names = docs.columns
+    own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    text, short = f"c{names.index('text')}", list(own.columns)
+    joined = own.withColumn("key", F.xxhash64(F.coalesce(text, F.lit("")))).join(lists, "key", "left").select(*short, "spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            keep, texts = [], []
+            for raw, spans in zip(texts_of(batch, text), batch.column("spans").to_pylist(), strict=True):
+                if spans:
+                    start, end = merged(np.array([x["start"] for x in spans]), np.array([x["end"] for x in spans]))
+                    raw = remaining(raw, start, end).decode("utf-8", "ignore").encode()
+                keep.append(not spans or bool(raw.strip()))
+                texts.append(raw)
+            columns = [pa.array(texts, pa.binary()).cast(pa.string()) if c == text else batch.column(c) for c in short]
+            yield pa.RecordBatch.from_arrays(columns, names=short).filter(pa.array(keep))
+
+    made = joined.mapInArrow(run, own.schema)
+    return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

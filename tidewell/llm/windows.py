@@ -158,6 +158,15 @@ def strings(docs: DataFrame, wanted: DataFrame, units: Units, carry: list[str])
     return one.join(lists, "key").select("key", "text", "runs").mapInArrow(run, schema)
 
 
+def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans by start, those that touch or overlap made one."""
+    if len(start) < 2:
+        return start, end
+    reach = np.maximum.accumulate(end)
+    first = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
+    return start[first], reach[np.append(first[1:], len(end)) - 1]
+
+
 def with_spans(docs: DataFrame, spans: DataFrame, by: list[str], make: Callable[[bytes, np.ndarray, np.ndarray], tuple]) -> DataFrame:
     """doc_id of each row of docs and make(text, starts, ends) of the merged spans (by.., start, end) that it has."""
     lists = spans.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
@@ -170,12 +179,7 @@ def with_spans(docs: DataFrame, spans: DataFrame, by: list[str], make: Callable[
             for text, found in zip(texts_of(batch), batch.column("spans"), strict=True):
                 flat = found.values
                 start, end = (flat.field(i).to_numpy() for i in (0, 1)) if flat is not None and len(flat) else (np.empty(0, np.int64),) * 2
-                if len(start) > 1:
-                    reach = np.maximum.accumulate(end)
-                    fresh = np.concatenate([[True], start[1:] > reach[:-1]])
-                    first = np.flatnonzero(fresh)
-                    start, end = start[first], reach[np.append(first[1:], len(end)) - 1]
-                rows.append(make(text, start, end))
+                rows.append(make(text, *merged(start, end)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True))], names=["doc_id", "n", "removed", "spans", "kept"])
 
     return joined.mapInArrow(run, "doc_id long, n long, removed long, spans long, kept binary")
