@@ -45,17 +45,22 @@ def merkle(leaves: list[bytes]) -> bytes:
     return leaves[0] if leaves else digest(b"")
 
 
-def cuts(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of one document. The hash at an id weighs the ids before it by powers of two, so it rolls; it
-    is grown by doubling the reach."""
-    rolling, size = mix64(ids.astype(U64) + U64(0x5851F42D4C957F2D)), 1
+def rolling(ids: np.ndarray) -> np.ndarray:
+    """Whether the rolling hash calls for a cut behind each id. The hash at an id weighs the ids before it by powers of
+    two, so it rolls; it is grown by doubling the reach."""
+    grown, size = mix64(ids.astype(U64) + U64(0x5851F42D4C957F2D)), 1
     while size < REACH:
-        longer = rolling.copy()
-        longer[size:] += rolling[:-size] << U64(size)
-        rolling, size = longer, size * 2
-    marks = np.flatnonzero((rolling >> U64(40)) % U64(MEAN) == 0) + 1
-    out, at, n = [], 0, len(ids)
-    for mark in marks.tolist():
+        longer = grown.copy()
+        longer[size:] += grown[:-size] << U64(size)
+        grown, size = longer, size * 2
+    return (grown >> U64(40)) % U64(MEAN) == 0
+
+
+def cuts(marks: list[int], n: int) -> list[int]:
+    """Ends of the chunks of a document of n ids, from the ends that the hash calls for. As none is within LEAST ids of
+    the document's start, it doesn't matter that the hash there looks back into another document."""
+    out, at = [], 0
+    for mark in marks:
         while mark - at > MOST:
             at += MOST
             out.append(at)
@@ -68,10 +73,6 @@ def cuts(ids: np.ndarray) -> list[int]:
     return [*out, n]
 
 
-def packed(ids: np.ndarray) -> bytes:
-    return b"2" + ids.astype("<u2").tobytes() if ids.max() < 65536 else b"4" + ids.astype("<u4").tobytes()
-
-
 def unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if raw[:1] == b"2" else "<u4", offset=1)
 
@@ -88,26 +89,37 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A document (digest null; content: digests and sizes of its chunks) or a chunk that this task has not met."""
         encode_all = encoder(file).encode
+        width = 2 if max(encoder(file).size, end_id + 1) <= 65536 else 4  # by vocabulary, so that equal ids are equal bytes
         met: set[bytes] = set()
         for batch in slices(batches):
             rows, sizes, recipes, roots, names, contents = [], [], [], [], [], []
-            for row, raw in enumerate(encode_all(texts_of(batch))):
-                ids = np.frombuffer(raw + end, "<u4")
-                leaves, at, recipe = [], 0, []
-                for stop in cuts(ids):
-                    chunk = packed(ids[at:stop])
+            raws = [raw + end for raw in encode_all(texts_of(batch))]
+            ids = np.frombuffer(b"".join(raws), "<u4")
+            flat, head = ids.astype(f"<u{width}").tobytes(), str(width).encode()
+            marks, first = (np.flatnonzero(rolling(ids)) + 1).tolist(), 0
+            at_mark = 0
+            for row, raw in enumerate(raws):
+                n = len(raw) // 4
+                own = []
+                while at_mark < len(marks) and marks[at_mark] <= first + n:
+                    own.append(marks[at_mark] - first)
+                    at_mark += 1
+                leaves, at, recipe = [], first, []
+                for stop in cuts(own, n):
+                    chunk = head + flat[at * width : (first + stop) * width]
                     name = digest(chunk)
                     leaves.append(name)
-                    recipe.append(name + (stop - at).to_bytes(4, "little"))
+                    recipe.append(name + (first + stop - at).to_bytes(4, "little"))
                     if name not in met:
                         if len(met) > 200_000:
                             met.clear()
                         met.add(name)
                         names.append(name)
                         contents.append(chunk)
-                    at = stop
+                    at = first + stop
+                first += n
                 rows.append(row)
-                sizes.append(len(ids))
+                sizes.append(n)
                 recipes.append(b"".join(recipe))
                 roots.append(merkle(leaves))
             ids_of = batch.column("doc_id").take(pa.array(rows + [None] * len(names), pa.int32()))

@@ -177,6 +177,7 @@ class Encoder(Pieces):
         def learn(pieces: list[bytes]) -> list[bytes]:
             return [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
 
+        self.size = tokenizer.get_vocab_size()
         super().__init__(learn, ranked(model), bound)
 
 
