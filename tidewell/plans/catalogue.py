@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.functions import dates, text
+from tidewell.functions import dates, html, text
 from tidewell.operators import cadence, calendar, history, layout, linking, merging, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,6 +268,12 @@ def q32_html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.groupBy("href").agg(F.count_distinct("page_id").alias("pages")).filter("pages <= 40")
 
 
+@query()
+def q33_html_article(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = html.articles(table(spark, sf_dir, "pages"), "page_id", "html")
+    return made.select("page_id", "title", *[F.size(c).cast("long").alias(c) for c in ("headings", "paragraphs", "links", "images")], "tables", "content_hash")
+
+
 @query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages")
 def q34_html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.html_title(F.col("html")).alias("title"))
