@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewell.llm.bpe import op9_bpe_round_trip
 from tidewell.llm.chunk_store import op4_chunk_store
 from tidewell.llm.jaccard_join import op1_jaccard_join
+from tidewell.llm.oracles import OP1_SQL, OP2_SQL, OP7_SQL
 from tidewell.llm.packing import op10_packing
 from tidewell.llm.quality import op6_quality_rules
 from tidewell.llm.secrets import op3_secret_scans
@@ -23,4 +24,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_top_k": OP8_SQL}
+    return {"op1_jaccard_join": OP1_SQL, "op2_suffix_dedup": OP2_SQL, "op7_substring_dedup": OP7_SQL, "op8_exact_top_k": OP8_SQL}
