@@ -130,7 +130,8 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
             )
 
     made, made_path = staged(columns(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id", "text").mapInArrow(encode, "doc_id long, n_tokens long, root binary, digest binary, content binary"), "encoded")
-    chunks = made.filter("digest is not null").groupBy("digest").agg(F.first("content").alias("content"))
+    # A task has met most of its own repeats, so rows are dealt out first and sorted once.
+    chunks = made.filter("digest is not null").select("digest", "content").repartition("digest").groupBy("digest").agg(F.first("content").alias("content"))
     chunks.write.option("compression", "zstd").parquet(f"{path}/chunks")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,12 +178,13 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
             row = np.repeat(np.arange(len(raw)), [len(x) // 20 for x in raw])
             at = np.concatenate([np.arange(len(x) // 20) for x in raw]) if raw else np.empty(0, np.int64)
             names = [raw[r][20 * k : 20 * k + 16] for r, k in zip(row.tolist(), at.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("part").take(pa.array(row)), batch.column("local_start").take(pa.array(row)), pa.array(at.astype(np.int32)), pa.array(names, pa.binary())], names=["part", "local_start", "place", "digest"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row)) for c in document), pa.array(at.astype(np.int32)), pa.array(names, pa.binary())], names=[*document, "place", "digest"])
 
-    wanted = recipes.select("part", "local_start", "recipe").mapInArrow(split, "part int, local_start long, place int, digest binary")
+    document = ["part", "local_start", "doc_id", "n_tokens", "root"]
+    wanted = recipes.select(*document, "recipe").mapInArrow(split, "part int, local_start long, doc_id long, n_tokens long, root binary, place int, digest binary")
     found = wanted.join(spark.read.parquet(f"{path}/chunks"), "digest", "left")
-    whole = found.groupBy("part", "local_start").agg(F.sort_array(F.collect_list(F.struct("place", "digest", "content"))).alias("chunks"))
-    joined = whole.join(recipes.drop("recipe"), ["part", "local_start"]).select("part", "local_start", "doc_id", "n_tokens", "root", "chunks.digest", "chunks.content")
+    whole = found.groupBy(*document).agg(F.sort_array(F.collect_list(F.struct("place", "digest", "content"))).alias("chunks"))
+    joined = whole.select(*document, "chunks.digest", "chunks.content")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
