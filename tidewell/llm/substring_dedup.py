@@ -92,13 +92,15 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, k: int = K, memory: int
     whole = found.join(kinds.filter("n > 1").select("minimiser", "digest", "first"), ["minimiser", "digest"]).filter("doc_id > first").select("doc_id", "key", "start", (F.col("start") + F.col("windows") + width - 1).alias("end"))
     # What its first document has of it goes as far as other strings of earlier documents have the windows.
     wanted = kinds.join(unlike, "minimiser").select("key", "minimiser", "start", "windows", "digest", "first")
-    parts = compare(strings(base, wanted, units, ["digest", "first"]), units, memory)
+    wanted, wanted_path = staged(wanted, "wanted")
+    parts, parts_path = staged(compare(strings(base, wanted, units, ["digest", "first"]), units, memory), "parts")
+    discard(docs.sparkSession, wanted_path)
     own = found.join(kinds.select("minimiser", "digest", "first"), ["minimiser", "digest"]).filter("doc_id = first").select("minimiser", "digest", "doc_id", "key", "start")
     partly = parts.join(own, ["minimiser", "digest"]).select("doc_id", "key", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high")).alias("end"))
     whole, _ = staged(whole, "spans")
     partly, _ = staged(partly, "spans")
     spans = whole.unionByName(partly)
-    discard(docs.sparkSession, path, kinds_path)
+    discard(docs.sparkSession, path, kinds_path, parts_path)
 
     def make(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, int, bytes]:
         words = text.split()
