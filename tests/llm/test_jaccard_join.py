@@ -72,6 +72,16 @@ def test_edges(spark):
     assert link(docs.filter(F.lit(False))).count() == 0
 
 
+def test_letter_case(spark):
+    text = " ".join(f"w{i} xé" for i in range(40))
+    rows = [(1, text), (2, text.title().replace("É", "é")), (3, "X " + text.replace("w", "W")), (4, text.replace("é", "É")), (5, "a B c d e A b C d E"), (6, "a b c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in link(docs).collect()}
+    assert got[1] == got[2] == (76, 1) and got[3] == (77, 1)
+    assert got[4] == (76, 4) and got[5] == (5, 5) and got[6] == (1, 6)
+    assert sorted(r.doc_id for r in keep_one(docs).collect()) == [1, 4, 5, 6]
+
+
 def test_every_similar_pair_shares_a_signature():
     rng = np.random.default_rng(3)
     for n in [1, 3, 5, 8, 9, 10, 13, 19, 30, 47, 73, 115, 180, 300]:

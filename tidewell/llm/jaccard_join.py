@@ -88,8 +88,8 @@ class Shingler:
         self.n, self.word, self.power = n, WordHash(), powers(BASE, n)
 
     def hashes(self, text: bytes) -> np.ndarray:
-        """Distinct 64-bit hashes of the text's shingles; of all its words as one, if they are fewer."""
-        words = text.split()
+        """Distinct 64-bit hashes of the text's shingles, A-Z taken as a-z; of all its words as one, if they are fewer."""
+        words = text.lower().split()
         if not words:
             return np.empty(0, U64)
         w = self.word.many(words)
@@ -263,6 +263,8 @@ def fewest(values: np.ndarray, where: np.ndarray, n: int) -> np.ndarray:
 
 
 def match_part(key: np.ndarray, row: np.ndarray, head: np.ndarray, nodes: np.ndarray, rank: np.ndarray, found: list, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    if not len(key):
+        return
     order = np.argsort(key >> U64(1), kind="stable")
     ranked = (key >> U64(1))[order]
     same = ranked[1:] == ranked[:-1]
@@ -327,7 +329,7 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) ->
     """Those of the pairs (a, b) whose texts link."""
 
     def shingles(text: bytes) -> set[tuple[bytes, ...]]:
-        words = text.split()
+        words = text.lower().split()
         return set(zip(*(words[j:] for j in range(n)), strict=False)) if len(words) >= n else {tuple(words)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,7 +393,7 @@ def long_list_pairs(lists: DataFrame, nodes: DataFrame, label: DataFrame, num: i
 def link(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id long, text string).
 
-    Two texts link when den * (common shingles) >= num * (all shingles). component_id is the smallest doc_id that links
+    Two texts link when den * (common shingles) >= num * (all shingles), with A-Z (ASCII only) taken as a-z. component_id is the smallest doc_id that links
     lead to; a text without words links with nothing and is its own component. Null texts are empty. Rows that repeat
     are components of one; a null doc_id never gives a component its name unless all its doc_ids are null, and then the
     component is null. An empty table gives no rows. Columns other than doc_id and text are not read.
