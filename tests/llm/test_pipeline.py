@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidewell.llm import suffix_dedup
+from tidewell.llm.jaccard_join import keep_one
 from tidewell.llm.secrets import compiled, in_code_points, RULES
 
 SF = "/root/testdata/sf0.001"
@@ -79,6 +80,17 @@ def test_stages_with_odd_tables(spark):
             assert name == "packing" or out.columns == docs.columns
 
 
+def test_a_repeated_document_stays_once(spark):
+    clean, other = (" ".join(f"{k}{i} of the {i * 7 % 31}" for i in range(60)) for k in ("word", "thing"))
+    rows = [(2, clean, "a"), (2, clean, "a"), (5, clean, "b"), (2, other, "c"), (7, other, "d"), (7, other, "d"), (3, "", "e"), (3, "", "e"), (None, clean, "f"), (9, "lone", "g")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, key string").repartition(3)
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.key for r in kept.collect()) == ["a", "c", "e", "e", "f", "g"]
+    left = suffix_dedup.cut_repeats(kept.filter("doc_id is not null")).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == sorted([(2, clean), (2, other), (3, ""), (3, ""), (9, "lone")])
+
+
 def test_cut_goes_through_no_character(spark):
     same = "é" * 150
     docs = spark.createDataFrame([(1, "a" + same + "b"), (2, "ĩ" + same)], "doc_id long, text string")

@@ -398,13 +398,18 @@ def link(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN) -> D
     are components of one; a null doc_id never gives a component its name unless all its doc_ids are null, and then the
     component is null. An empty table gives no rows. Columns other than doc_id and text are not read.
     """
+    return linked(docs, n, num, den, "doc_id", "n_shingles", "component_id")
+
+
+def linked(docs: DataFrame, n: int, num: int, den: int, *wanted: str) -> DataFrame:
+    """The wanted ones of link's columns, key (the text's hash) and component (its name among sets; null without words)."""
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     keyed = base.withColumn("key", F.xxhash64(F.coalesce("text", F.lit(""))))
     buckets = max(8, base.rdd.getNumPartitions())
     found, found_path = staged(match(emit(keyed, buckets, n, num, den), buckets, num, den), "found")
     paths = [found_path]
-    meta = found.filter("kind = 2").select(F.col("a").alias("node"), F.when(F.col("known"), F.col("b")).alias("doc_id"), F.col("n").alias("n_shingles"))
+    meta = found.filter("kind = 2").select(F.col("a").alias("node"), F.when(F.col("known"), F.col("b")).alias("doc_id"), F.col("n").alias("n_shingles"), F.col("star").alias("key"))
     pairs, path = staged(found.filter("kind = 0").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("n").alias("n"), F.sum("star").alias("star"), F.min("spare").alias("least")), "pairs")
     paths.append(path)
     lists = found.filter("kind = 1").select("a", "b", "n", "band", "spare", "wide")
@@ -446,9 +451,9 @@ def link(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN) -> D
 
     classes = meta.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     classes = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = classes.join(classes.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "component_id")
+    named = classes.join(classes.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "component", "component_id")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    made, _ = staged(meta.join(named, "node", "left").select("doc_id", "n_shingles", own.alias("component_id")), "linked")
+    made, _ = staged(meta.join(named, "node", "left").withColumn("component_id", own).select(*wanted), "linked")
     discard(spark, *paths)
     return made
 
@@ -456,10 +461,21 @@ def link(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN) -> D
 def keep_one(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """The row with the smallest doc_id of each component; of rows that repeat with it, one. All rows without words and
     rows with a null doc_id stay, for they name no component."""
-    linked = link(columns(docs, "doc_id", "text"), n, num, den)
-    gone = linked.filter("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept
+    rows = linked(columns(docs, "doc_id", "text"), n, num, den, "doc_id", "key", "n_shingles", "component").filter("n_shingles > 0 and doc_id is not null")
+    # One (doc_id, key) a component stays; the rows that have it are told apart by nothing that was read, and one stays.
+    texts = rows.groupBy("doc_id", "key", "component").agg(F.count("*").alias("n"))
+    first = texts.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("first")).select(F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("key"), F.lit(True).alias("stays"))
+    fate, _ = staged(texts.join(first, ["doc_id", "key"], "left").filter("stays is null or n > 1").select(F.col("doc_id").alias("of_doc"), F.col("key").alias("of_key"), F.col("stays").isNotNull().alias("stays")), "fate")
+    names = docs.columns
+    own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    doc, short = F.col(f"c{names.index('doc_id')}").cast("long"), list(own.columns)
+    keyed = own.withColumn("key", F.xxhash64(F.coalesce(f"c{names.index('text')}", F.lit(""))))
+    same = (doc == F.col("of_doc")) & (F.col("key") == F.col("of_key"))
+    kept = keyed.join(fate, same, "left_anti").select(*short)
+    repeated = keyed.join(fate.filter("stays"), same, "left_semi")
+    once = repeated.groupBy(doc.alias("doc"), "key").agg(F.first(F.struct(*short)).alias("row"))
+    made = kept.unionByName(once.select(*[F.col(f"row.{c}").alias(c) for c in short]))
+    return made.select(*[F.col(c).alias(names[i]) for i, c in enumerate(short)])
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
