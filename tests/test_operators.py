@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import dates, text
 from tidewell.operators import calendar, history, layout, linking
+from tidewell.plans.catalogue import QUERIES
 from tidewell.sources import readers, sinks
 from tidewell.streaming.upserts import newest, upsert_stream
 
@@ -115,3 +116,16 @@ def test_upsert_stream(spark, tmp_path):
         upsert_stream(stream, "id", folder, f"file://{tmp_path}/progress").awaitTermination()
         assert newest(spark, folder, stream.schema).count() == 2 + k
     assert sorted(tuple(r) for r in newest(spark, folder, stream.schema).collect()) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def fixture(spark, folder, **tables):
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_passages_are_whole(spark, tmp_path):
+    passage = "An opening that is longer than sixty characters, as most are. " + "Then comes a second sentence, and a third one to end with."
+    texts = [f"x {passage} y", passage[:70] + " and another end", passage[62:], passage, None, ""]
+    at = fixture(spark, tmp_path, documents=(list(enumerate(texts)), "doc_id long, text string"), benchmark=([(7, passage), (8, "no such"), (9, None)], "item_id long, text string"))
+    assert sorted(tuple(r) for r in QUERIES["q29_passage_containment"](spark, at).select("doc_id", "item_id").collect()) == [(0, 7), (3, 7)]

@@ -245,7 +245,7 @@ def q28_entity_link_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, item_id FROM documents, benchmark WHERE contains(documents.text, substr(benchmark.text, 1, 60))")
 def q29_passage_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    passages = table(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 60).alias("passage"))
+    passages = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
     return linking.contained_passages(table(spark, sf_dir, "documents"), "text", passages, "passage").select("doc_id", "item_id")
 
 
