@@ -129,3 +129,10 @@ def test_passages_are_whole(spark, tmp_path):
     texts = [f"x {passage} y", passage[:70] + " and another end", passage[62:], passage, None, ""]
     at = fixture(spark, tmp_path, documents=(list(enumerate(texts)), "doc_id long, text string"), benchmark=([(7, passage), (8, "no such"), (9, None)], "item_id long, text string"))
     assert sorted(tuple(r) for r in QUERIES["q29_passage_containment"](spark, at).select("doc_id", "item_id").collect()) == [(0, 7), (3, 7)]
+
+
+def test_whole_texts_are_normalised(spark, tmp_path):
+    texts = ["ＡＢ１　x", "x" * 60 + "ＡＢ１　！" + "y" * 60 + "～", "", None]
+    at = fixture(spark, tmp_path, documents=(list(enumerate(texts)), "doc_id long, text string"))
+    got = [r.head for r in QUERIES["q10_fullwidth_normalise"](spark, at).orderBy("doc_id").collect()]
+    assert got == ["AB1 x", "x" * 60 + "AB1 !" + "y" * 60 + "~", "", None]

@@ -104,7 +104,7 @@ def q09_normalise_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, translate(translate(substr(text, 1, 60), '{text.FULL}', '{text.HALF.replace(chr(39), chr(39) * 2)}'), '　', ' ') AS head FROM documents")
 def q10_fullwidth_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.half_width(F.substring("text", 1, 60)).alias("head"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.half_width(F.col("text")).alias("head"))
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE contains(regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g'), 'redwidget')")
