@@ -136,3 +136,11 @@ def test_whole_texts_are_normalised(spark, tmp_path):
     at = fixture(spark, tmp_path, documents=(list(enumerate(texts)), "doc_id long, text string"))
     got = [r.head for r in QUERIES["q10_fullwidth_normalise"](spark, at).orderBy("doc_id").collect()]
     assert got == ["AB1 x", "x" * 60 + "AB1 !" + "y" * 60 + "~", "", None]
+
+
+def test_all_customers_are_in_the_union(spark, tmp_path):
+    customers = [(1, "Customer#01"), (2, "Customer#02"), (3, "Customer#03")]
+    suppliers, nations = [(1, "Supplier #01"), (9, "Supplier #09")], [(0, "customer #02"), (1, "PERU")]
+    at = fixture(spark, tmp_path, customer=(customers, "c_custkey long, c_name string"), supplier=(suppliers, "s_suppkey long, s_name string"), nation=(nations, "n_nationkey int, n_name string"))
+    got = sorted((r.name_key, r.name, r.origin) for r in QUERIES["q24_priority_union"](spark, at).collect())
+    assert got == [("customer#01", "Customer#01", "customer"), ("customer#02", "Customer#02", "customer"), ("customer#03", "Customer#03", "customer"), ("customer#09", "customer #09", "supplier"), ("peru", "PERU", "nation")]

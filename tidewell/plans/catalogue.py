@@ -202,7 +202,7 @@ def q23_disambiguate_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     "k AS (SELECT *, regexp_replace(lower(name), '[^a-z0-9#]', '', 'g') AS name_key FROM u), r AS (SELECT *, row_number() OVER (PARTITION BY name_key ORDER BY p, name) AS rn FROM k) SELECT name_key, name, origin FROM r WHERE rn = 1"
 )
 def q24_priority_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(F.col("c_name").alias("name"), F.lit("customer").alias("origin"))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.lit("customer").alias("origin"))
     suppliers = table(spark, sf_dir, "supplier").select(F.concat(F.lit("customer "), F.substring("s_name", 10, 100)).alias("name"), F.lit("supplier").alias("origin"))
     nations = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.lit("nation").alias("origin"))
     parts = [p.withColumn("name_key", text.normal_name(F.col("name"))) for p in (customers, suppliers, nations)]
