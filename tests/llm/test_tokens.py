@@ -91,3 +91,18 @@ def test_store_notices_damage(spark, tmp_path):
     (tmp_path / "store/damaged").rename(tmp_path / "store/chunks")
     with pytest.raises(Exception, match="digest"):
         read_store(spark, path).collect()
+
+
+@pytest.mark.parametrize("lost", ["doc_id = 90", "part = (select min(part) from r)", "true"])
+def test_store_notices_lost_recipes(spark, tmp_path, lost):
+    df, _ = docs(spark)
+    path = f"file://{tmp_path}/store"
+    write_store(df, path)
+    spark.read.parquet(f"{path}/recipes").createOrReplaceTempView("r")
+    left = spark.sql(f"select * from r where not coalesce({lost}, false)")
+    assert left.count() < spark.table("r").count()
+    left.write.parquet(f"{path}/damaged")
+    (tmp_path / "store/recipes").rename(tmp_path / "store/old")
+    (tmp_path / "store/damaged").rename(tmp_path / "store/recipes")
+    with pytest.raises(Exception, match="manifest"):
+        read_store(spark, path).collect()

@@ -77,6 +77,18 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if raw[:1] == b"2" else "<u4", offset=1)
 
 
+def parts_of(recipes: DataFrame) -> DataFrame:
+    """part, documents, tokens and the Merkle root over the documents, by local_start, of each part of the recipes."""
+
+    def root(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield pa.RecordBatch.from_arrays([batch.column(c).slice(k, 1) for c in ("part", "documents", "tokens")] + [pa.array([merkle(batch.column("roots")[k].as_py())], pa.binary())], names=["part", "documents", "tokens", "root"])
+
+    listed = recipes.groupBy("part").agg(F.count("*").alias("documents"), F.sum("n_tokens").alias("tokens"), F.transform(F.sort_array(F.collect_list(F.struct("local_start", "root"))), lambda x: x["root"]).alias("roots"))
+    return listed.mapInArrow(root, "part int, documents long, tokens long, root binary")
+
+
 def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = END_ID) -> None:
     """Encode the texts of docs (doc_id, text), each with the end id behind it, into a store at the path.
 
@@ -146,25 +158,19 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
     recipes = recipes.mapInArrow(place, "doc_id long, n_tokens long, root binary, content binary, local_start long")
     # local_start is unique in a part, as each document has an id at least.
     recipes.select(F.spark_partition_id().alias("part"), "local_start", "doc_id", "n_tokens", "root", F.col("content").alias("recipe")).write.option("compression", "zstd").parquet(f"{path}/recipes")
-    written = spark.read.parquet(f"{path}/recipes")
-
-    def root(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                yield pa.RecordBatch.from_arrays([batch.column(c).slice(k, 1) for c in ("part", "documents", "tokens")] + [pa.array([merkle(batch.column("roots")[k].as_py())], pa.binary())], names=["part", "documents", "tokens", "root"])
-
-    listed = written.groupBy("part").agg(F.count("*").alias("documents"), F.sum("n_tokens").alias("tokens"), F.transform(F.sort_array(F.collect_list(F.struct("local_start", "root"))), lambda x: x["root"]).alias("roots"))
-    listed.mapInArrow(root, "part int, documents long, tokens long, root binary").write.parquet(f"{path}/manifest")
+    parts_of(spark.read.parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
     discard(spark, made_path)
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids (little-endian unsigned 32-bit) of each document.
 
-    A chunk, document or part that isn't what its digest says stops the query.
+    A chunk, document or part that isn't what its digest says stops the query, parts before anything is returned.
     """
     recipes = spark.read.parquet(f"{path}/recipes")
     manifest = spark.read.parquet(f"{path}/manifest").orderBy("part").collect()  # one row a part
+    if sorted(map(tuple, parts_of(recipes).collect())) != sorted(map(tuple, manifest)):  # as many rows
+        raise ValueError("a part of the recipes isn't what the manifest says")
     starts, at = {}, 0
     for r in manifest:
         starts[r.part] = at
