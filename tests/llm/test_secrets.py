@@ -1,7 +1,7 @@
 import random
 import re
 
-from tidewell.llm.secrets import BASE, RULES, compiled, in_code_points
+from tidewell.llm.secrets import BASE, RULES, compiled, in_code_points, redact
 
 PATTERNS = {
     "assign": (re.compile(r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), 2, 12),
@@ -36,3 +36,14 @@ def test_added_kinds():
     kinds = {r.kind for r in RULES}
     text = b"-----BEGIN RSA PRIVATE KEY----- eyJhbGci.eyJzdWIi.c2ln ghp_" + b"A1" * 20 + b" xoxb-123456789012-abcdefgh sk_live_" + b"a9" * 12 + b" https://bob:pa55word@example.edu/"
     assert kinds - {"assign", "access", "hex"} == {RULES[k].kind for _, k, _ in compiled(RULES).scan(text)} - {"assign", "access", "hex"}
+
+
+def test_private_keys_go_with_their_bodies(spark):
+    body = "\n".join("MIIEow+/IBAAKC" * 4 for _ in range(12)) + "=="
+    key = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    old = f"-----BEGIN EC PRIVATE KEY-----\r\nProc-Type: 4,ENCRYPTED\r\nDEK-Info: AES-128-CBC,A0\r\n\r\n{body}\r\n-----END EC PRIVATE KEY-----"
+    escaped = key.replace("\n", "\\n")
+    texts = [f"é a {key} b", f"a {key}\n{key} b", f"a {old} b", f'"{escaped}"', "-----BEGIN PRIVATE KEY-----. No key here.", f"-----BEGIN PRIVATE KEY----- no. {key}"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in redact(rows).orderBy("doc_id").collect()]
+    assert got == ["é a [secret] b", "a [secret]\n[secret] b", "a [secret] b", '"[secret]"', "[secret]. No key here.", "[secret] no. [secret]"]

@@ -196,14 +196,19 @@ BEFORE_VALUE = seq(KEYWORD, QUOTE, SPACES, cls(b":="), SPACES, QUOTE)
 
 @dataclass(frozen=True)
 class Rule:
-    """kind: name in spans. tree: the expression. least: bytes that a match, or its part after `head`, must have."""
+    """kind: name in spans. tree: the expression. least: bytes that a match, or its part after `head`, must have. tail:
+    what a match goes on over where it follows."""
 
     kind: str
     tree: tuple
     least: int = 0
     head: tuple | None = None
+    tail: tuple | None = None
 
 
+#: A key's body, also with its lines in an escaped string or with attributes before it, and its last line.
+KEY_LINE = seq(star(cls(UPPER + b" ")), lit("PRIVATE KEY-----"))
+KEY_BODY = seq(star(alt(cls(LOWER + UPPER + DIGIT + b"+/= \t\n\r\x0b\x0c\\:,"), seq(lit("-"), ALNUM))), lit("-----END "), KEY_LINE)
 BASE = (
     Rule("assign", seq(BEFORE_VALUE, plus(VALUE)), 12, BEFORE_VALUE),
     Rule("access", seq(lit("AKIA"), plus(cls(UPPER + DIGIT))), 18),
@@ -211,7 +216,7 @@ BASE = (
     Rule("hex", seq(times(cls(b"0123456789abcdef"), 6), star(cls(b"0123456789abcdef"))), 16),
 )
 ADDED = (
-    Rule("private_key", seq(lit("-----BEGIN "), star(cls(UPPER + b" ")), lit("PRIVATE KEY-----"))),
+    Rule("private_key", seq(lit("-----BEGIN "), KEY_LINE), tail=KEY_BODY),
     Rule("jwt", seq(lit("eyJ"), plus(BASE64_URL), lit("."), lit("eyJ"), plus(BASE64_URL), lit("."), plus(BASE64_URL))),
     Rule("code_host", seq(lit("gh"), cls(b"pousr"), lit("_"), plus(ALNUM)), 40),
     Rule("chat", seq(lit("xox"), cls(b"abprs"), lit("-"), plus(cls(LOWER + UPPER + DIGIT + b"-"))), 20),
@@ -229,6 +234,7 @@ class Scanner:
         self.ahead = [compile_rules([r.tree], False) for r in rules]
         self.behind = [compile_rules([backward(r.tree)], False) for r in rules]
         self.head = [compile_rules([r.head], False) if r.head else None for r in rules]
+        self.tail = [compile_rules([r.tail], False) if r.tail else None for r in rules]
 
     def accepted(self, text: bytes) -> list[tuple[int, int, int]]:
         """(rule, first end, last end) of each stretch of bytes at which a rule's matches end: the one pass."""
@@ -294,7 +300,10 @@ class Scanner:
                     start = self.reach(self.behind[k], text, end, free[k]) if end >= 0 else -1
                     if start < 0:
                         break
-                stop = free[k] = self.reach(self.ahead[k], text, start, len(text))
+                stop = self.reach(self.ahead[k], text, start, len(text))
+                if self.tail[k]:
+                    stop = max(stop, self.reach(self.tail[k], text, stop, len(text)))
+                free[k] = stop
                 if stop - (self.reach(self.head[k], text, start, stop) if self.head[k] else start) >= rule.least:
                     out.append((start, k, stop))
                 end = self.first_end(k, text, stop, last)
