@@ -4,11 +4,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidewell.llm import jaccard_join
 from tidewell.llm.jaccard_join import allocation, edges_of_bands, keep_one, link, signatures
 
 
 def shingles(text):
-    words = (text or "").encode().split()
+    words = (text or "").encode().lower().split()
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
@@ -72,6 +73,35 @@ def test_edges(spark):
     assert link(docs.filter(F.lit(False))).count() == 0
 
 
+def test_tiny_tables(spark):
+    for rows in ([(3, "a b c")], [(1, "x"), (2, "y"), (3, None)], [(1, "p q"), (2, "p q"), (3, "r s t u v w")], [(9, "a b"), (8, "a c"), (7, "")]):
+        got = link(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == brute(rows)
+
+
+def test_many_near_copies(spark):
+    """Lists far longer than one place holds, of copies of which some link only through others, and two bases that are
+    a little too far from each other."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=4))
+    base = [word() for _ in range(90)]
+    other = list(base)
+    for i in (10, 40, 70, 85):
+        other[i] = word()
+    rows = []
+    for i in range(1000):
+        text = list(base if i % 3 else other)
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            text[rng.randrange(len(text))] = word()
+        rows.append((5000 - i, " ".join(text)))
+    old, jaccard_join.PART = jaccard_join.PART, 100
+    try:
+        got = link(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+        assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == brute(rows)
+    finally:
+        jaccard_join.PART = old
+
+
 def test_letter_case(spark):
     text = " ".join(f"w{i} xé" for i in range(40))
     rows = [(1, text), (2, text.title().replace("É", "é")), (3, "X " + text.replace("w", "W")), (4, text.replace("é", "É")), (5, "a B c d e A b C d E"), (6, "a b c")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +32,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """df written as Parquet to the shared folder and read again, and its path. Cuts the lineage."""
+    """df written as Parquet to the shared folder and read again, and its path. Cuts the lineage. What nobody discards
+    before goes when the driver's JVM ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     tidy(spark)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -81,10 +84,6 @@ def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(text).cast(pa.binary()).to_pylist()]
 
 
-def map_rows(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (bijective), elementwise."""
     x = x.astype(U64, copy=True)

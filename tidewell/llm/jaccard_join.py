@@ -10,7 +10,7 @@ credits. Every candidate is verified on its words.
 
 Links are found in rounds, since only components are asked for: each set is compared with the one that it shares most
 signatures with as the first of their lists, then come the other pairs of short lists and the stars of long ones, then
-likely pairs of long lists and last all others, and in each round only pairs across components that their sketches don't
+some pairs of long lists and last all others, and in each round only pairs across components that their sketches don't
 tell apart.
 """
 
@@ -32,6 +32,8 @@ from tidewell.llm.graph import components
 SHINGLE, NUM, DEN = 5, 80, 100
 #: Lists up to this long give all their pairs at once; longer ones wait for the first components.
 SHORT_LIST = 16
+#: Members of a longer list that are looked through in one place.
+PART = 4096
 FLUSH = 1_000_000
 #: So many names of sets, of 8 bytes each, may be broadcast.
 SMALL = 50_000
@@ -269,6 +271,8 @@ def match_part(key: np.ndarray, row: np.ndarray, head: np.ndarray, nodes: np.nda
     ranked = (key >> U64(1))[order]
     same = ranked[1:] == ranked[:-1]
     order = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]  # most signatures are of one set
+    if not len(order):
+        return
     row, wide, key = row[order], (key[order] & U64(1)).astype(bool), key[order] >> U64(1)
     member = rank[row].astype(np.int64)
     order = np.lexsort((member, key))
@@ -322,7 +326,8 @@ def match(entries: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
         if blobs:
             yield from match_bucket(blobs, num, den)
 
-    return entries.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
+    place = F.when(F.col("bucket") < 0, -1 - F.col("bucket")).otherwise(F.col("bucket"))
+    return entries.repartitionById(buckets, place).sortWithinPartitions("bucket").mapInArrow(run, FOUND)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -352,11 +357,11 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) ->
     return pairs.join(member, "b").join(leader, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "u long, v long")
 
 
-def may_link(num: int, den: int, tenths: int = 10) -> str:
+def may_link(num: int, den: int) -> str:
     """On columns n, s0.. of two sets x and y: false only if they can't link. Each bit in which the sketches differ
-    stands for an element at least that only one of the sets has. tenths: so much of the allowed difference counts."""
+    stands for an element at least that only one of the sets has."""
     unlike = " + ".join(f"bit_count(x.s{i} ^ y.s{i})" for i in range(SKETCH))
-    return f"least(x.n, y.n) * {den} >= greatest(x.n, y.n) * {num} and ({unlike}) * {10 * (den + num)} <= (x.n + y.n) * {tenths * (den - num)}"
+    return f"least(x.n, y.n) * {den} >= greatest(x.n, y.n) * {num} and ({unlike}) * {den + num} <= (x.n + y.n) * {den - num}"
 
 
 def across(pairs: DataFrame, nodes: DataFrame, label: DataFrame, num: int, den: int) -> DataFrame:
@@ -369,25 +374,79 @@ def across(pairs: DataFrame, nodes: DataFrame, label: DataFrame, num: int, den:
     return pairs.join(x, "a").join(y, "b").filter("shared + least(a_long, b_long) >= least").filter(may_link(num, den).replace("x.", "a_").replace("y.", "b_")).select("a", "b")
 
 
-def long_list_pairs(lists: DataFrame, nodes: DataFrame, label: DataFrame, num: int, den: int, most: int | None = None, tenths: int = 10, one_in: int = 1) -> DataFrame:
+def look_through(batches: Iterator[pa.RecordBatch], num: int, den: int, partners: int | None) -> Iterator[pa.RecordBatch]:
+    """Pairs of a set that looks and a member of the same part of a long list, of unlike components, that may link. Rows
+    come sorted by list, part and looks. With `partners`, so many for each set that looks: those of the least pair hash."""
+    names = [f"s{i}" for i in range(SKETCH)]
+    now: tuple[int, int] | None = None
+    held: list[tuple[np.ndarray, ...]] = []
+    members: tuple[np.ndarray, ...] | None = None
+
+    def arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        one = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
+        return one("b"), one("component"), one("n"), np.stack([one(c) for c in names]).view(U64)
+
+    def pairs(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(x[0]), 256):
+            b, component, n, sketch = (v[..., at : at + 256] for v in x)
+            unlike = np.zeros((len(b), len(y[0])), np.int64)
+            for i in range(SKETCH):
+                unlike += np.bitwise_count(sketch[i][:, None] ^ y[3][i][None, :])
+            small, large = np.minimum(n[:, None], y[2]), np.maximum(n[:, None], y[2])
+            may = (small * den >= large * num) & (unlike * (den + num) <= (small + large) * (den - num)) & (component[:, None] != y[1])
+            i, j = np.nonzero(may)
+            u, v = b[i], y[0][j]
+            if partners:
+                order = np.lexsort((mix64(u.view(U64) ^ v.view(U64)), i))
+                place = np.arange(len(i)) - np.searchsorted(i, i)
+                order = order[place < partners]
+                u, v = u[order], v[order]
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lists, parts, looks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "part", "looks"))
+        every = arrays(batch)
+        new = np.ones(len(lists), bool)
+        new[1:] = (lists[1:] != lists[:-1]) | (parts[1:] != parts[:-1]) | (looks[1:] != looks[:-1])
+        starts = np.flatnonzero(new)
+        for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(lists)], strict=True):
+            some = tuple(x[..., i:j] for x in every)
+            if (lists[i], parts[i]) != now:
+                now, held, members = (lists[i], parts[i]), [], None
+            if not looks[i]:
+                held.append(some)
+            elif held:
+                if members is None:
+                    members = tuple(np.concatenate([x[k] for x in held], axis=-1) for k in range(4))
+                yield from pairs(some, members)
+
+
+def long_list_pairs(lists: DataFrame, nodes: DataFrame, label: DataFrame, num: int, den: int, most: int | None = None, partners: int | None = None) -> DataFrame:
     """Pairs that long lists hold and that may link two components. A list within one component has nothing to add. Of
     the others a set looks into those of wide segments, and into as many of plain segments, shortest first, as leave it
-    no more unread ones than it has credits to spare. As either set of a pair would find it so, the one of the smaller
-    component name looks. With `most` lists a set, fewer tenths of the difference and one set in so many looking, then on
-    either side, this is a search for likely links only, which leaves less to do for the whole one after it."""
+    no more unread ones than it has credits to spare. The sets of the component that has most members in a list needn't
+    look there: the other set of the pair does. Members are dealt out in parts of some thousands, each looked through in
+    one place by the sets that look, so that no join gives the pairs of a list. With `most` lists a set, `partners` for
+    each and one part of a list, this is a search for some links only, which leaves less to do for the whole one."""
     known = lists.join(label.withColumnRenamed("node", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
-    mixed = known.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    sizes = known.groupBy("a", "component").agg(F.count("*").alias("size"))
+    mixed = sizes.groupBy("a").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds")
     known = known.withColumnRenamed("n", "long").join(mixed, "a")
-    nodes = nodes.drop("long")
+    parts = F.ceil(F.col("long") / PART).cast("int")
+    own = F.pmod(F.xxhash64("b", F.lit(most or 0)), parts).cast("int")
     by_set = Window.partitionBy("b", "band")
     unread = F.sum(F.when(~F.col("wide"), 1).otherwise(0)).over(by_set)
     turn = F.row_number().over(by_set.orderBy("wide", "long", "a"))
-    marked = known.withColumn("unread", unread).withColumn("turn", turn).filter("wide or turn <= unread - spare").filter(f"turn <= {most}" if most else "true")
-    order = "x.component < y.component" if one_in == 1 else "x.component <> y.component"
-    probes = marked.filter("component < high" if one_in == 1 else f"pmod(xxhash64(b), {one_in}) = 0").select("a", "b", "component").join(nodes.withColumnRenamed("node", "b"), "b").alias("x")
-    members = known.filter("component > low" if one_in == 1 else "true").select("a", "b", "component").join(nodes.withColumnRenamed("node", "b"), "b").alias("y")
-    both = probes.join(members, F.expr(f"x.a = y.a and {order} and {may_link(num, den, tenths)}"))
-    return both.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
+    marked = known.withColumn("unread", unread).withColumn("turn", turn).filter("wide or turn <= unread - spare").filter(f"turn <= {most}" if most else "true").filter("component <> main")
+    looking = marked.withColumn("part", own if partners else F.explode(F.sequence(F.lit(0), parts - 1)))
+    columns_ = ["a", "part", "b", "component"]
+    rows = looking.select(*columns_, F.lit(True).alias("looks")).unionByName(known.withColumn("part", own).select(*columns_, F.lit(False).alias("looks")))
+    rows = rows.join(nodes.drop("long").withColumnRenamed("node", "b"), "b")
+    dealt = rows.repartition("a", "part").sortWithinPartitions("a", "part", "looks")
+    return dealt.mapInArrow(lambda batches: look_through(batches, num, den, partners), "a long, b long").distinct()
 
 
 def link(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -423,7 +482,8 @@ def linked(docs: DataFrame, n: int, num: int, den: int, *wanted: str) -> DataFra
     nodes = keys.drop("key").join(lists.groupBy(F.col("b").alias("node")).agg(F.count("*").alias("long")), "node", "left").withColumn("long", F.coalesce("long", F.lit(0)))
     nodes, path = staged(nodes, "nodes")
     paths.append(path)
-    one = keyed.groupBy("key").agg(F.first("text").alias("text"))
+    one = keyed.withColumn("check", F.xxhash64(F.lit(SHINGLE), F.coalesce("text", F.lit("")))).groupBy("key").agg(F.first("text").alias("text"), F.min("check").alias("low"), F.max("check").alias("high"))
+    one = one.select(F.when(F.col("low") == F.col("high"), F.col("key")).otherwise(F.raise_error(F.lit("two texts have one 64-bit key"))).alias("key"), "text")
     texts, path = staged(one.join(keys.select("key", "node"), "key").select("node", "text"), "texts")
     paths.append(path)
 
@@ -437,7 +497,7 @@ def linked(docs: DataFrame, n: int, num: int, den: int, *wanted: str) -> DataFra
     paths.append(path)
     rounds = (
         lambda: across(pairs, nodes, label, num, den),
-        lambda: long_list_pairs(lists, nodes, label, num, den, most=2, tenths=6, one_in=8),
+        lambda: long_list_pairs(lists, nodes, label, num, den, most=2, partners=4),
         lambda: long_list_pairs(lists, nodes, label, num, den),
     )
     for more in rounds:
