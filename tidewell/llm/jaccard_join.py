@@ -34,7 +34,7 @@ SHINGLE, NUM, DEN = 5, 80, 100
 SHORT_LIST = 16
 #: Members of a longer list that are looked through in one place.
 PART = 4096
-FLUSH = 1_000_000
+FLUSH = 500_000
 #: So many names of sets, of 8 bytes each, may be broadcast.
 SMALL = 50_000
 #: Parts that a bucket's signatures are matched in, one after the other.
@@ -424,26 +424,35 @@ def look_through(batches: Iterator[pa.RecordBatch], num: int, den: int, partners
                 yield from pairs(some, members)
 
 
-def long_list_pairs(lists: DataFrame, nodes: DataFrame, label: DataFrame, num: int, den: int, most: int | None = None, partners: int | None = None) -> DataFrame:
-    """Pairs that long lists hold and that may link two components. A list within one component has nothing to add. Of
-    the others a set looks into those of wide segments, and into as many of plain segments, shortest first, as leave it
-    no more unread ones than it has credits to spare. The sets of the component that has most members in a list needn't
-    look there: the other set of the pair does. Members are dealt out in parts of some thousands, each looked through in
-    one place by the sets that look, so that no join gives the pairs of a list. With `most` lists a set, `partners` for
-    each and one part of a list, this is a search for some links only, which leaves less to do for the whole one."""
+def mixed_lists(lists: DataFrame, label: DataFrame) -> tuple[DataFrame, str]:
+    """Members of those long lists that hold several components, with main: whether the set is of the component that has
+    most members there. A list within one component has nothing to add."""
     known = lists.join(label.withColumnRenamed("node", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
     sizes = known.groupBy("a", "component").agg(F.count("*").alias("size"))
-    mixed = sizes.groupBy("a").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds")
-    known = known.withColumnRenamed("n", "long").join(mixed, "a")
+    mixed = sizes.groupBy("a").agg(F.max_by("component", F.struct("size", "component")).alias("most"), F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds")
+    return staged(known.join(mixed, "a").select("a", "b", "component", F.col("n").alias("long"), "band", "spare", "wide", (F.col("component") == F.col("most")).alias("main")), "mixed")
+
+
+def long_list_pairs(members: DataFrame, nodes: DataFrame, num: int, den: int, partners: int | None = None) -> DataFrame:
+    """Pairs that mixed lists hold and that may link two components. A set looks into those of wide segments, and into as
+    many of plain segments, shortest first, as leave it no more unread ones than it has credits to spare. The sets of a
+    list's main component needn't look there: the other set of the pair does. Members are dealt out in parts of some
+    thousands, each looked through in one place by the sets that look, so that no join gives the pairs of a list. With
+    `partners`, each set looks for so many in one part of two lists or so only, which leaves less to do for the whole
+    search."""
     parts = F.ceil(F.col("long") / PART).cast("int")
-    own = F.pmod(F.xxhash64("b", F.lit(most or 0)), parts).cast("int")
-    by_set = Window.partitionBy("b", "band")
-    unread = F.sum(F.when(~F.col("wide"), 1).otherwise(0)).over(by_set)
-    turn = F.row_number().over(by_set.orderBy("wide", "long", "a"))
-    marked = known.withColumn("unread", unread).withColumn("turn", turn).filter("wide or turn <= unread - spare").filter(f"turn <= {most}" if most else "true").filter("component <> main")
-    looking = marked.withColumn("part", own if partners else F.explode(F.sequence(F.lit(0), parts - 1)))
-    columns_ = ["a", "part", "b", "component"]
-    rows = looking.select(*columns_, F.lit(True).alias("looks")).unionByName(known.withColumn("part", own).select(*columns_, F.lit(False).alias("looks")))
+    own = F.pmod(F.xxhash64("b", F.lit(partners or 0)), parts).cast("int")
+    if partners:
+        count = members.groupBy("b").agg(F.count("*").alias("of"))
+        looking = members.filter("not main").join(count, "b").filter("pmod(xxhash64(a, b), of) < 2").withColumn("part", own)
+    else:
+        by_set = Window.partitionBy("b", "band")
+        unread = F.sum(F.when(~F.col("wide"), 1).otherwise(0)).over(by_set)
+        turn = F.row_number().over(by_set.orderBy("wide", "long", "a"))
+        marked = members.withColumn("unread", unread).withColumn("turn", turn).filter("(wide or turn <= unread - spare) and not main")
+        looking = marked.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    taken = ["a", "part", "b", "component"]
+    rows = looking.select(*taken, F.lit(True).alias("looks")).unionByName(members.withColumn("part", own).select(*taken, F.lit(False).alias("looks")))
     rows = rows.join(nodes.drop("long").withColumnRenamed("node", "b"), "b")
     dealt = rows.repartition("a", "part").sortWithinPartitions("a", "part", "looks")
     return dealt.mapInArrow(lambda batches: look_through(batches, num, den, partners), "a long, b long").distinct()
@@ -495,13 +504,15 @@ def linked(docs: DataFrame, n: int, num: int, den: int, *wanted: str) -> DataFra
     paths.append(path)
     label, path = components(links)
     paths.append(path)
-    rounds = (
-        lambda: across(pairs, nodes, label, num, den),
-        lambda: long_list_pairs(lists, nodes, label, num, den, most=2, partners=4),
-        lambda: long_list_pairs(lists, nodes, label, num, den),
-    )
-    for more in rounds:
-        again, path = staged(more().join(tried, ["a", "b"], "left_anti"), "tried")
+    # First the pairs of short lists and the stars of long ones, then some pairs of long ones, then all.
+    for partners in (-1, 4, None):
+        if partners == -1:
+            more = across(pairs, nodes, label, num, den)
+        else:
+            members, path = mixed_lists(lists, label)
+            paths.append(path)
+            more = long_list_pairs(members, nodes, num, den, partners)
+        again, path = staged(more.join(tried, ["a", "b"], "left_anti"), "tried")
         paths.append(path)
         found_links, path = staged(verified(again, texts, n, num, den), "links")
         paths.append(path)
