@@ -25,10 +25,10 @@ def test_events(docs):
     for r in notices.events(docs, "id", "body", "day").orderBy("id", "start").collect():
         got.setdefault(r.id, []).append((r.kind, r.value, r.time, sorted(r.flags), r.verification, r.superseded))
     assert got[1] == [("registration_deadline", "2026-11-25", "15:30", [], "source_matched", False)]
-    assert got[2] == [("registration_deadline", "2027-01-05", None, ["missing_year", "possible_cross_year"], "needs_review", False)]
+    assert got[2] == [("registration_deadline", "2026-01-05", None, ["before_publication", "missing_year", "possible_cross_year"], "needs_review", False)]
     assert got[3][0][3] == ["invalid_date"]
     assert [(e[1], "conflict" in e[3], e[5]) for e in got[4]] == [("2026-11-20", True, True), ("2026-11-25", True, False)]
-    assert [e[:3] for e in got[5]] == [("registration_start", "2026-10-01", None), ("registration_deadline", "2026-10-20", "24:00"), ("submission_deadline", "2026-11-01", None)]
+    assert [e[:3] for e in got[5]] == [("registration_start", "2026-10-01", None), ("registration_deadline", "2026-10-20", "24:00"), ("submission", "2026-11-01", None)]
     assert 6 not in got and got[7][0][3] == ["invalid_time"]
     assert notices.check_evidence(notices.events(docs, "id", "body", "day"), docs, "id", "body").count() == 0
 

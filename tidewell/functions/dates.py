@@ -22,30 +22,6 @@ def dates_in(c: Column) -> Column:
     return F.array_distinct(F.filter(parts, lambda x: F.try_to_date(x, "yyyy-MM-dd").isNotNull()))
 
 
-def date_events(c: Column, published: Column) -> Column:
-    """array<struct<value, raw, start, end, flags>> of the dates in a text. start and end are code points.
-
-    A date without a year takes that of publication, or the next where it would lie more than half a year before; an
-    impossible date has no value.
-    """
-    full = F.transform(F.regexp_extract_all(c, F.lit(FULL_DATE), 0), lambda x: F.struct(x.alias("raw"), F.lit(True).alias("whole")))
-    short = F.transform(F.regexp_extract_all(c, F.lit(SHORT_DATE), 0), lambda x: F.struct(x.alias("raw"), F.lit(False).alias("whole")))
-
-    def made(e: Column) -> Column:
-        whole, raw = e["whole"], e["raw"]
-        year = F.when(whole, F.regexp_extract(raw, FULL_DATE, 1)).otherwise(F.date_format(published, "yyyy"))
-        month = F.when(whole, F.regexp_extract(raw, FULL_DATE, 2)).otherwise(F.regexp_extract(raw, SHORT_DATE, 1))
-        day = F.when(whole, F.regexp_extract(raw, FULL_DATE, 3)).otherwise(F.regexp_extract(raw, SHORT_DATE, 2))
-        first = F.try_to_date(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd")
-        crosses = ~whole & (F.datediff(F.to_date(published), first) > 182)
-        value = F.when(crosses, F.add_months(first, 12)).otherwise(first)
-        flags = F.array(F.when(~whole, F.lit("missing_year")), F.when(crosses, F.lit("possible_cross_year")), F.when(value.isNull(), F.lit("invalid_date")), F.when(value < F.to_date(published), F.lit("before_publication")))
-        at = F.position(raw, c)
-        return F.struct(F.date_format(value, "yyyy-MM-dd").alias("value"), raw.alias("raw"), (at - 1).alias("start"), (at - 1 + F.length(raw)).alias("end"), F.array_compact(flags).alias("flags"))
-
-    return F.array_sort(F.transform(F.concat(full, short), made), lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(0))
-
-
 def clock(hour: Column, minute: Column, period: Column) -> Column:
     """HH:MM of a clock time with a period of the day (am, pm); 24:00 is allowed, null otherwise out of range."""
     h = F.when((period == "pm") & (hour < 12), hour + 12).otherwise(hour)
@@ -58,3 +34,47 @@ def instant(day: Column, time: Column, is_start: Column) -> Column:
     base = F.to_timestamp_ntz(F.date_format(day, "yyyy-MM-dd"))
     seconds = F.when(time.isNull(), F.when(is_start, 0).otherwise(86399)).otherwise(F.substring(time, 1, 2).cast("int") * 3600 + F.substring(time, 4, 2).cast("int") * 60)
     return base + F.make_dt_interval(secs=seconds)
+
+
+def days_since(day: Column, today: Column, unknown: int = 99999) -> Column:
+    """Days from an ISO day to today; `unknown` for what is no day."""
+    return F.coalesce(F.datediff(today, F.try_to_date(day, "yyyy-MM-dd")), F.lit(unknown))
+
+
+def days_until(day: Column, today: Column) -> Column:
+    """Days from today to an ISO day, null for what is no day."""
+    return F.datediff(F.try_to_date(day, "yyyy-MM-dd"), today)
+
+
+def is_fresh(day: Column, today: Column, days: int = 90) -> Column:
+    return days_since(day, today) <= days
+
+
+def ago_text(days: Column) -> Column:
+    """A number of days in words; empty for null and for what days_since gives for an unknown day."""
+    count = lambda n, unit: F.concat(n.cast("string"), F.lit(unit))
+    return (
+        F.when(days.isNull() | (days >= 99999), "").when(days < 0, "未来").when(days == 0, "今天").when(days == 1, "昨天").when(days < 30, count(days, " 天前")).when(days < 365, count(F.floor(days / 30), " 个月前")).otherwise(count(F.floor(days / 365), " 年前"))
+    )
+
+
+def deadline_text(day: Column) -> Column:
+    """An ISO day as month and day; anything else as it is, null as empty."""
+    parts = r"^(\d{4})-(\d{2})-(\d{2})$"
+    number = lambda i: F.regexp_extract(day, parts, i).try_cast("int").cast("string")
+    return F.when(day.rlike(parts), F.concat(number(2), F.lit("月"), number(3), F.lit("日"))).otherwise(F.coalesce(day, F.lit("")))
+
+
+def month_label(month: Column) -> Column:
+    return F.concat(month.cast("string"), F.lit("月"))
+
+
+def window_label(start: Column, end: Column) -> Column:
+    return F.when(start == end, month_label(start)).otherwise(F.concat(month_label(start), F.lit("–"), month_label(end)))
+
+
+def next_window(start_month: Column, today: Column, days: int = 14) -> Column:
+    """struct<first, behind>: the first of the month, this year or, if that month is over, next year; and `days` later."""
+    year = F.year(today) + (start_month < F.month(today)).cast("int")
+    first = F.make_date(year, start_month, F.lit(1))
+    return F.struct(first.alias("first"), F.date_add(first, days).alias("behind"))

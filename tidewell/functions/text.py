@@ -139,3 +139,90 @@ def html_escape(c: Column) -> Column:
 def content_hash(*parts: Column) -> Column:
     """sha256 of the parts as one JSON object."""
     return F.sha2(F.to_json(F.struct(*parts)), 256)
+
+
+def identity_key(c: Column) -> Column:
+    """Without white space and quotes; case and other marks are kept."""
+    return F.regexp_replace(c, r"[\s“”\"‘’]", "")
+
+
+def classifier_key(c: Column) -> Column:
+    """Lower case without white space, quotes, brackets and dashes."""
+    return F.lower(F.regexp_replace(c, r"[\s“”\"（）()·—-]", ""))
+
+
+def title_match_key(c: Column) -> Column:
+    """A title as it is compared with keywords: without quotes, brackets, middle dots, hyphens and white space."""
+    return F.regexp_replace(c, r"[“”\"'（）()·\-\s]", "")
+
+
+def clean_spaces(c: Column) -> Column:
+    """Runs of blanks of any width as one, ends trimmed; line feeds stay."""
+    return F.trim(F.regexp_replace(F.translate(c, " 　", "  "), r"[ \t\r\f\x0B]+", " "))
+
+
+def mended_url(c: Column) -> Column:
+    """A URL fragment of scanned text as it was probably meant; only for candidates."""
+    out = F.regexp_replace(F.translate(c, "：·。", ":.."), r"\s+", "")
+    out = F.replace(F.replace(out, F.lit("https:/"), F.lit("https://")), F.lit("http:/"), F.lit("http://"))
+    out = F.regexp_replace(out, r"^https?://+", "https://")
+    return F.regexp_replace(out, r"\.(edu|com|org|net|gov)/(cn|com|org|net|gov)\b", ".$1.$2")
+
+
+def article_url(c: Column, host: str, keys: tuple[str, ...]) -> Column:
+    """The one form of an article's URL at the host: by path where there is one, else by its query parameters in a fixed
+    order; null for another host or scheme, or where a parameter is missing."""
+    values = [F.regexp_extract(c, rf"[?&]{k}=([^&#]+)", 1) for k in keys]
+    complete = reduce(lambda a, b: a & b, (v != "" for v in values))
+    path = F.regexp_extract(c, rf"^https://{host}(/s/[A-Za-z0-9_-]+)", 1)
+    by_query = F.concat(F.lit(f"https://{host}/s?"), F.concat_ws("&", *[F.concat(F.lit(f"{k}="), v) for k, v in zip(keys, values, strict=True)]))
+    return F.when(path != "", F.concat(F.lit(f"https://{host}"), path)).when(c.rlike(rf"^https://{host}/s\?") & complete, by_query)
+
+
+def name_variants(c: Column, prefixes: list[str], suffixes: list[str], joiner: str = "暨", least: int = 6) -> Column:
+    """Keywords for a name: itself, its parts around a joining word, and each without a usual beginning or end; those of
+    `least` characters or more, each once."""
+    whole = title_match_key(c)
+    parts = F.array_distinct(F.concat(F.array(whole), F.split(whole, joiner)))
+    cut = lambda p: F.array_compact(
+        F.array(p, *[F.when(F.startswith(p, F.lit(x)), F.substring(p, F.lit(len(x) + 1), F.length(p))) for x in prefixes], *[F.when(F.endswith(p, F.lit(x)), F.substring(p, F.lit(1), F.length(p) - len(x))) for x in suffixes])
+    )
+    return F.filter(F.array_distinct(F.flatten(F.transform(parts, cut))), lambda k: F.length(k) >= least)
+
+
+def first_contact(c: Column) -> Column:
+    """struct<name, phone, email, qq>: the first of each that a text gives, empty where it gives none."""
+    name = F.regexp_extract(c, r"(?:联系人|联络人|负责人)[：: \t]*([^，,。；;：:（(、\d\s]{2,25})", 1)
+    first = lambda a: F.coalesce(F.get(a, 0), F.lit(""))
+    return F.struct(name.alias("name"), first(phones(c)).alias("phone"), first(emails(c)).alias("email"), F.regexp_extract(c, r"(?i)QQ[群号：: \t]*([0-9]{5,12})", 1).alias("qq"))
+
+
+def subdomains(c: Column, domain: str, noise: list[str]) -> Column:
+    """Subdomain tokens that a line of scanned text may hold: the line itself if it is one, and what stands before the
+    domain; lower case, each once, noise and numbers left out."""
+    line = F.trim(c)
+    alone = F.when(line.rlike(r"^[a-z][a-z0-9]{1,14}$"), F.array(line)).otherwise(F.array().cast("array<string>"))
+    before = F.transform(F.regexp_extract_all(c, F.lit(rf"(?i)([a-z0-9-]{{2,20}})\s*[·/.]\s*{domain}"), 1), lambda x: F.lower(x))
+    return F.filter(F.array_distinct(F.concat(alone, before)), lambda x: ~x.isin(*noise) & ~x.rlike("^[0-9]+$"))
+
+
+def competition_names(title: Column) -> Column:
+    """Names of contests that a title gives, as it gives them, each once."""
+    found = F.regexp_extract_all(title, F.lit(r"((?:第[一二三四五六七八九十百零〇\d]+届)?[^，。；：“”\n]{2,80}(?:竞赛|大赛|挑战赛|世界杯))"), 1)
+    return F.array_distinct(F.transform(found, lambda x: F.trim(F.regexp_replace(x, r"^(?:关于|组织|举办|开展|参加)+", ""))))
+
+
+def track_names(title: Column) -> Column:
+    """Names of tracks of a contest that a title gives, each once."""
+    patterns = (r"([A-Za-z][A-Za-z0-9]*[一-鿿]{0,12}赛道)", r"[“「《]([^“”「」《》，。；]{1,35}赛道)[”」》]", r"[（(]([^）)，。；]{1,35}赛道)[）)]", r"(?:竞赛|大赛)([^，。；\s—–：:（(“”「」《》]{2,30}(?:赛道|专题赛))", r"(?:—|–|：|:)([^，。；：:]{1,25}赛道)")
+    return F.array_distinct(F.transform(F.flatten(F.array(*[F.regexp_extract_all(title, F.lit(p), 1) for p in patterns])), lambda x: F.trim(x)))
+
+
+def track_id(name: Column) -> Column:
+    return F.concat(F.lit("track-"), F.substring(F.sha2(name.cast("binary"), 256), 1, 10))
+
+
+def noise_line(c: Column, exact: list[str], words: list[str]) -> Column:
+    """Headers, footers and page numbers of a laid-out table."""
+    compact = F.regexp_replace(c, r"[ 　]", "")
+    return contains_any(c, words) | compact.isin(*exact) | compact.rlike(r"^[-\s]*[0-9]+[-\s]*$")

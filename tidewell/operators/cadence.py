@@ -15,27 +15,29 @@ def activity(df: DataFrame, key: str, day: str) -> DataFrame:
 
 
 def best_window(months: Column, total: Column, longest: int = 6, percent: int = 60) -> Column:
-    """struct<size, covered, start>: the shortest circular window that holds `percent` of the total; of equals the one
-    that holds more, then the later start. Null if none does. Evaluated in place over the 12 counts."""
+    """struct<size, less, back>: the shortest circular window that holds `percent` of the total; of equals the one that
+    holds more (-less), then the later start (-back). Null if none does. Evaluated in place over the 12 counts."""
     twice = F.concat(months, months)
-    options = []
-    for size in range(1, longest + 1):
-        for start in range(1, 13):
-            covered = sum((twice[start - 1 + k] for k in range(1, size)), twice[start - 1])
-            options.append(F.when(covered * 100 >= total * percent, F.struct(F.lit(size).alias("size"), (-covered).alias("less"), F.lit(-start).alias("back"))))
-    best = F.array_min(F.array_compact(F.array(*options)))
-    return F.when(best.isNotNull(), F.struct(best["size"].alias("size"), (-best["less"]).alias("covered"), (-best["back"]).alias("start")))
+
+    def option(i: Column) -> Column:
+        size, start = F.floor(i / 12).cast("int") + 1, (i % 12 + 1).cast("int")
+        covered = F.aggregate(F.slice(twice, start, size), F.lit(0).cast("long"), lambda n, x: n + x)
+        return F.struct(size.alias("size"), (-covered).alias("less"), (-start).alias("back"))
+
+    options = F.transform(F.sequence(F.lit(0), F.lit(12 * longest - 1)), option)
+    return F.array_min(F.filter(options, lambda o: -o["less"] * 100 >= total * percent))
 
 
 def cadence(df: DataFrame, key: str, day: str, min_years: int = 2) -> DataFrame:
     """key, years_observed, total, window_start, window_end, covered, percent, confidence, for keys seen in enough years
     that have a window."""
-    made = activity(df, key, day).filter(F.size("years") >= min_years).withColumn("window", best_window(F.col("months"), F.col("total"))).filter("window is not null")
-    years = F.size("years")
+    known = activity(df, key, day).filter(F.size("years") >= min_years)
+    # Exploding the one window evaluates it once, and leaves out the keys that have none.
+    made = known.select(key, "years", "total", F.inline(F.array_compact(F.array(best_window(F.col("months"), F.col("total"))))))
+    years, start, covered = F.size("years"), -F.col("back"), -F.col("less")
     return made.select(
-        key, years.cast("long").alias("years_observed"), "total", F.col("window.start").cast("long").alias("window_start"),
-        ((F.col("window.start") + F.col("window.size") - 2) % 12 + 1).cast("long").alias("window_end"), F.col("window.covered").alias("covered"),
-        F.floor(F.col("window.covered") * 100 / F.col("total")).alias("percent"), F.when(years >= 4, "high").when(years >= 3, "medium").otherwise("low").alias("confidence"),
+        key, years.cast("long").alias("years_observed"), "total", start.cast("long").alias("window_start"), ((start + F.col("size") - 2) % 12 + 1).cast("long").alias("window_end"),
+        covered.alias("covered"), F.floor(covered * 100 / F.col("total")).alias("percent"), F.when(years >= 4, "high").when(years >= 3, "medium").otherwise("low").alias("confidence"),
     )
 
 

@@ -6,48 +6,95 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
 def monotone_partition(values: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Group of each of the ordered values: contiguous runs, in order and none empty, one for each centre, with the
-    least sum of distances to their centres."""
-    n, k = len(values), len(centres)
-    if n < k:
-        return np.arange(n)
-    cost = np.abs(values[:, None] - centres[None, :]).cumsum(axis=0)
-    best = np.full((k, n), np.inf)
-    start = np.zeros((k, n), int)
-    best[0] = cost[:, 0]
-    for g in range(1, k):
-        # best[g][i]: the values up to i in groups up to g; the last group begins behind j.
-        before = best[g - 1] - cost[:, g]
-        low, at = np.inf, 0
-        for i in range(g, n):
-            if before[i - 1] < low:
-                low, at = before[i - 1], i
-            best[g, i], start[g, i] = cost[i, g] + low, at
-    out, end = np.zeros(n, int), n
+    """Groups (rows x n) of the ordered values (rows x n): contiguous runs, in order and none empty, one for each of k
+    centres, with the least sum over the groups of the distance of a group's mean to its centre; of equals the one
+    whose later groups begin earlier. Rows with fewer values than centres take one group each, in order."""
+    rows, n = values.shape
+    k = centres.shape[-1]
+    if n < k or not k:
+        return np.broadcast_to(np.arange(n), (rows, n)).astype(np.int64)
+    centres = np.broadcast_to(centres, (rows, k))
+    total = np.concatenate([np.zeros((rows, 1)), np.cumsum(values, axis=1)], axis=1)
+    best = np.full((rows, n + 1), np.inf)
+    best[:, 0] = 0.0
+    start = np.zeros((k, rows, n + 1), np.int64)
+    for g in range(k):
+        after = np.full((rows, n + 1), np.inf)
+        for i in range(g + 1, n + 1):  # the group g ends behind value i - 1 and begins at j
+            j = np.arange(g, i)
+            cost = best[:, j] + np.abs((total[:, [i]] - total[:, j]) / (i - j) - centres[:, [g]])
+            at = np.argmin(cost, axis=1)
+            start[g, :, i] = j[at]
+            after[:, i] = cost[np.arange(rows), at]
+        best = after
+    out = np.zeros((rows, n), np.int64)
+    end = np.full(rows, n)
+    place = np.arange(n)
     for g in range(k - 1, -1, -1):
-        begin = start[g, end - 1] if g else 0
-        out[begin:end] = g
+        begin = start[g, np.arange(rows), end]
+        out[(place >= begin[:, None]) & (place < end[:, None])] = g
         end = begin
     return out
 
 
-def partition_rows(df: DataFrame, key: str, order: str, value: str, centres: list[float]) -> DataFrame:
-    """key, order, value, part: monotone_partition of each key's rows by order. A key's rows meet in one task, as they
-    are the fragments of one page or table."""
+def partition_arrays(values: Column, centres: list[float]) -> Column:
+    """array<long>: the group of each of a row's ordered values. Rows of one length are worked out together."""
     fixed = np.array(centres)
 
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        return rows.assign(part=monotone_partition(rows[value].to_numpy(float), fixed).astype("int64"))
+    @F.pandas_udf("array<long>")
+    def parts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for column in batches:
+            lengths = column.map(len).to_numpy()
+            out = np.empty(len(column), object)
+            for n in np.unique(lengths):
+                at = np.flatnonzero(lengths == n)
+                step = max(1, (1 << 22) // max(1, int(n)))
+                for i in range(0, len(at), step):
+                    some = at[i : i + step]
+                    made = monotone_partition(np.stack(column.iloc[some].to_list()).reshape(len(some), n).astype(float), fixed)
+                    for row, groups in zip(some, made, strict=True):
+                        out[row] = groups
+            yield pd.Series(out, index=column.index)
+
+    return parts(values)
+
+
+def partition_rows(df: DataFrame, key: str, order: str, value: str, centres: list[float]) -> DataFrame:
+    """key, order, value, part: monotone_partition of each key's rows by order. A key's rows meet in one array, as they
+    are the fragments of one page or column; rows without a value take no part."""
+    pages = df.filter(F.col(value).isNotNull()).groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, value))).alias("rows"))
+    made = pages.withColumn("parts", partition_arrays(F.transform("rows", lambda r: r[value].cast("double")), centres))
+    return made.select(key, F.explode(F.arrays_zip("rows", "parts")).alias("r")).select(key, F.col(f"r.rows.{order}"), F.col(f"r.rows.{value}"), F.col("r.parts").alias("part"))
+
+
+def same_lines(df: DataFrame, page: str, y: str, x: str, text: str, tolerance: float = 2.0) -> DataFrame:
+    """page, y, text: fragments of one line, joined by x. Downwards, a fragment belongs to the line above it while it is
+    within the tolerance of that line's first fragment, not of the last one, so this is a fold over a page's fragments."""
+    fragment = F.struct((-F.col(y)).alias("down"), F.col(x).alias("x"), F.col(text).alias("text"))
+    pages = df.groupBy(page).agg(F.sort_array(F.collect_list(fragment)).alias("all"))
+    # The state holds the first y of each line so far; a fragment's line is the number of those begun.
+    kind = "array<struct<line:int,first:double,x:double,text:string>>"
+
+    def place(done: Column, f: Column) -> Column:
+        last = F.element_at(done, -1)
+        fresh = (F.size(done) == 0) | (F.abs(last["first"] - f["down"]) > tolerance)
+        line = F.when(F.size(done) == 0, 1).otherwise(last["line"] + fresh.cast("int"))
+        return F.concat(done, F.array(F.struct(line.alias("line"), F.when(fresh, f["down"].cast("double")).otherwise(last["first"]).alias("first"), f["x"].cast("double").alias("x"), f["text"].alias("text"))).cast(kind))
+
+    placed = pages.select(page, F.explode(F.aggregate("all", F.array().cast(kind), place)).alias("f"))
+    lines = placed.groupBy(page, "f.line", "f.first").agg(F.sort_array(F.collect_list(F.struct("f.x", "f.text"))).alias("parts"))
+    return lines.select(page, (-F.col("first")).alias("y"), F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"))
+
 
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    return df.select(key, order, value).groupBy(key).applyInPandas(one, f"{key} {kinds[key]}, {order} {kinds[order]}, {value} {kinds[value]}, part long")
+def columns_by_x(df: DataFrame, x: str, edges: list[float]) -> DataFrame:
+    """cell: number, from 0, of the column that the fragment's x lies in; an edge belongs to the column on its right."""
+    return df.withColumn("cell", sum((F.col(x) >= e).cast("int") for e in edges))
 
 
 def fold(line: str, size: int = 75) -> str:

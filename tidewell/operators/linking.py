@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.facts import let
+
 
 def link_longest(df: DataFrame, text: str, keywords: list[tuple[str, str]], out: str) -> DataFrame:
     """out: target of the longest keyword that the text holds, the earlier of equals; null if none. keywords: (keyword,
@@ -19,9 +21,21 @@ def link_unique(df: DataFrame, text: str, names: list[str], out: str) -> DataFra
     return df.withColumn("held__", F.array_distinct(held)).withColumn(out, F.when(F.size("held__") == 1, F.col("held__")[0]).when(F.size("held__") > 1, "ambiguous").otherwise("unmatched")).drop("held__")
 
 
-def contained_passages(df: DataFrame, text: str, passages: DataFrame, passage: str, most_rows: int = 10_000) -> DataFrame:
-    """Pairs of a row and a passage that its text holds, by a broadcast nested loop over the passages; more than
-    `most_rows` passages are refused, since what is broadcast must be bounded."""
-    if passages.limit(most_rows + 1).count() > most_rows:
-        raise ValueError(f"more than {most_rows} passages")
-    return df.join(F.broadcast(passages), F.contains(F.col(text), F.col(passage)))
+def contained_passages(df: DataFrame, key: str, text: str, passages: DataFrame, passage: str, seed: int = 4) -> DataFrame:
+    """Pairs of a row of df (columns key and text) and a passage that its text holds as it is.
+
+    The words of a passage but its first and last are whole words of a text that holds it, so the first `seed` of them
+    are looked up by their hash among the runs of words of all texts; only (key, hash) travels until a text is compared
+    in full. Passages of fewer than seed + 2 words, rarely any, are compared with every text. A null passage is held by
+    nothing, an empty one by every text that isn't null."""
+    spaces = r"[\x20\x09-\x0D]+"
+    inner = F.slice(F.split(passage, spaces), 2, seed)
+    long_enough = F.size(F.split(passage, spaces)) >= seed + 2
+    seeds = passages.filter(long_enough).withColumn("seed__", F.xxhash64(F.array_join(inner, " ")))
+    # Each word's place is hashed with those behind it: one array a position, shifted, so that no slice is copied.
+    runs = let(F.split(text, spaces), lambda w: F.transform(w, lambda x, i: F.xxhash64(F.concat_ws(" ", x, *[F.get(w, i + k) for k in range(1, seed)]))))
+    df = df.select(key, text)
+    held = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("key__"), F.explode(F.array_distinct(runs)).alias("seed__")).join(seeds, "seed__").distinct()
+    found = df.join(held, F.col(key).eqNullSafe(F.col("key__")) & F.contains(F.col(text), F.col(passage))).select(*df.columns, *passages.columns)
+    short = passages.filter(F.size(F.split(passage, spaces)) < seed + 2)
+    return found.unionByName(df.join(short, F.contains(F.col(text), F.col(passage))).select(*df.columns, *passages.columns))

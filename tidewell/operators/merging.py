@@ -29,9 +29,16 @@ def first_by(df: DataFrame, by: list[Column], order: list[Column]) -> DataFrame:
 
 
 def disambiguate(df: DataFrame, name: str, suffix: Column, order: list[Column]) -> DataFrame:
-    """The second and later rows of a name get the suffix in brackets."""
+    """The second and later rows of a name get the suffix in brackets. A name so made counts as seen: a later row that
+    has it from the start gets its own suffix, too. Ascending order; it must be total."""
     turn = F.row_number().over(Window.partitionBy(name).orderBy(*order))
-    return df.withColumn("turn", turn).withColumn(name, F.when(F.col("turn") > 1, F.concat(F.col(name), F.lit(" ("), suffix, F.lit(")"))).otherwise(F.col(name))).drop("turn")
+    long_name = F.concat(F.col(name), F.lit(" ("), suffix, F.lit(")"))
+    at = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    marked = df.withColumn("at__", at).withColumn("long__", long_name).withColumn("again__", turn > 1)
+    made = marked.filter("again__").groupBy(F.col("long__").alias("made__")).agg(F.min("at__").alias("made_at__"))
+    joined = marked.join(made, F.col(name) == F.col("made__"), "left")
+    again = F.col("again__") | F.coalesce(F.col("made_at__") < F.col("at__"), F.lit(False))
+    return joined.withColumn(name, F.when(again, F.col("long__")).otherwise(F.col(name))).select(*df.columns)
 
 
 def priority_union(parts: list[DataFrame], key: Column, order: list[Column]) -> DataFrame:

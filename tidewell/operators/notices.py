@@ -9,21 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions import dates, text
-from tidewell.operators import history, reports
-
-#: Cues of the kinds of dates, in order of precedence; the first kind with a cue in the clause counts.
-KINDS = [
-    ("results", ["公示", "公布", "获奖", "结果"]),
-    ("submission_deadline", ["提交截止", "作品提交", "提交作品", "材料提交", "递交"]),
-    ("registration_start", ["报名开始", "开始报名", "报名启动"]),
-    ("registration_deadline", ["报名截止", "截止报名", "报名时间", "报名"]),
-    ("campus_selection", ["校赛", "选拔", "校内"]),
-    ("competition", ["比赛", "决赛", "竞赛", "举办", "举行"]),
-]
-#: Cues of a change of date, and of a clock time behind a date.
-POSTPONED = r"(延期|延长|调整|顺延|推迟|变更)[^。；;\n]{0,8}(至|到|为)\s*$"
-CLOCK = r"^\s*(上午|下午|晚上|中午|凌晨)?\s*([0-9]{1,2})(?:[:：点时])\s*([0-9]{1,2})?(?:分)?(半)?"
+from tidewell.functions import facts, text
+from tidewell.operators import editions, history, reports
+
 #: What makes a title of each state, deny before allow.
 EXCLUDED = r"获奖|公示|结果|名单|喜报|表彰"
 TARGET = r"报名|参赛|选拔|竞赛|大赛|挑战赛|通知"
@@ -31,36 +19,40 @@ RETRY = ["timeout", "connection reset", "502", "503", "504", "temporarily"]
 
 
 def events(notices: DataFrame, key: str, body: str, published: str) -> DataFrame:
-    """One row a date: key, kind, value, time, raw, start, end, flags, verification, superseded.
+    """One row a date: key, kind, value, time, end_value, raw, start, end, begin, before, after, flags, verification,
+    superseded, revises.
 
-    Dates of one kind with several values are in conflict; where one of them stands behind words of postponement, the
-    others are superseded. Null bodies have none.
+    Deadlines of one kind with several values are in conflict; where one of them stands behind words of change, those
+    with another value are superseded. revises: the text before says that something moves to this date. Null bodies have
+    none.
     """
-    base = notices.select(key, F.coalesce(body, F.lit("")).alias("text__"), F.to_timestamp_ntz(F.col(published)).alias("day__"))
-    found = base.select(key, F.col("text__").alias("body"), F.explode(dates.date_events(F.col("text__"), F.col("day__"))).alias("e"))
-    before = F.regexp_extract(F.substring("body", F.greatest(F.col("e.start") - 29, F.lit(1)), F.least(F.col("e.start"), F.lit(30))), r"[^。；;\n]*$", 0)
-    after = F.substring("body", F.col("e.end") + 1, F.lit(12))
-    period = F.when(F.regexp_extract(after, CLOCK, 1).isin("下午", "晚上"), "pm").otherwise("am")
-    minute = F.when(F.regexp_extract(after, CLOCK, 4) != "", 30).otherwise(F.coalesce(F.regexp_extract(after, CLOCK, 3).try_cast("int"), F.lit(0)))
-    hour = F.regexp_extract(after, CLOCK, 2).try_cast("int")
-    time = dates.clock(hour, minute, period)
-    moved = before.rlike(POSTPONED)
-    made = found.select(
-        key, text.classify(before, KINDS, "other").alias("kind"), "e.value", time.alias("time"), "e.raw", "e.start", "e.end",
-        F.array_compact(F.concat("e.flags", F.array(F.when(moved, "postponed"), F.when(hour.isNotNull() & time.isNull(), "invalid_time")))).alias("flags"), moved.alias("moved"),
-    )
-    # Dates of one notice are few, so its window is small however many notices there are.
-    by_kind = made.groupBy(key, "kind").agg(F.count_distinct("value", F.coalesce("time", F.lit(""))).alias("values"), F.bool_or("moved").alias("any_moved"))
-    joined = made.join(by_kind, [key, "kind"])
-    conflict = (F.col("values") > 1) & F.col("kind").isin("registration_start", "registration_deadline", "submission_deadline")
-    flags = F.array_compact(F.array_append("flags", F.when(conflict, F.lit("conflict"))))
-    return joined.select(key, "kind", "value", "time", "raw", "start", "end", flags.alias("flags"), F.when(F.size(flags) > 0, "needs_review").otherwise("source_matched").alias("verification"), (conflict & F.col("any_moved") & ~F.col("moved")).alias("superseded"))
+    base = notices.select(key, F.coalesce(body, F.lit("")).alias("text__"), F.col(published).cast("string").alias("day__"))
+    # The dates of one notice are few and stay in its row, so nothing is shuffled.
+    found = facts.date_events(base, "text__", "day__", "all__").filter(F.size("all__") > 0)
+
+    def rivals(e: Column) -> Column:
+        same = F.filter("all__", lambda o: (o["kind"] == e["kind"]) & o["value"].isNotNull())
+        return F.filter(same, lambda o: ~(o["value"].eqNullSafe(e["value"]) & o["time"].eqNullSafe(e["time"])))
+
+    def judged(e: Column) -> Column:
+        others = rivals(e)
+        conflict = e["kind"].isin(*facts.DEADLINES) & e["value"].isNotNull() & (F.size(others) > 0)
+        moved = F.exists(others, lambda o: (o["value"] != e["value"]) & F.array_contains(o["flags"], "postponed") & o["before"].rlike(facts.CHANGED))
+        flags = F.when(conflict, F.array_append(e["flags"], F.lit("conflict"))).otherwise(e["flags"])
+        return F.struct(e.alias("e"), flags.alias("flags"), (conflict & moved).alias("superseded"))
+
+    made = found.select(key, F.inline(F.transform("all__", judged)))
+    verification = F.when(F.size("flags") > 0, "needs_review").otherwise("source_matched")
+    parts = ("kind", "value", "time", "end_value", "raw", "start", "end", "begin", "before", "after")
+    return made.select(key, *[F.col(f"e.{p}").alias(p) for p in parts], "flags", verification.alias("verification"), "superseded", F.col("e.before").rlike(facts.REVISED_TO).alias("revises"))
 
 
 def safe_deadlines(found: DataFrame, key: str) -> DataFrame:
-    """key, safe: the registration deadline of a notice, if its dates agree on one and none needs review."""
-    deadlines = found.filter("kind = 'registration_deadline'").groupBy(key).agg(F.min("value").alias("low"), F.max("value").alias("high"), F.bool_or(F.size("flags") > 0).alias("doubt"))
-    return deadlines.select(key, F.when((F.col("low") == F.col("high")) & ~F.col("doubt"), F.col("low")).alias("safe"))
+    """key, safe: the deadline of a notice, if those without flags agree on one day and time."""
+    deadlines = found.filter(F.col("kind").isin(*facts.DEADLINES))
+    fine = (F.size("flags") == 0) & ~F.col("superseded") & F.col("value").isNotNull()
+    one = F.collect_set(F.when(fine, F.struct("value", "time")))
+    return deadlines.groupBy(key).agg(one.alias("of")).select(key, F.when(F.size("of") == 1, F.col("of")[0]["value"]).alias("safe"))
 
 
 def contacts(notices: DataFrame, key: str, body: str) -> DataFrame:
@@ -78,17 +70,8 @@ def state(title: Column, status: Column) -> Column:
 def identity(title: Column) -> Column:
     """struct<year, edition, phase>: what edition of a competition a title names; null members where it names none or
     several."""
-    years = F.array_distinct(F.regexp_extract_all(title, F.lit(r"(20[0-9]{2})\s*年"), 1))
-    numbers = F.array_distinct(F.regexp_extract_all(title, F.lit(r"第([0-9]{1,3}|[一二三四五六七八九十]{1,3})届"), 1))
-    return F.struct(F.when(F.size(years) == 1, years[0].try_cast("int")).alias("year"), F.when(F.size(numbers) == 1, round_number(numbers[0])).alias("edition"), F.when(title.rlike("校赛|校内"), "campus").when(title.rlike("省赛|赛区"), "province").when(title.rlike("国赛|全国总决赛"), "national").alias("phase"))
-
-
-def round_number(c: Column) -> Column:
-    """An Arabic or Chinese ordinal up to 99 as int."""
-    digit = lambda x: F.position(x, F.lit("一二三四五六七八九"))
-    tens = F.when(c.startswith("十"), 1).otherwise(digit(F.substring(c, 1, 1)))
-    ones = F.when(c.endswith("十"), 0).otherwise(digit(F.substring(c, -1, 1)))
-    return F.when(c.rlike("^[0-9]+$"), c.try_cast("int")).when(c.contains("十"), tens * 10 + ones).otherwise(digit(c))
+    whole = editions.identity(title)
+    return F.struct(whole["year"].alias("year"), whole["edition"].alias("edition"), whole["phase"].alias("phase"))
 
 
 def bridge_editions(notices: DataFrame, by: str, key: str) -> DataFrame:
@@ -114,9 +97,9 @@ def check_evidence(found: DataFrame, notices: DataFrame, key: str, body: str) ->
 
 def registration(found: DataFrame, key: str, now: Column) -> DataFrame:
     """key, status at `now`, rolled up over the dates of registration that aren't superseded."""
-    live = found.filter(~F.col("superseded") & F.col("kind").isin("registration_start", "registration_deadline"))
+    live = found.filter(~F.col("superseded") & F.col("kind").isin("registration_start", *facts.DEADLINES))
     start = F.max(F.when(F.col("kind") == "registration_start", F.col("value")))
-    slots = live.groupBy(key).agg(start.alias("s"), F.max(F.when(F.col("kind") == "registration_deadline", F.concat_ws(" ", "value", F.coalesce("time", F.lit("23:59"))))).alias("d"), F.bool_or(F.array_contains("flags", "conflict")).alias("conflict"))
+    slots = live.groupBy(key).agg(start.alias("s"), F.max(F.when(F.col("kind").isin(*facts.DEADLINES), F.concat_ws(" ", "value", F.coalesce("time", F.lit("23:59"))))).alias("d"), F.bool_or(F.array_contains("flags", "conflict")).alias("conflict"))
     return slots.select(key, F.when(F.col("conflict"), "conflict").otherwise(history.registration_status(F.col("s"), F.col("d"), now)).alias("status"))
 
 

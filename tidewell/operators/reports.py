@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def facet_filter(df: DataFrame, facets: dict[str, Column | None]) -> DataFrame:
@@ -22,10 +21,11 @@ def facet_counts(df: DataFrame, facets: dict[str, Column]) -> DataFrame:
 
 
 def group_by_month(df: DataFrame, day: str, order: list[Column]) -> DataFrame:
-    """month (yyyy-MM), and heading: whether the row begins a month of the sorted list."""
-    month = F.date_format(day, "yyyy-MM")
-    turn = F.row_number().over(Window.partitionBy("month").orderBy(*order))
-    return df.withColumn("month", month).withColumn("heading", turn == 1)
+    """month (yyyy-MM), and heading: whether the row begins a month of the sorted list. The order must be total. The
+    first row of each month is found by aggregation and joined, so no month is gathered in one task."""
+    dated = df.withColumn("month", F.date_format(day, "yyyy-MM")).withColumn("at__", F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]))
+    first = dated.groupBy("month").agg(F.min("at__").alias("first__"))
+    return dated.join(F.broadcast(first), dated.month.eqNullSafe(first.month)).drop(first.month).withColumn("heading", F.col("at__") == F.col("first__")).drop("at__", "first__")
 
 
 def coverage(df: DataFrame, ok: Column) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.functions import dates, html, text
+from tidewell.functions import dates, facts, html, text
 from tidewell.operators import cadence, calendar, history, layout, linking, merging, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,7 +102,7 @@ def q09_normalise_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", text.normal_name(F.col("c_name")).alias("name_key"))
 
 
-@query(f"SELECT doc_id, translate(translate(substr(text, 1, 60), '{text.FULL}', '{text.HALF.replace(chr(39), chr(39) * 2)}'), '　', ' ') AS head FROM documents")
+@query(f"SELECT doc_id, translate(translate(text, '{text.FULL}', '{text.HALF.replace(chr(39), chr(39) * 2)}'), '　', ' ') AS head FROM documents")
 def q10_fullwidth_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.half_width(F.col("text")).alias("head"))
 
@@ -139,7 +139,7 @@ def q14_catalog_sort_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month, row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY o_orderdate DESC, o_orderkey) = 1 AS heading FROM orders"
 )
 def q15_group_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.group_by_month(table(spark, sf_dir, "orders"), "o_orderdate", [F.desc("o_orderdate"), F.col("o_orderkey")]).select("o_orderkey", "month", "heading")
+    return reports.group_by_month(table(spark, sf_dir, "orders"), "o_orderdate", [-F.unix_micros(F.col("o_orderdate").cast("timestamp")), F.col("o_orderkey")]).select("o_orderkey", "month", "heading")
 
 
 @query("SELECT o_orderkey FROM orders WHERE month(o_orderdate) >= 11 OR month(o_orderdate) <= 2")
@@ -188,7 +188,7 @@ def q21_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT min(doc_id) AS doc_id FROM documents GROUP BY regexp_replace(lower(text), '[^a-zà-ÿ0-9]', '', 'g')")
 def q22_first_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.xxhash64(F.regexp_replace(F.lower("text"), "[^a-zà-ÿ0-9]", ""))
+    key = F.sha2(F.regexp_replace(F.lower("text"), "[^a-zà-ÿ0-9]", "").cast("binary"), 256)
     return merging.first_by(table(spark, sf_dir, "documents").select("doc_id", key.alias("key")), [F.col("key")], [F.col("doc_id")]).select("doc_id")
 
 
@@ -198,7 +198,7 @@ def q23_disambiguate_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "WITH u AS (SELECT c_name AS name, 0 AS p, 'customer' AS origin FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT 'customer ' || substr(s_name, 10), 1, 'supplier' FROM supplier UNION ALL SELECT n_name, 2, 'nation' FROM nation), "
+    "WITH u AS (SELECT c_name AS name, 0 AS p, 'customer' AS origin FROM customer UNION ALL SELECT 'customer ' || substr(s_name, 10), 1, 'supplier' FROM supplier UNION ALL SELECT n_name, 2, 'nation' FROM nation), "
     "k AS (SELECT *, regexp_replace(lower(name), '[^a-z0-9#]', '', 'g') AS name_key FROM u), r AS (SELECT *, row_number() OVER (PARTITION BY name_key ORDER BY p, name) AS rn FROM k) SELECT name_key, name, origin FROM r WHERE rn = 1"
 )
 def q24_priority_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,10 +243,10 @@ def q28_entity_link_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linking.link_unique(table(spark, sf_dir, "part"), "p_name", ["red", "ring", "widget"], "linked").select("p_partkey", "linked")
 
 
-@query("SELECT doc_id, item_id FROM documents, benchmark WHERE contains(documents.text, substr(benchmark.text, 1, 60))")
+@query("SELECT doc_id, item_id FROM documents, benchmark WHERE contains(documents.text, benchmark.text)")
 def q29_passage_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     passages = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
-    return linking.contained_passages(table(spark, sf_dir, "documents"), "text", passages, "passage").select("doc_id", "item_id")
+    return linking.contained_passages(table(spark, sf_dir, "documents"), "doc_id", "text", passages, "passage").select("doc_id", "item_id")
 
 
 @query("SELECT page_id, regexp_replace(regexp_replace(lower(trim(url)), '^https?://(www\\.)?', ''), '/+$', '') AS url_key FROM pages")
@@ -297,21 +297,31 @@ def q36_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS full_date, strftime(o_orderdate, '%Y-%m-%d') AS first_event, CAST(length(CAST(o_orderkey AS VARCHAR)) + 5 AS BIGINT) AS start FROM orders"
+    "SELECT o_orderkey, strftime(d, '%Y-%m-%d') AS full_date, strftime(d, '%Y-%m-%d') AS first_event, CAST(length(CAST(o_orderkey AS VARCHAR)) + 5 AS BIGINT) AS start FROM (SELECT o_orderkey, o_orderdate + INTERVAL 20 YEAR AS d FROM orders)"
 )
 def q37_date_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    written = F.concat(F.lit("No. "), F.col("o_orderkey").cast("string"), F.lit(":"), F.date_format("o_orderdate", "yyyy年M月d日"), F.lit(" and 2026年2月30日"))
+    written = F.concat(F.lit("No. "), F.col("o_orderkey").cast("string"), F.lit(":"), F.date_format(F.col("o_orderdate") + F.make_ym_interval(F.lit(20)), "yyyy年M月d日"), F.lit(" and 2026年2月30日"))
     made = table(spark, sf_dir, "orders").withColumn("written", written)
-    made = made.select("o_orderkey", dates.dates_in(F.col("written"))[0].alias("full_date"), dates.date_events(F.col("written"), F.col("o_orderdate"))[0].alias("e"))
+    made = facts.date_events(made.withColumn("published", F.lit("1990-01-01")), "written", "published", "events")
+    made = made.select("o_orderkey", dates.dates_in(F.col("written"))[0].alias("full_date"), F.col("events")[0].alias("e"))
     return made.select("o_orderkey", "full_date", F.col("e.value").alias("first_event"), F.col("e.start").cast("long").alias("start"))
 
 
-@query("SELECT count(*) AS checked, CAST(0 AS BIGINT) AS failures FROM orders")
+NOTE_SQL = "WITH n AS (SELECT o_orderkey, CAST(month(o_orderdate) AS VARCHAR) || '月' || CAST(day(o_orderdate) AS VARCHAR) || '日' AS d, CAST(o_orderkey AS VARCHAR) AS k FROM orders)"
+
+
+@query(
+    NOTE_SQL + ", e AS (SELECT o_orderkey, length(k) + 4 AS start, 5 + length(d) AS size, 'registration_start' AS kind FROM n UNION ALL SELECT o_orderkey, length(k) + 16 + length(d), length(d), 'registration_deadline' FROM n "
+    "UNION ALL SELECT o_orderkey, length(k) + 22 + 2 * length(d), 5 + length(d), 'competition' FROM n) SELECT o_orderkey, kind, CAST(start AS BIGINT) AS start, CAST(start + size AS BIGINT) AS \"end\" FROM e"
+)
 def q38_evidence_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    written = F.concat(F.lit("报名截止："), F.date_format("o_orderdate", "yyyy年MM月dd日"), F.lit("。"))
-    made = table(spark, sf_dir, "orders").select(written.alias("written")).withColumn("e", F.explode(dates.date_events(F.col("written"), F.to_timestamp_ntz(F.lit("1990-01-01")))))
+    """The same day three times, once without its year: each fact keeps its own place and kind."""
+    day = F.date_format("o_orderdate", "M月d日")
+    written = F.concat(F.col("o_orderkey").cast("string"), F.lit("号报名自"), F.lit("2026年"), day, F.lit("开始，报名截至"), day, F.lit("结束；决赛 "), F.lit("2026年"), day, F.lit("。"))
+    made = table(spark, sf_dir, "orders").select("o_orderkey", written.alias("written"), F.lit("2026-01-01").alias("published"))
+    made = facts.date_events(made, "written", "published", "events").withColumn("e", F.explode("events"))
     again = F.substring(F.col("written"), F.col("e.start") + 1, F.col("e.end") - F.col("e.start"))
-    return made.agg(F.count("*").alias("checked"), F.count_if(again != F.col("e.raw")).alias("failures"))
+    return made.filter(again == F.col("e.raw")).select("o_orderkey", "e.kind", F.col("e.start").cast("long").alias("start"), F.col("e.end").cast("long").alias("end"))
 
 
 @query("SELECT l_orderkey, CASE WHEN count(DISTINCT l_shipdate) = 1 THEN min(l_shipdate) END AS safe FROM lineitem GROUP BY 1")
@@ -444,7 +454,14 @@ def q54_fold_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", F.octet_length("folded").alias("bytes"), longest.alias("longest"))
 
 
-@query()
+@query(
+    "WITH v AS (SELECT o_custkey, o_orderkey, o_totalprice AS y, row_number() OVER w AS i, sum(o_totalprice) OVER w AS p, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)), "
+    "a AS (SELECT o_custkey, i, p, abs(p / i - 50000) AS c FROM v), "
+    "b AS (SELECT x.o_custkey, x.i AS i1, z.i AS i2, z.p AS p2, x.c AS c1, x.c + abs((z.p - x.p) / (z.i - x.i) - 200000) AS c2 FROM a x JOIN a z ON z.o_custkey = x.o_custkey AND z.i > x.i), "
+    "t AS (SELECT o_custkey, p, n FROM v WHERE i = n AND n >= 3), "
+    "r AS (SELECT b.o_custkey, i1, i2, row_number() OVER (PARTITION BY b.o_custkey ORDER BY c2 + abs((t.p - p2) / (n - i2) - 400000), i2, c2, i1) AS rn FROM b JOIN t ON t.o_custkey = b.o_custkey AND n > i2) "
+    "SELECT v.o_custkey, v.o_orderkey, v.y AS o_totalprice, CAST(CASE WHEN n < 3 THEN i - 1 WHEN i <= i1 THEN 0 WHEN i <= i2 THEN 1 ELSE 2 END AS BIGINT) AS part FROM v LEFT JOIN r ON r.o_custkey = v.o_custkey AND rn = 1"
+)
 def q55_layout_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.partition_rows(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_totalprice", [50_000.0, 200_000.0, 400_000.0])
 
