@@ -8,8 +8,11 @@ from tidewell.llm.top_k import search
 def brute(rows, queries, k):
     ok = lambda v: v is not None and all(x is not None and np.isfinite(x) for x in v)
     ints = lambda v: [int(np.floor(64.0 * x)) for x in v]
-    out = []
+    out, least = [], {}
     for q, e in queries:
+        if q is not None and ok(e):
+            least[q] = min(least.get(q, e), e)
+    for q, e in least.items():
         if q is None or not ok(e):
             continue
         scored = sorted((-sum(a * b for a, b in zip(ints(e), ints(v))), i) for i, v in rows if i is not None and i != q and ok(v))
@@ -34,3 +37,21 @@ def test_few_and_none(spark):
     assert [tuple(r) for r in search(df, df.filter("vec_id = 20")).collect()] == [(20, 1, 1, 64 * 32 + 128 * 32)]
     assert search(df.filter("false"), df).count() == 0
     assert search(df, df.filter("false")).count() == 0
+
+
+def test_large_components(spark):
+    rng = random.Random(3)
+    for top in (1 << 23, 1 << 24, 1 << 20):
+        rows = [(i, [float(rng.randrange(-top, top)) for _ in range(16)]) for i in range(120)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = sorted(tuple(r) for r in search(df, df.filter("vec_id % 20 = 0"), 10, 50, 4).collect())
+        assert got == brute(rows, [r for r in rows if r[0] % 20 == 0], 10)
+
+
+def test_repeated_queries(spark):
+    rng = random.Random(4)
+    rows = [(i % 40, [rng.gauss(0, 1) for _ in range(4)]) for i in range(60)]
+    rows += rows[:21]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in search(df, df.filter("vec_id % 20 = 0"), 20, 30, 4).collect())
+    assert got == brute(rows, [r for r in rows if r[0] % 20 == 0], 20) and len(got) == 40
