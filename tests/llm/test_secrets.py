@@ -1,7 +1,10 @@
 import random
 import re
+import time
 
-from tidewell.llm.secrets import BASE, RULES, compiled, in_code_points, redact
+import pytest
+
+from tidewell.llm.secrets import BASE, RULES, Rule, compiled, find_secrets, in_code_points, parsed, redact
 
 PATTERNS = {
     "assign": (re.compile(r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), 2, 12),
@@ -47,3 +50,36 @@ def test_private_keys_go_with_their_bodies(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = [r.text for r in redact(rows).orderBy("doc_id").collect()]
     assert got == ["é a [secret] b", "a [secret]\n[secret] b", "a [secret] b", '"[secret]"', "[secret]. No key here.", "[secret] no. [secret]"]
+
+
+def test_added_rules_like_regular_expressions():
+    """Each rule's whole pattern, as Python reads it, gives the same spans."""
+    scanner, rng = compiled(RULES), random.Random(2)
+    parts = ["eyJ", "a", ".", "gh", "p_", "xox", "b-", "-", "sk_live_", "rk_", "://", "u", ":", "p", "@", "-----BEGIN ", "RSA ", "PRIVATE KEY-----", " ", "Z9" * 12, "eyJa.eyJb."]
+    wholes = [(k, re.compile(r.pattern.encode()), r) for k, r in enumerate(RULES) if k >= len(BASE) and not r.tail]
+    for _ in range(4000):
+        raw = "".join(rng.choices(parts, k=rng.randint(0, 20))).encode()
+        want = sorted((m.start(), k, m.end()) for k, p, r in wholes for m in p.finditer(raw) if len(m[0]) >= r.least)
+        assert [x for x in scanner.scan(raw) if x[1] >= len(BASE) and not RULES[x[1]].tail] == want, raw
+
+
+def test_compiles_fast_and_refuses_what_it_does_not_know():
+    began = time.process_time()
+    compiled.__wrapped__((*RULES, Rule("x", "x[0-9]+", "x[0-9]")))
+    assert time.process_time() - began < 5
+    for bad in (".", "a{2", "(a", "a)", r"\d", "(?=a)", "é"):
+        with pytest.raises(ValueError):
+            parsed(bad)
+
+
+def test_odd_tables(spark):
+    long = "x " * 200_000 + "token=abcdefghijkl"
+    rows = [(1, None, 1, "s"), (2, "", 2, "s"), (3, long, 3, None), (4, "é token=abcdefghijkl é", 4, "s"), (4, "é token=abcdefghijkl é", 4, "s"), (None, "AKIA" + "A" * 20, 5, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, secrets int, spans string")
+    got = sorted(((r.doc_id or 0, r.text and r.text[-10:], r.secrets, r.spans or "") for r in redact(docs).collect()))
+    assert got == [(0, "[secret]", 5, "s"), (1, None, 1, "s"), (2, "", 2, "s"), (3, "x [secret]", 3, ""), (4, "[secret] é", 4, "s"), (4, "[secret] é", 4, "s")]
+    assert redact(docs).schema == docs.schema and redact(docs.filter("false")).count() == 0
+    found = find_secrets(docs, out="found")
+    assert [(x.kind, x.start, x.end) for x in found.filter("doc_id = 3").first().found] == [("assign", 400_000, 400_018)]
+    with pytest.raises(ValueError):
+        find_secrets(docs)

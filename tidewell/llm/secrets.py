@@ -1,9 +1,11 @@
 """Secret scans by one automaton for all rules.
 
-The rules' regular expressions over bytes become one nondeterministic automaton, subset construction makes it
-deterministic, and partition refinement makes it minimal. Its transition array is read once per byte of a text, for all
-rules together. Where a rule first accepts, a small automaton of that rule alone, run backward, gives the earliest start,
-and run forward from there the end, so that matches are leftmost, longest and without overlap within their rule.
+Regular expressions over bytes become one nondeterministic automaton, subset construction makes it deterministic, and
+partition refinement makes it minimal. Its transition array is read once per byte of a text, for all rules together. It
+holds each rule's expression up to where that tells a match apart (its mark); runs that go on behind it would multiply
+the states of all rules with one another. Where a rule's mark ends, a small automaton of that rule alone, run backward,
+gives the earliest start, and one of the whole rule, run forward from there, the end, so that matches are leftmost,
+longest and without overlap within their rule.
 """
 
 from __future__ import annotations
@@ -22,40 +24,114 @@ from tidewell.llm.common import columns, slices, table, texts_of
 # --- regular expressions over bytes, as trees -------------------------------------------------------------------------
 
 
-def cls(members: bytes | range) -> tuple:
-    return ("class", frozenset(members))
+class Parser:
+    """Trees of expressions: bytes, classes with ranges and ^, (..), (?:..), (?i:..), |, ?, *, +, {n} and the escapes \\n,
+    \\t, \\r, \\v, \\f, \\xHH and of single marks. Anything else is refused."""
+
+    ESCAPES = {"n": 10, "t": 9, "r": 13, "v": 11, "f": 12}
+
+    def __init__(self, pattern: str):
+        self.left, self.fold = list(pattern), False
+
+    def tree(self) -> tuple:
+        made = self.choice()
+        if self.left:
+            raise ValueError("unbalanced bracket in expression")
+        return made
+
+    def next_is(self, *marks: str) -> bool:
+        return bool(self.left) and self.left[0] in marks
+
+    def take(self, expected: str | None = None) -> str:
+        if not self.left or expected is not None and self.left[0] != expected:
+            raise ValueError(f"expression needs {expected or 'more'}")
+        return self.left.pop(0)
+
+    def choice(self) -> tuple:
+        parts = [self.sequence()]
+        while self.next_is("|"):
+            self.take()
+            parts.append(self.sequence())
+        return parts[0] if len(parts) == 1 else ("alt", tuple(parts))
+
+    def sequence(self) -> tuple:
+        parts = []
+        while self.left and not self.next_is("|", ")"):
+            part = self.atom()
+            while self.next_is("?", "*", "+", "{"):
+                mark = self.take()
+                if mark == "{":
+                    n = ""
+                    while not self.next_is("}"):
+                        n += self.take()
+                    self.take("}")
+                    part = ("seq", (part,) * int(n))
+                else:
+                    part = {"?": ("alt", (part, ("seq", ()))), "*": ("star", part), "+": ("seq", (part, ("star", part)))}[mark]
+            parts.append(part)
+        return ("seq", tuple(parts))
+
+    def atom(self) -> tuple:
+        mark = self.take()
+        if mark == "(":
+            outer = self.fold
+            if self.next_is("?"):
+                self.take()
+                flag = self.take()
+                if flag == "i":
+                    self.fold = True
+                    flag = self.take()
+                if flag != ":":
+                    raise ValueError(f"(?{flag} isn't known")
+            made = self.choice()
+            self.take(")")
+            self.fold = outer
+            return made
+        if mark == "[":
+            return self.members()
+        if mark in ".^$]}":
+            raise ValueError(f"{mark} isn't known")
+        return self.one(self.code(mark))
+
+    def code(self, mark: str) -> int:
+        if mark != "\\":
+            return self.byte(mark)
+        mark = self.take()
+        if mark == "x":
+            return int(self.take() + self.take(), 16)
+        if mark.isalnum() and mark not in self.ESCAPES:
+            raise ValueError(f"\\{mark} isn't known")
+        return self.ESCAPES.get(mark, ord(mark))
 
-
-def seq(*parts: tuple) -> tuple:
-    return ("seq", parts)
-
-
-def alt(*parts: tuple) -> tuple:
-    return ("alt", parts)
-
-
-def lit(text: str) -> tuple:
-    return seq(*(cls(bytes([b])) for b in text.encode()))
-
-
-def any_case(text: str) -> tuple:
-    return seq(*(cls(c.lower().encode() + c.upper().encode()) for c in text))
-
-
-def opt(part: tuple) -> tuple:
-    return alt(part, seq())
-
-
-def star(part: tuple) -> tuple:
-    return ("star", part)
-
-
-def plus(part: tuple) -> tuple:
-    return seq(part, star(part))
-
-
-def times(part: tuple, n: int) -> tuple:
-    return seq(*[part] * n)
+    @staticmethod
+    def byte(mark: str) -> int:
+        if ord(mark) > 127:
+            raise ValueError("expressions are ASCII; write other bytes as \\xHH")
+        return ord(mark)
+
+    def one(self, *codes: int) -> tuple:
+        found = set(codes)
+        if self.fold:
+            found |= {ord(chr(c).swapcase()) for c in codes if c < 128}
+        return ("class", frozenset(found))
+
+    def members(self) -> tuple:
+        inverse = self.next_is("^")
+        if inverse:
+            self.take()
+        codes: set[int] = set()
+        while not self.next_is("]"):
+            first = last = self.code(self.take())
+            if self.next_is("-") and len(self.left) > 1 and self.left[1] != "]":
+                self.take()
+                last = self.code(self.take())
+            codes |= set(range(first, last + 1))
+        self.take("]")
+        return ("class", frozenset(range(256)) - self.one(*codes)[1]) if inverse else self.one(*codes)
+
+
+def parsed(pattern: str) -> tuple:
+    return Parser(pattern).tree()
 
 
 def backward(tree: tuple) -> tuple:
@@ -185,43 +261,38 @@ def compile_rules(trees: list[tuple], anywhere: bool) -> Automaton:
 
 # --- rules ------------------------------------------------------------------------------------------------------------
 
-LOWER, UPPER, DIGIT = b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
-VALUE = cls(LOWER + UPPER + DIGIT + b"+/_.=-")
-BASE64_URL = cls(LOWER + UPPER + DIGIT + b"_-")
-ALNUM = cls(LOWER + UPPER + DIGIT)
-QUOTE, SPACES = opt(cls(b"\"'")), star(cls(b" "))
-KEYWORD = alt(any_case("password"), any_case("passwd"), any_case("secret"), any_case("token"), seq(any_case("api"), opt(cls(b"_")), any_case("key")))
-BEFORE_VALUE = seq(KEYWORD, QUOTE, SPACES, cls(b":="), SPACES, QUOTE)
-
 
 @dataclass(frozen=True)
 class Rule:
-    """kind: name in spans. tree: the expression. least: bytes that a match, or its part after `head`, must have. tail:
-    what a match goes on over where it follows."""
+    """kind: name in spans. pattern: the whole expression. mark: the beginning of it that tells a match apart. least:
+    bytes that a match, or its part after `head`, must have. tail: what a match goes on over where it follows."""
 
     kind: str
-    tree: tuple
+    pattern: str
+    mark: str
     least: int = 0
-    head: tuple | None = None
-    tail: tuple | None = None
+    head: str | None = None
+    tail: str | None = None
 
 
+BEFORE_VALUE = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
+VALUE = "[A-Za-z0-9+/_.=-]"
+KEY_LINE = r"[A-Z\x20]*PRIVATE KEY-----"
 #: A key's body, also with its lines in an escaped string or with attributes before it, and its last line.
-KEY_LINE = seq(star(cls(UPPER + b" ")), lit("PRIVATE KEY-----"))
-KEY_BODY = seq(star(alt(cls(LOWER + UPPER + DIGIT + b"+/= \t\n\r\x0b\x0c\\:,"), seq(lit("-"), ALNUM))), lit("-----END "), KEY_LINE)
+KEY_BODY = rf"(?:[A-Za-z0-9+/=\x20\t\n\r\v\f\\:,]|-[A-Za-z0-9])*-----END {KEY_LINE}"
 BASE = (
-    Rule("assign", seq(BEFORE_VALUE, plus(VALUE)), 12, BEFORE_VALUE),
-    Rule("access", seq(lit("AKIA"), plus(cls(UPPER + DIGIT))), 18),
+    Rule("assign", f"{BEFORE_VALUE}{VALUE}+", BEFORE_VALUE + VALUE, 12, BEFORE_VALUE),
+    Rule("access", "AKIA[A-Z0-9]+", "AKIA[A-Z0-9]", 18),
     # The automaton counts to 6, for shorter runs are everywhere.
-    Rule("hex", seq(times(cls(b"0123456789abcdef"), 6), star(cls(b"0123456789abcdef"))), 16),
+    Rule("hex", "[0-9a-f]{6}[0-9a-f]*", "[0-9a-f]{6}", 16),
 )
 ADDED = (
-    Rule("private_key", seq(lit("-----BEGIN "), KEY_LINE), tail=KEY_BODY),
-    Rule("jwt", seq(lit("eyJ"), plus(BASE64_URL), lit("."), lit("eyJ"), plus(BASE64_URL), lit("."), plus(BASE64_URL))),
-    Rule("code_host", seq(lit("gh"), cls(b"pousr"), lit("_"), plus(ALNUM)), 40),
-    Rule("chat", seq(lit("xox"), cls(b"abprs"), lit("-"), plus(cls(LOWER + UPPER + DIGIT + b"-"))), 20),
-    Rule("payment", seq(cls(b"sr"), lit("k_live_"), plus(ALNUM)), 24),
-    Rule("url_password", seq(lit("://"), plus(cls(LOWER + UPPER + DIGIT + b"._-")), lit(":"), plus(cls(LOWER + UPPER + DIGIT + b"._~!$*+=%-")), lit("@")), 8),
+    Rule("private_key", f"-----BEGIN {KEY_LINE}", "-----BEGIN ", tail=KEY_BODY),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", "eyJ[A-Za-z0-9_-]"),
+    Rule("code_host", "gh[pousr]_[A-Za-z0-9]+", "gh[pousr]_", 40),
+    Rule("chat", "xox[abprs]-[A-Za-z0-9-]+", "xox[abprs]-", 20),
+    Rule("payment", "[sr]k_live_[A-Za-z0-9]+", "[sr]k_live_", 24),
+    Rule("url_password", r"://[A-Za-z0-9._-]+:[A-Za-z0-9._~!$*+=%-]+@", "://", 8),
 )
 RULES = BASE + ADDED
 
@@ -229,15 +300,15 @@ RULES = BASE + ADDED
 class Scanner:
     def __init__(self, rules: tuple[Rule, ...] = RULES):
         self.rules = rules
-        self.all = compile_rules([r.tree for r in rules], True)
-        self.alone = [compile_rules([r.tree], True) for r in rules]
-        self.ahead = [compile_rules([r.tree], False) for r in rules]
-        self.behind = [compile_rules([backward(r.tree)], False) for r in rules]
-        self.head = [compile_rules([r.head], False) if r.head else None for r in rules]
-        self.tail = [compile_rules([r.tail], False) if r.tail else None for r in rules]
+        marks = [parsed(r.mark) for r in rules]
+        self.all = compile_rules(marks, True)
+        self.alone = [compile_rules([m], True) for m in marks]
+        self.behind = [compile_rules([backward(m)], False) for m in marks]
+        whole = lambda pattern: compile_rules([parsed(pattern)], False) if pattern else None
+        self.ahead, self.head, self.tail = ([whole(p) for p in ps] for ps in ([r.pattern for r in rules], [r.head for r in rules], [r.tail for r in rules]))
 
     def accepted(self, text: bytes) -> list[tuple[int, int, int]]:
-        """(rule, first end, last end) of each stretch of bytes at which a rule's matches end: the one pass."""
+        """(rule, first end, last end) of each stretch of bytes at which a rule's marks end: the one pass."""
         machine = self.all
         step, limit, changes, state, before = machine.step, machine.limit, [], machine.start, 0
         for at, letter in enumerate(text.translate(machine.letter), 1):
@@ -276,7 +347,7 @@ class Scanner:
         return found
 
     def first_end(self, k: int, text: bytes, start: int, stop: int) -> int:
-        """The first byte at which a match that begins at start or later ends, or -1."""
+        """The first byte at which a mark that begins at start or later ends, or -1."""
         machine = self.alone[k]
         state = machine.start
         for at in range(start, stop):
@@ -301,6 +372,10 @@ class Scanner:
                     if start < 0:
                         break
                 stop = self.reach(self.ahead[k], text, start, len(text))
+                if stop < end:  # the mark stands there, but not what the rule needs behind it
+                    free[k] = start + 1
+                    end = self.first_end(k, text, free[k], last)
+                    continue
                 if self.tail[k]:
                     stop = max(stop, self.reach(self.tail[k], text, stop, len(text)))
                 free[k] = stop
@@ -323,14 +398,16 @@ def in_code_points(text: bytes, spans: list[tuple[int, int, int]]) -> list[tuple
     return [(count(a), k, count(b)) for a, k, b in spans]
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The columns of docs, then secrets array<struct<kind, start, end>> in code points, end exclusive, by start and
-    then rule.
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, out: str = "secrets") -> DataFrame:
+    """The columns of docs, then `out` array<struct<kind, start, end>> in code points, end exclusive, by start and then
+    rule.
 
-    Null and empty texts have none. Repeated rows are scanned each for itself; an empty table gives no rows. A column
-    of docs that is called secrets already is replaced.
+    Null and empty texts have none. Repeated rows are scanned each for itself; an empty table gives no rows. A column of
+    docs that is called `out` already is an error, so choose another name then.
     """
-    names = [c for c in docs.columns if c.lower() != "secrets"]
+    names = docs.columns
+    if out.lower() in (n.lower() for n in names):
+        raise ValueError(f"docs has a column {out} already")
     shared = docs.sparkSession.sparkContext.broadcast(compiled(rules))  # its size depends on the rules alone
     entry = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
@@ -338,15 +415,18 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         scanner = shared.value
         for batch in slices(batches):
             found = [[{"kind": rules[k].kind, "start": a, "end": b} for a, k, b in in_code_points(t, scanner.scan(t))] for t in texts_of(batch)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.list_(entry))], names=[*names, "secrets"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(entry))], names=[*names, out])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name.lower() != "secrets")
-    return docs.select(*[f"`{c}`" for c in names]).mapInArrow(run, schema + ", secrets array<struct<kind:string,start:long,end:long>>")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, schema + f", `{out}` array<struct<kind:string,start:long,end:long>>")
 
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """docs with each secret in `text` replaced by the mark; overlapping secrets are replaced as one. Null stays null."""
-    found = find_secrets(docs)
+    """docs with each secret in `text` replaced by the mark; overlapping secrets are replaced as one. Null and empty texts
+    stay, repeated rows are done each for itself, an empty table stays empty, and columns of any name are kept."""
+    names = docs.columns
+    own = docs.select(*[F.col(f"`{c}`").alias("text" if c == "text" else f"c{i}") for i, c in enumerate(names)])
+    found = find_secrets(own)
     merged = F.aggregate(
         "secrets",
         F.expr("cast(array() as array<struct<start:long,end:long>>)"),
@@ -358,7 +438,7 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     # From the last span to the first, so that earlier offsets stay true.
     text = F.aggregate(F.reverse("spans"), F.col("text"), lambda t, x: F.concat(F.substring(t, F.lit(1), x["start"].cast("int")), F.lit(mark), t.substr((x["end"] + 1).cast("int"), F.length(t))))
     made = found.withColumn("spans", merged)
-    return made.withColumn("text", F.when(F.size("spans") > 0, text).otherwise(F.col("text"))).select(*[f"`{c}`" for c in docs.columns])
+    return made.withColumn("text", F.when(F.size("spans") > 0, text).otherwise(F.col("text"))).select(*[F.col(c).alias(names[i]) for i, c in enumerate(own.columns)])
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,6 +447,3 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     count = lambda kind: F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return made.select("doc_id", *(count(r.kind) for r in BASE), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
-
-
-__all__ = ["ADDED", "BASE", "RULES", "Rule", "Scanner", "find_secrets", "op3_secret_scans", "redact"]
