@@ -46,7 +46,11 @@ def corpus():
 def test_counts_and_verdicts(spark):
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id int, text string, lang string").withColumn("quality", F.lit(7)).repartition(3)
-    got = assess(docs).select("doc_id", "quality.*").collect()
+    with pytest.raises(ValueError):
+        assess(docs)
+    made = assess(docs, out="verdict")
+    assert {r.quality for r in made.collect()} == {7}
+    got = made.select("doc_id", "verdict.*").collect()
     want = {d: brute(t) for d, t, _ in rows}
     assert len(got) == len(rows)
     for r in got:
@@ -55,7 +59,7 @@ def test_counts_and_verdicts(spark):
     kept = {r.doc_id: r.kept for r in got}
     assert all(kept[d] for d, t, _ in rows[:120] if not want[d][5])
     assert not kept[200] and not kept[201]
-    assert assess(docs.filter(F.lit(False))).count() == 0
+    assert assess(docs.filter(F.lit(False)), out="verdict").count() == 0
 
 
 def test_distance():

@@ -35,7 +35,10 @@ def test_learns_and_holds_out(spark):
 def test_edges(spark):
     model = fit([(t.encode(), int(y)) for _, t, y in corpus(300, 2)], epochs=2)
     docs = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "word " * 50_000, "x"), (None, "a b", "x")], "doc_id long, text string, toxicity string")
-    got = {r.doc_id: r.toxicity for r in score(docs, model).collect()}
+    with pytest.raises(ValueError):
+        score(docs, model)
+    got = {r.doc_id: r.level for r in score(docs, model, "level").collect()}
+    assert {r.toxicity for r in score(docs, model, "level").collect()} == {"x"}
     assert len(got) == 4 and all(0 <= v <= 1 for v in got.values()) and got[1] == got[2]
     assert fit([]).scores([b"a"])[0] < THRESHOLD
 

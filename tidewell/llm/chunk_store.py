@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import U64, columns, discard, mix64, shared_dir, slices, staged, table, texts_of
+from tidewell.llm.common import U64, columns, discard, mix64, scratch, slices, staged, table, texts_of
 from tidewell.llm.tokens import encoder
 
 END_ID = 2
@@ -207,8 +207,6 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op4_chunk_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import uuid
-
-    path = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
+    path = scratch(spark, "store")
     write_store(table(spark, sf_dir, "documents"), path)
     return read_store(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -31,14 +31,28 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """df written as Parquet to the shared folder and read again, and its path. Cuts the lineage. What nobody discards
-    before goes when the driver's JVM ends."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder for a table or store that goes, if nobody discards it before, when the driver's JVM
+    ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind it as no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """df written as Parquet to the shared folder and read again, and its path. Cuts the lineage."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
     tidy(spark)
     return spark.read.schema(df.schema).parquet(path), path
 

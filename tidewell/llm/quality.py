@@ -147,17 +147,19 @@ def references(docs: DataFrame) -> dict[str, tuple[int, np.ndarray, np.ndarray |
     return {c: (n, share(np.array(t[:k], float)), share(np.array(t[k:], float)) if t[k:] else None) for c, (n, t) in out.items()}
 
 
-def assess(docs: DataFrame, max_class_distance: tuple[float, float] = MAX_CLASS_DISTANCE, max_word_distance: tuple[float, float] = MAX_WORD_DISTANCE) -> DataFrame:
-    """The columns of docs, then quality struct<n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long),
+def assess(docs: DataFrame, max_class_distance: tuple[float, float] = MAX_CLASS_DISTANCE, max_word_distance: tuple[float, float] = MAX_WORD_DISTANCE, out: str = "quality") -> DataFrame:
+    """The columns of docs, then `out` struct<n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long),
     class_distance, word_distance (double, null where the text is too short or there is no reference), base_failed,
     kept (boolean)>.
 
     Null and empty texts have no words and fail. A null or odd `lang` is taken as its own language "und", which has
     no common words. Repeated rows are judged each for itself, to the same result; an empty table gives no rows.
-    A column of docs that is called quality already is replaced.
+    A column of docs that is called `out` already is an error, so choose another name then.
     """
+    if out.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"docs has a column {out} already")
     known = docs.sparkSession.sparkContext.broadcast(references(docs))  # at most 26**2 + 26**3 + 1 codes with 50 numbers
-    names = [c for c in docs.columns if c.lower() != "quality"]
+    names = docs.columns
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Histograms()
@@ -181,10 +183,10 @@ def assess(docs: DataFrame, max_class_distance: tuple[float, float] = MAX_CLASS_
             kinds = [pa.int64()] * 5 + [pa.float64()] * 2 + [pa.bool_()] * 2
             fields = "n_words word_chars n_symbols n_dup_lines n_repeat_words class_distance word_distance base_failed kept".split()
             quality = pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=fields)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), quality], names=[*names, "quality"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), quality], names=[*names, out])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name.lower() != "quality")
-    return docs.select(*[f"`{c}`" for c in names]).mapInArrow(judge, schema + ", quality struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,class_distance:double,word_distance:double,base_failed:boolean,kept:boolean>")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(judge, schema + f", `{out}` struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,class_distance:double,word_distance:double,base_failed:boolean,kept:boolean>")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

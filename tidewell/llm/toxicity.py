@@ -205,32 +205,35 @@ def held_out() -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Classifier:
     """Fits on rows whose crc32(doc_id as text) modulo 3 isn't 1: up to `sample` rows of either label, the first in the
     order of a hash of doc_id, with texts of up to `sample_bytes` bytes. Rows with another label than 0 or 1, without
-    text, or without doc_id are left out."""
+    text, or without doc_id are left out; of rows that repeat with a doc_id, the least text counts."""
     usable = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)").filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = docs.select("doc_id", "text").filter(f"doc_id is not null and octet_length(text) between 1 and {sample_bytes}")
     chosen = []
     for label in (0, 1):
         ids = usable.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen.append(ids)
-    rows = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").collect()  # 2 * sample rows at most
+    # A doc_id that repeats is one row: 2 * sample rows at most reach the driver.
+    rows = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
     return fit([(r.text.encode(), r.toxic) for r in sorted(rows, key=lambda r: (r.doc_id, r.text))])
 
 
-def score(docs: DataFrame, model: Classifier) -> DataFrame:
-    """The columns of docs, then toxicity double from 0 to 1; toxic from 0.7 on.
+def score(docs: DataFrame, model: Classifier, out: str = "toxicity") -> DataFrame:
+    """The columns of docs, then `out` double from 0 to 1; toxic from 0.7 on.
 
     Null and empty texts get the score of no words. Repeated rows get the same score; an empty table gives no rows. A
-    column of docs that is called toxicity already is replaced.
+    column of docs that is called `out` already is an error, so choose another name then.
     """
-    names = [c for c in docs.columns if c.lower() != "toxicity"]
+    names = docs.columns
+    if out.lower() in (n.lower() for n in names):
+        raise ValueError(f"docs has a column {out} already")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a table of fixed size, and words of the bounded sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=1 << 20):
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(shared.value.scores(texts_of(batch)), pa.float64())], names=[*names, "toxicity"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.scores(texts_of(batch)), pa.float64())], names=[*names, out])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name.lower() != "toxicity")
-    return docs.select(*[f"`{c}`" for c in names]).mapInArrow(run, schema + ", toxicity double")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, schema + f", `{out}` double")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
