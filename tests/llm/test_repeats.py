@@ -101,3 +101,11 @@ def test_bytes_edges(spark):
     got = sorted((r.doc_id or -1, r.n, r.removed, r.spans) for r in suffix_dedup.remove_repeats(docs).collect())
     assert got == [(-1, 490, 490, 1), (1, 0, 0, 0), (2, 0, 0, 0), (5, 491, 490, 1), (6, 5000, 5000, 1), (7, 198, 0, 0)]
     assert suffix_dedup.remove_repeats(docs.filter(F.lit(False))).count() == 0
+
+
+def test_unlike_strings_with_one_digest_stop_the_query(spark):
+    from tidewell.llm.windows import one_kind
+
+    df = spark.createDataFrame([(5, 1, 1), (5, 1, 2)], "digest long, low int, high int")
+    with pytest.raises(Exception, match="one 64-bit digest"):
+        df.select(one_kind("low", "high")).collect()

@@ -62,8 +62,11 @@ def repeated_words(words: list[bytes]) -> int:
     n = len(words)
     if n < 4:
         return 0
-    h = np.fromiter(map(hash, words), np.int64, n).view(U64)
-    window = (h[:-2] * U64(0x9E3779B97F4A7C15) + h[1:-1]) * U64(0xC2B2AE3D27D4EB4F) + h[2:]
+    names: dict[bytes, int] = {}
+    word = np.fromiter((names.setdefault(w, len(names)) for w in words), np.int64, n)
+    # Numbers of pairs of words, then of windows, so that equal numbers are equal words.
+    _, pair = np.unique(word[:-1] * len(names) + word[1:], return_inverse=True)
+    window = pair[:-1] * len(names) + word[2:]
     order = np.argsort(window, kind="stable")
     ranked = window[order]
     same = ranked[1:] == ranked[:-1]

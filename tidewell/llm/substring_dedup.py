@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import U64, discard, mix64, staged, table
-from tidewell.llm.windows import Units, keyed, occurrences, strings, with_spans
+from tidewell.llm.windows import Units, keyed, occurrences, one_kind, strings, with_spans
 
 WIDTH, K = 50, 6
 
@@ -86,7 +86,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, k: int = K, memory: int
     units, base = Units("words", width, k), keyed(docs)
     found, path = staged(occurrences(base.filter("doc_id is not null"), units).drop("twice"), "occurrences")
     place = F.min(F.struct("doc_id", "key", "start")).alias("place")
-    kinds, kinds_path = staged(found.groupBy("minimiser", "digest").agg(F.count("*").alias("n"), place, F.first("windows").alias("windows")).select("minimiser", "digest", "n", "windows", F.col("place.doc_id").alias("first"), F.col("place.key").alias("key"), F.col("place.start").alias("start")), "superkmers")
+    kinds, kinds_path = staged(found.groupBy("minimiser", "digest").agg(F.count("*").alias("n"), place, F.first("windows").alias("windows"), F.min("check").alias("low"), F.max("check").alias("high")).select("minimiser", one_kind("low", "high").alias("digest"), "n", "windows", F.col("place.doc_id").alias("first"), F.col("place.key").alias("key"), F.col("place.start").alias("start")), "superkmers")
     unlike = kinds.groupBy("minimiser").agg(F.count("*").alias("unlike")).filter("unlike > 1").select("minimiser")
     # What a string's later documents have of it goes wholly.
     whole = found.join(kinds.filter("n > 1").select("minimiser", "digest", "first"), ["minimiser", "digest"]).filter("doc_id > first").select("doc_id", "key", "start", (F.col("start") + F.col("windows") + width - 1).alias("end"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import discard, slices, staged, table, texts_of
 from tidewell.llm.induced_sort import InducedSort, equal_neighbours
-from tidewell.llm.windows import Units, keyed, merged, occurrences, strings, with_spans
+from tidewell.llm.windows import Units, keyed, merged, occurrences, one_kind, strings, with_spans
 
 WIDTH, K = 200, 32
 
@@ -78,7 +78,7 @@ def find_repeats(base: DataFrame, width: int = WIDTH, k: int = K, shard: int = 1
     found, path = staged(occurrences(base.withColumn("doc_id", F.lit(0).cast("long")), units).drop("doc_id"), "occurrences")
     one = F.min(F.struct("key", "start")).alias("place")
     kinds, kinds_path = staged(
-        found.groupBy("minimiser", "digest").agg(F.count("*").alias("n"), one, F.first("windows").alias("windows"), F.max("twice").alias("twice")).select("minimiser", "digest", "n", "windows", "twice", F.col("place.key").alias("key"), F.col("place.start").alias("start")),
+        found.groupBy("minimiser", "digest").agg(F.count("*").alias("n"), one, F.first("windows").alias("windows"), F.max("twice").alias("twice"), F.min("check").alias("low"), F.max("check").alias("high")).select("minimiser", one_kind("low", "high").alias("digest"), "n", "windows", "twice", F.col("place.key").alias("key"), F.col("place.start").alias("start")),
         "superkmers",
     )
     whole = found.join(kinds.filter("n > 1").select("minimiser", "digest"), ["minimiser", "digest"]).select("key", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("windows") + width - 1).cast("long").alias("end"))

@@ -2,7 +2,8 @@
 
 A text is a sequence of tokens (bytes or words), a window `width` tokens in a row. A window's minimiser is the least hash
 of the `k`-token strings in it; equal windows have equal minimisers, so they meet in one bucket. A run of windows with
-one minimiser is one string of tokens, a super-k-mer, and first only its digest travels: a string that is alone under
+one minimiser is one string of tokens, a super-k-mer, and first only its digest travels, with a check value that stops
+the query if unlike strings share a digest: a string that is alone under
 its minimiser holds no window of another, and equal strings hold equal windows throughout. Only unequal strings under
 one minimiser have to be compared themselves.
 """
@@ -14,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import U64, WordHash, mix64, powers, slices, texts_of
@@ -49,14 +50,14 @@ class Hasher:
     def of(self, cut: bytes | list[bytes]) -> np.ndarray:
         return self.byte[np.frombuffer(cut, np.uint8)] if self.units.kind == "bytes" else self.word.many(cut)
 
-    def runs(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(minimiser, digest, start, windows, twice) of each super-k-mer. twice: its minimiser stands in it twice, so
-        that it may hold a window twice."""
+    def runs(self, tokens: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(minimiser, digest, check, start, windows, twice) of each super-k-mer. check: a second digest that tells unlike
+        strings with one digest. twice: its minimiser stands in it twice, so that it may hold a window twice."""
         width, k = self.units.width, self.units.k
         n = len(tokens) - width + 1
         if n <= 0:
             none = np.empty(0, np.int64)
-            return none, none, none, none, none.astype(bool)
+            return none, none, none, none, none, none.astype(bool)
         # k-mer hashes by doubling: of 2j tokens from those of j.
         grown, size, done, have = tokens, 1, None, 0
         while size <= k:
@@ -84,9 +85,14 @@ class Hasher:
         twice = np.add.reduceat(unlike.astype(np.int64), starts) > 0
         if len(self.power) < len(tokens):
             self.power, self.inverse = powers(BASE, len(tokens) * 2), powers(INVERSE, len(tokens) * 2)
-        sums = np.concatenate([np.zeros(1, U64), np.cumsum(tokens * self.power[: len(tokens)], dtype=U64)])
-        digest = mix64((sums[starts + windows + width - 1] - sums[starts]) * self.inverse[starts] + windows.astype(U64))
-        return value[starts].view(np.int64), digest.view(np.int64), starts, windows, twice
+        scale, back, ends = self.power[: len(tokens)], self.inverse[starts], starts + windows + width - 1
+
+        def summed(values: np.ndarray) -> np.ndarray:
+            sums = np.concatenate([np.zeros(1, U64), np.cumsum(values * scale, dtype=U64)])
+            return mix64((sums[ends] - sums[starts]) * back + windows.astype(U64))
+
+        digest, check = summed(tokens), summed(tokens * tokens + (tokens >> U64(32))) >> U64(33)
+        return value[starts].view(np.int64), digest.view(np.int64), check.view(np.int64), starts, windows, twice
 
 
 def least(x: np.ndarray, span: int) -> np.ndarray:
@@ -99,7 +105,7 @@ def least(x: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-OCCURRENCES = "doc_id long, key long, minimiser long, digest long, start int, windows int, twice boolean"
+OCCURRENCES = "doc_id long, key long, minimiser long, digest long, check int, start int, windows int, twice boolean"
 
 
 def occurrences(docs: DataFrame, units: Units) -> DataFrame:
@@ -108,7 +114,7 @@ def occurrences(docs: DataFrame, units: Units) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(units)
         for batch in slices(batches):
-            columns: list[list[np.ndarray]] = [[] for _ in range(6)]
+            columns: list[list[np.ndarray]] = [[] for _ in range(7)]
             for row, text in enumerate(texts_of(batch)):
                 if len(text) < units.width:
                     continue
@@ -117,16 +123,21 @@ def occurrences(docs: DataFrame, units: Units) -> DataFrame:
                     into.append(x)
             if not columns[0]:
                 continue
-            row, minimiser, digest, start, windows, twice = (np.concatenate(x) for x in columns)
+            row, minimiser, digest, check, start, windows, twice = (np.concatenate(x) for x in columns)
             at = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(at), batch.column("key").take(at), pa.array(minimiser), pa.array(digest), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(twice)],
-                names=["doc_id", "key", "minimiser", "digest", "start", "windows", "twice"],
+                [batch.column("doc_id").take(at), batch.column("key").take(at), pa.array(minimiser), pa.array(digest), pa.array(check.astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(twice)],
+                names=["doc_id", "key", "minimiser", "digest", "check", "start", "windows", "twice"],
             )
 
     return docs.mapInArrow(run, OCCURRENCES)
 
 
+def one_kind(low: str, high: str, digest: str = "digest") -> Column:
+    """The digest of a group, if the checks of its members agree; else the query stops."""
+    return F.when(F.col(low) == F.col(high), F.col(digest)).otherwise(F.raise_error(F.lit(f"two unlike strings have one 64-bit {digest}")))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text, and a key of the text."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
@@ -154,7 +165,9 @@ def strings(docs: DataFrame, wanted: DataFrame, units: Units, carry: list[str])
             yield pa.RecordBatch.from_arrays([batch.column("key").take(at), *(flat.field(n) for n in names), pa.array(made, pa.binary())], names=["key", *names, "string"])
 
     schema = "key long, " + ", ".join(f"{n} {kinds[n]}" for n in names) + ", string binary"
-    one = docs.groupBy("key").agg(F.first("text").alias("text"))
+    checked = docs.withColumn("check", F.xxhash64(F.lit(units.width), "text"))
+    one = checked.groupBy("key").agg(F.first("text").alias("text"), F.min("check").alias("low"), F.max("check").alias("high"))
+    one = one.select(one_kind("low", "high", "key").alias("key"), "text")
     return one.join(lists, "key").select("key", "text", "runs").mapInArrow(run, schema)
 
 
