@@ -11,7 +11,7 @@ def test_articles(spark):
     pages = spark.createDataFrame([("http://a.example/d/x.htm", PAGE), ("http://b.example/", PAGE), ("http://c.example/", None)], "url string, html string")
     got = {r.url[7]: r for r in content.articles(pages, {"": [("class", "v_news_content")], "b.example": [("id", "none")]}).collect()}
     a = got["a"]
-    assert a.status == "success" and list(a.paragraphs) == ["First one", "loose", "扫码进QQ群", "附件", "here", "top", "下一篇", "表格"] and [(b.type, b.index) for b in a.blocks][:3] == [("paragraph", 0), ("paragraph", 1), ("table", 0)]
+    assert a.status == "success" and list(a.paragraphs) == ["First one", "loose", "扫码进QQ群", "附件", "here", "top", "下一篇", "表格"] and [(b["type"], b["index"]) for b in a.blocks][:3] == [("paragraph", 0), ("paragraph", 1), ("table", 0)]
     assert [[(c.text, c.colspan, c.header) for c in row] for row in a.tables[0]] == [[("h", "1", True), ("c", "2", False)]]
     assert [(i.url, i.context) for i in a.images] == [("http://a.example/d/q.png", "扫码进QQ群")]
     assert [(x.url, x.text, x.kind) for x in a.links] == [("http://a.example/enroll", "here", "form"), ("http://a.example/d/f.pdf", "表格", "file")]
