@@ -41,7 +41,6 @@ NEXT_YEAR = r"次年|翌年|明年"
 REVISED_TO = r"(?:延期|延长|推迟|调整|变更|延)(?:至|到|为)\s*$"
 DEADLINES = ("registration_deadline", "campus_deadline", "official_deadline")
 
-SPAN = pa.list_(pa.struct([("raw", pa.string()), ("start", pa.int32()), ("groups", pa.list_(pa.string())), ("before", pa.string()), ("after", pa.string())]))
 EVENT = "struct<kind:string,value:string,time:string,end_value:string,raw:string,start:int,end:int,begin:int,before:string,after:string,whole:boolean,flags:array<string>>"
 
 
@@ -50,50 +49,50 @@ def spans(c: Column, pattern: str, breaks: str = BREAKS) -> Column:
     place in code points and the rest of its sentence on both sides. Null texts have none."""
     wanted, ends = re.compile(pattern), re.compile(breaks)
 
-    def found(text: str | None) -> list[dict]:
-        if not text:
-            return []
-        cuts = [m.start() for m in ends.finditer(text)]
-        out = []
-        for m in wanted.finditer(text):
-            raw = m.group().rstrip()
-            start, stop = m.start(), m.start() + len(raw)
-            i, j = bisect_left(cuts, start), bisect_left(cuts, stop)
-            out.append({"raw": raw, "start": start, "groups": list(m.groups()), "before": text[cuts[i - 1] + 1 if i else 0 : start], "after": text[stop : cuts[j] if j < len(cuts) else len(text)]})
-        return out
-
     @F.arrow_udf("array<struct<raw:string,start:int,groups:array<string>,before:string,after:string>>")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([found(t) for t in texts.to_pylist()], SPAN)
+        counts, raws, starts, groups, befores, afters = [0], [], [], [], [], []
+        for text in texts.to_pylist():
+            found = list(wanted.finditer(text)) if text else []
+            cuts = [m.start() for m in ends.finditer(text)] if found else []
+            for m in found:
+                raw, start = m.group().rstrip(), m.start()
+                stop = start + len(raw)
+                i, j = bisect_left(cuts, start), bisect_left(cuts, stop)
+                raws.append(raw)
+                starts.append(start)
+                groups += m.groups()
+                befores.append(text[cuts[i - 1] + 1 if i else 0 : start])
+                afters.append(text[stop : cuts[j] if j < len(cuts) else len(text)])
+            counts.append(len(raws))
+        each = pa.ListArray.from_arrays(pa.array(range(0, len(groups) + 1, max(1, wanted.groups)) if wanted.groups else [0] * (len(raws) + 1), pa.int32()), pa.array(groups, pa.string()))
+        columns = [pa.array(raws, pa.string()), pa.array(starts, pa.int32()), each, pa.array(befores, pa.string()), pa.array(afters, pa.string())]
+        return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.StructArray.from_arrays(columns, names=["raw", "start", "groups", "before", "after"]))
 
     return run(c)
 
 
-def kind_of(before: Column, after: Column, context: Column | None = None) -> Column:
-    """What a date is of, by the clauses around it: submission before registration before contests."""
-    prefix, suffix = F.regexp_extract(before, CLAUSE + "$", 0), F.regexp_extract(after, "^" + CLAUSE, 0)
-    near = F.concat(F.lit("") if context is None else context, prefix, suffix)
-    starts = prefix.rlike(STARTS) & ~prefix.rlike(ENDS_BEFORE)
-    deadline = F.when(near.rlike(CAMPUS), "campus_deadline").when(near.rlike(OFFICIAL), "official_deadline").otherwise("registration_deadline")
-    registers = F.when(prefix.rlike(FROM_NOW), "registration_deadline").when(starts, "registration_start").when(near.rlike(ENDS), deadline)
-    contest = F.when(near.rlike(CONTEST), "competition").otherwise("other")
-    return F.when(near.rlike(UNRELATED), "other").when(near.rlike(SUBMISSION), "submission").otherwise(F.coalesce(F.when(near.rlike(REGISTRATION), registers), contest))
-
-
 def clock_after(after: Column) -> Column:
     """struct<time, bad>: the clock time (HH:MM, 24:00 allowed) that the text begins with, and whether it is impossible."""
     part = lambda i: F.regexp_extract(after, CLOCK, i)
-    hour = part(2).try_cast("int")
-    minute = F.coalesce(part(3).try_cast("int"), part(4).try_cast("int"), F.when(part(5) != "", 30).otherwise(0))
-    period = part(1)
-    hour = F.when(period.isin("下午", "晚上", "晚间", "傍晚") & (hour < 12), hour + 12).when((period == "中午") & (hour < 11), hour + 12).when(period.isin("上午", "凌晨") & (hour == 12), 0).otherwise(hour)
-    time = clock(hour, minute, F.lit("am"))
-    return F.struct(time.alias("time"), ((part(2) != "") & time.isNull()).alias("bad"))
+
+    def timed(c: Column) -> Column:
+        hour, period = c["hour"], c["period"]
+        minute = F.coalesce(c["minute"], F.when(c["half"], 30).otherwise(0))
+        hour = F.when(period.isin("下午", "晚上", "晚间", "傍晚") & (hour < 12), hour + 12).when((period == "中午") & (hour < 11), hour + 12).when(period.isin("上午", "凌晨") & (hour == 12), 0).otherwise(hour)
+        return let(clock(hour, minute, F.lit("am")), lambda time: F.struct(time.alias("time"), time.isNull().alias("bad")))
+
+    read = F.struct(part(1).alias("period"), part(2).try_cast("int").alias("hour"), F.coalesce(part(3).try_cast("int"), part(4).try_cast("int")).alias("minute"), (part(5) != "").alias("half"))
+    none = F.struct(F.lit(None).cast("string").alias("time"), F.lit(False).alias("bad"))
+    return F.when(after.rlike(CLOCK), let(read, timed)).otherwise(none)
 
 
 def day_of(year: Column, month: Column, day: Column) -> Column:
     """ISO string of the day, null where there is no such day."""
-    return F.date_format(F.try_to_date(F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0")), "yyyy-MM-dd"), "yyyy-MM-dd")
+    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    last = F.when(month == 2, F.when(leap, 29).otherwise(28)).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    return F.when(month.between(1, 12) & (day >= 1) & (day <= last) & (year > 0), F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit("-"), two(month), F.lit("-"), two(day)))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -101,6 +100,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def kind_of(before: Column, after: Column, context: Column | None = None) -> Column:
+    """What a date is of, by the clauses around it: submission before registration before contests."""
+    beside = F.lit("") if context is None else context
+
+    def decided(c: Column) -> Column:
+        prefix, near = c["prefix"], c["near"]
+        starts = prefix.rlike(STARTS) & ~prefix.rlike(ENDS_BEFORE)
+        deadline = F.when(near.rlike(CAMPUS), "campus_deadline").when(near.rlike(OFFICIAL), "official_deadline").otherwise("registration_deadline")
+        registers = F.when(prefix.rlike(FROM_NOW), "registration_deadline").when(starts, "registration_start").when(near.rlike(ENDS), deadline)
+        contest = F.when(near.rlike(CONTEST), "competition").otherwise("other")
+        return F.when(near.rlike(UNRELATED), "other").when(near.rlike(SUBMISSION), "submission").otherwise(F.coalesce(F.when(near.rlike(REGISTRATION), registers), contest))
+
+    clauses = F.struct(F.regexp_extract(before, CLAUSE + "$", 0).alias("prefix"), F.regexp_extract(after, "^" + CLAUSE, 0).alias("suffix"))
+    return let(let(clauses, lambda c: F.struct(c["prefix"].alias("prefix"), F.concat(beside, c["prefix"], c["suffix"]).alias("near"))), decided)
+
+
 def flagged(*pairs: tuple[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in pairs]))
 
@@ -177,8 +192,10 @@ def date_events(df: DataFrame, text: str, published: str, out: str, context: str
         """A sentence with two dates, a range of registration: its start and its deadline."""
 
         def mend(e: Column) -> Column:
-            both = F.filter(events, lambda o: o["begin"] == e["begin"])
-            sentence = F.concat(beside, e["before"], e["raw"], e["after"])
+            parts = F.struct(F.filter(events, lambda o: o["begin"] == e["begin"]).alias("both"), F.concat(beside, e["before"], e["raw"], e["after"]).alias("sentence"))
+            return let(parts, lambda p: mended_one(e, p["both"], p["sentence"]))
+
+        def mended_one(e: Column, both: Column, sentence: Column) -> Column:
             registers = (F.size(both) == 2) & sentence.rlike(r"报名|注册|登记") & ~sentence.rlike(r"作品|提交|报送|上传|比赛日期|决赛|初赛") & F.array_contains(both[1]["flags"], "range_endpoint")
             first = e["start"] == both[0]["start"]
             kind = F.when(first, "registration_start").when(sentence.rlike(r"校内|本校"), "campus_deadline").when(sentence.rlike(r"官方|组委会"), "official_deadline").otherwise("registration_deadline")
@@ -187,7 +204,8 @@ def date_events(df: DataFrame, text: str, published: str, out: str, context: str
             mended = e.withField("kind", kind).withField("flags", flags).withField("end_value", F.when(first, F.lit(None).cast("string")).otherwise(e["end_value"]))
             return F.when(registers, mended.cast(EVENT)).otherwise(e)
 
-        return F.transform(events, mend)
+        ranges = F.exists(events, lambda e: F.array_contains(e["flags"], "range_endpoint"))
+        return F.when(ranges, F.transform(events, mend)).otherwise(events)
 
     def month(m: Column) -> Column:
         g = lambda i: m["groups"][i].try_cast("int")

@@ -34,6 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small table dealt out over all cores, for work that costs far more than moving its rows; a large one as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 WINDOW_SQL = """
 WITH o AS (SELECT o_custkey, year(o_orderdate) AS y, month(o_orderdate) AS m FROM orders),
 k AS (SELECT o_custkey, count(DISTINCT y) AS years, count(*) AS total FROM o GROUP BY 1 HAVING count(DISTINCT y) >= 2),
@@ -246,7 +252,7 @@ def q28_entity_link_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, item_id FROM documents, benchmark WHERE contains(documents.text, benchmark.text)")
 def q29_passage_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     passages = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
-    return linking.contained_passages(table(spark, sf_dir, "documents"), "doc_id", "text", passages, "passage").select("doc_id", "item_id")
+    return linking.contained_passages(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text", passages, "passage").select("doc_id", "item_id")
 
 
 @query("SELECT page_id, regexp_replace(regexp_replace(lower(trim(url)), '^https?://(www\\.)?', ''), '/+$', '') AS url_key FROM pages")
@@ -301,7 +307,7 @@ def q36_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q37_date_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = F.concat(F.lit("No. "), F.col("o_orderkey").cast("string"), F.lit(":"), F.date_format(F.col("o_orderdate") + F.make_ym_interval(F.lit(20)), "yyyy年M月d日"), F.lit(" and 2026年2月30日"))
-    made = table(spark, sf_dir, "orders").withColumn("written", written)
+    made = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")).withColumn("written", written)
     made = facts.date_events(made.withColumn("published", F.lit("1990-01-01")), "written", "published", "events")
     made = made.select("o_orderkey", dates.dates_in(F.col("written"))[0].alias("full_date"), F.col("events")[0].alias("e"))
     return made.select("o_orderkey", "full_date", F.col("e.value").alias("first_event"), F.col("e.start").cast("long").alias("start"))
@@ -318,7 +324,7 @@ def q38_evidence_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same day three times, once without its year: each fact keeps its own place and kind."""
     day = F.date_format("o_orderdate", "M月d日")
     written = F.concat(F.col("o_orderkey").cast("string"), F.lit("号报名自"), F.lit("2026年"), day, F.lit("开始，报名截至"), day, F.lit("结束；决赛 "), F.lit("2026年"), day, F.lit("。"))
-    made = table(spark, sf_dir, "orders").select("o_orderkey", written.alias("written"), F.lit("2026-01-01").alias("published"))
+    made = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")).select("o_orderkey", written.alias("written"), F.lit("2026-01-01").alias("published"))
     made = facts.date_events(made, "written", "published", "events").withColumn("e", F.explode("events"))
     again = F.substring(F.col("written"), F.col("e.start") + 1, F.col("e.end") - F.col("e.start"))
     return made.filter(again == F.col("e.raw")).select("o_orderkey", "e.kind", F.col("e.start").cast("long").alias("start"), F.col("e.end").cast("long").alias("end"))

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from tidewell.functions import dates, facts, text
 from tidewell.operators import assembly, crawl, diagnosis, editions, views
-from tidewell.plans.catalogue import NOW, query, table
+from tidewell.plans.catalogue import NOW, query, spread, table
 
 TODAY = F.to_date(F.lit(NOW))
 DAY = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -388,7 +388,7 @@ def q83_refined_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = (F.month("o_orderdate") + 2000).cast("string")
     title = F.when(F.col("o_orderstatus") == "O", "关于机器人设计大赛的通知").otherwise("2020年第十二届机器人设计大赛通知")
     body = F.when(F.col("o_orderstatus") == "P", "往届回顾：上届2010年第九届机器人设计大赛已经结束。").otherwise(F.concat(F.lit("各学院：\n"), year, F.lit("年第"), F.when(F.col("o_orderstatus") == "O", "十二").otherwise("三"), F.lit("届机器人设计大赛开始报名。")))
-    docs = table(spark, sf_dir, "orders").select("o_orderkey", title.alias("title"), body.alias("body"), F.array(F.lit("机器人设计大赛")).alias("names"))
+    docs = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")).select("o_orderkey", title.alias("title"), body.alias("body"), F.array(F.lit("机器人设计大赛")).alias("names"))
     made = editions.refined_identity(docs, "title", "body", "names")
     return made.select("o_orderkey", F.col("identity.year").cast("double").alias("year"), F.col("identity.edition").cast("double").alias("edition"), "identity.ambiguous", F.array_join("identity.conflicts", ",").alias("conflicts"), "identity.method")
 
@@ -447,7 +447,7 @@ def q89_registration_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.col("o_orderdate") + F.make_ym_interval(F.lit(20))
     second = first + F.make_dt_interval(F.lit(40))
     written = F.concat(F.lit("安排如下。"), F.when(F.col("o_orderstatus") == "O", "校内").otherwise(""), F.lit("报名时间："), F.date_format(first, "yyyy年M月d日"), F.lit("至"), F.date_format(second, "M月d日"), F.lit("下午5点半。比赛另行安排"))
-    made = facts.date_events(table(spark, sf_dir, "orders").select("o_orderkey", written.alias("written"), F.date_format(first, "yyyy-MM-dd").alias("day")), "written", "day", "e")
+    made = facts.date_events(spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")).select("o_orderkey", written.alias("written"), F.date_format(first, "yyyy-MM-dd").alias("day")), "written", "day", "e")
     return made.select("o_orderkey", *[F.col("e")[i][m].alias(f"{n}_{x}") for i, n in enumerate(("first", "second")) for m, x in (("kind", "kind"), ("value", "day"))], F.array_join(F.col("e")[1]["flags"], ",").alias("flags"), F.col("e")[1]["time"].alias("time"))
 
 
