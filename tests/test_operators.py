@@ -9,7 +9,7 @@ from tidewell.functions import dates, facts, text
 from tidewell.operators import calendar, history, layout, linking
 from tidewell.plans.catalogue import QUERIES
 from tidewell.sources import readers, sinks
-from tidewell.streaming.upserts import newest, upsert_stream
+from tidewell.streaming.upserts import compact, newest, upsert_stream
 
 
 def one(spark, *columns):
@@ -118,6 +118,26 @@ def test_upsert_stream(spark, tmp_path):
     assert sorted(tuple(r) for r in newest(spark, folder, stream.schema).collect()) == [(1, "a"), (2, "c"), (3, "d")]
 
 
+def test_upserts_do_not_hang_on_order(spark, tmp_path):
+    kinds = "id long, at int, name string, note string"
+    rows = [(1, 1, "a", "x"), (1, 3, "c", None), (1, 2, "b", "y"), (2, 1, "p", None), (2, 1, "q", None)]
+    for k, data in enumerate((rows, rows[::-1])):
+        source, folder = tmp_path / f"in{k}", f"file://{tmp_path}/table{k}"
+        spark.createDataFrame(data, kinds).repartition(3).write.parquet(str(source))
+        stream = spark.readStream.schema(kinds).parquet(str(source))
+        upsert_stream(stream, "id", folder, f"file://{tmp_path}/progress{k}", "at").awaitTermination()
+        assert sorted(tuple(r) for r in newest(spark, folder, stream.schema).collect()) == [(1, 3, "c", "y"), (2, 1, "q", None)]
+    assert compact(spark, folder, stream.schema, folder + "-small") == 0
+    assert newest(spark, folder + "-small", stream.schema).count() == 2
+
+
+def test_a_document_is_replaced_in_one_step(spark, tmp_path):
+    for text in ("old", "new"):
+        sinks.write_text(spark, f"file://{tmp_path}/d.txt", text)
+        assert (tmp_path / "d.txt").read_text() == text and not (tmp_path / "d.txt.part").exists()
+        assert spark.read.text(f"file://{tmp_path}/d.txt").first().value == text
+
+
 def fixture(spark, folder, **tables):
     for name, (rows, schema) in tables.items():
         spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")

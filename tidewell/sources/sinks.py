@@ -13,16 +13,17 @@ MOST_ROWS = 100_000
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """One file, written beside its place and then moved there, so that readers see the old or the new whole."""
+    """One file, written beside its place and then moved over it in one step, so that a reader sees the old one or the new
+    one whole, never none."""
     jvm = spark._jvm
     target, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".part")
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
     out = files.create(beside, True)
     out.write(bytearray(text.encode()))
     out.close()
-    if files.exists(target):
-        files.delete(target, False)
-    files.rename(beside, target)
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration()).rename(files.makeQualified(beside), files.makeQualified(target), over)
 
 
 def bounded(df: DataFrame, most_rows: int = MOST_ROWS) -> list:
