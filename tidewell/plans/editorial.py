@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewell.functions import dates, facts, text
-from tidewell.operators import assembly, crawl, diagnosis, editions, views
+from tidewell.operators import assembly, crawl, diagnosis, editions, extraction, notices, views
 from tidewell.plans.catalogue import NOW, query, spread, table
 
 TODAY = F.to_date(F.lit(NOW))
@@ -457,3 +457,51 @@ def q89_registration_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q90_same_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
     return views.same_entries(e, ["user_id"], ["k"], "event_type").select("user_id", F.array_join("sources", ",").alias("sources"), "n", "k")
+
+
+@query(
+    "WITH c AS (SELECT c_custkey AS k, '138' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS p, c_acctbal < 2000 AS joint FROM customer) SELECT k AS c_custkey, '王明' AS name, p AS phone, '' AS flags FROM c WHERE NOT joint "
+    "UNION ALL SELECT k, '李华', '', '' FROM c WHERE joint UNION ALL SELECT k, '张强', '', '' FROM c WHERE joint UNION ALL SELECT k, '', p, 'relationship_ambiguous' FROM c WHERE joint"
+)
+def q91_contact_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A named person has the number next to the name; two names that share one have none."""
+    number = F.concat(F.lit("138"), F.lpad(F.col("c_custkey").cast("string"), 8, "0"))
+    body = F.when(F.col("c_acctbal") < 2000, F.concat(F.lit("三、联系方式\n联系人：李华、张强，"), number)).otherwise(F.concat(F.lit("三、联系方式\n联系人：王明，电话"), number))
+    docs = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("url"), F.lit("").alias("title"), body.alias("body"))
+    found = extraction.contact_facts(extraction.sentences(docs))
+    value = lambda field: F.coalesce(F.max(F.when(F.col("field") == f"contacts.{field}", F.col("value"))), F.lit(""))
+    people = found.groupBy("url", "item").agg(value("name").alias("name"), value("phones").alias("phone"), F.array_join(F.array_distinct(F.flatten(F.collect_list("flags"))), ",").alias("flags"))
+    return people.select(F.col("url").cast("long").alias("c_custkey"), "name", "phone", "flags")
+
+
+@query(
+    "SELECT c_custkey, 'https://a.example/form/' || c_custkey AS link, CASE WHEN c_acctbal < 2000 THEN 'scope_ambiguous' ELSE '' END AS flags FROM customer"
+)
+def q92_registration_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An address in sentences of two tracks is ambiguous; a homepage is no entry."""
+    link = F.concat(F.lit("https://a.example/form/"), F.col("c_custkey").cast("string"))
+    body = F.concat(F.lit("网上填写 "), link, F.lit("\n主页 https://b.example/\n"), F.when(F.col("c_acctbal") < 2000, F.concat(F.lit("水下赛道：\n填写 "), link)).otherwise(""))
+    docs = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("url"), F.lit("").alias("title"), body.alias("body"))
+    found = extraction.link_facts(extraction.sentences(docs))
+    return found.select(F.col("url").cast("long").alias("c_custkey"), F.col("value").alias("link"), F.array_join("flags", ",").alias("flags"))
+
+
+@query(
+    "WITH o AS (SELECT o_orderkey, o_orderstatus AS s, o_orderdate + INTERVAL 20 YEAR AS d FROM orders), x AS (SELECT o_orderkey, s, strftime(d + INTERVAL 10 DAY, '%Y-%m-%d') AS first, strftime(d + INTERVAL 30 DAY, '%Y-%m-%d') AS later FROM o) "
+    "SELECT o_orderkey, CASE s WHEN 'F' THEN later ELSE first || ',' || later END AS entries, CASE s WHEN 'F' THEN first ELSE '' END AS history, CAST(CASE s WHEN 'F' THEN 1 ELSE 0 END AS BIGINT) AS applied, CAST(CASE s WHEN 'P' THEN 1 ELSE 0 END AS BIGINT) AS pending, CASE s WHEN 'F' THEN 'confirmed' WHEN 'P' THEN 'needs_review' ELSE 'conflict' END AS state FROM x"
+)
+def q93_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deadline, and a later notice of another: moved by it (F), moved on the same day, which waits for review (P), or
+    only told otherwise, which is a conflict (O)."""
+    day = F.col("o_orderdate") + F.make_ym_interval(F.lit(20))
+    plus = lambda n, form: F.date_format(day + F.make_dt_interval(F.lit(n)), form)
+    base = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")).withColumn("k", F.col("o_orderkey").cast("string"))
+    second = F.concat(F.lit("报名截止"), F.when(F.col("o_orderstatus") == "O", "").otherwise("时间调整为"), plus(30, "yyyy年M月d日"))
+    first = base.select("o_orderkey", F.concat("k", F.lit(":1")).alias("url"), "k", plus(0, "yyyy-MM-dd").alias("date"), F.concat(F.lit("报名截止"), plus(10, "yyyy年M月d日")).alias("body"))
+    later = base.select("o_orderkey", F.concat("k", F.lit(":2")).alias("url"), "k", F.when(F.col("o_orderstatus") == "P", plus(0, "yyyy-MM-dd")).otherwise(plus(5, "yyyy-MM-dd")).alias("date"), second.alias("body"))
+    docs = first.unionByName(later)
+    none = F.lit(None).cast("string")
+    notices_ = docs.select("url", "date", F.col("k").alias("competition"), F.col("k").alias("edition_id"), none.alias("phase"), none.alias("stage"))
+    made = editions.slots(notices_, notices.events(docs, "url", "body", "date"))
+    values = lambda c: F.array_join(F.array_sort(F.transform(c, lambda e: e["value"])), ",")
+    return made.select(F.col("competition").cast("long").alias("o_orderkey"), values("entries").alias("entries"), values("history").alias("history"), "applied", "pending", "state")
