@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -10,8 +10,14 @@ from tidewell.functions import dates, facts, text
 from tidewell.operators import assembly, crawl, diagnosis, editions, extraction, notices, views
 from tidewell.plans.catalogue import NOW, query, spread, table
 
-TODAY = F.to_date(F.lit(NOW))
-DAY = F.date_format("o_orderdate", "yyyy-MM-dd")
+
+
+def today() -> Column:
+    return F.to_date(F.lit(NOW))
+
+
+def day() -> Column:
+    return F.date_format("o_orderdate", "yyyy-MM-dd")
 
 
 def ranked(df: DataFrame, key: str, order: list, name: str = "place") -> DataFrame:
@@ -115,7 +121,7 @@ def q64_source_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q65_deadline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "url")
-    old = orders.filter("o_orderstatus <> 'O'").select("url", F.when(F.col("o_orderstatus") == "F", DAY).alias("deadline"), F.lit("").alias("legacy"))
+    old = orders.filter("o_orderstatus <> 'O'").select("url", F.when(F.col("o_orderstatus") == "F", day()).alias("deadline"), F.lit("").alias("legacy"))
     bodies = orders.filter("o_orderstatus <> 'F'").select("url", F.when(F.col("o_orderstatus") == "O", "success").otherwise("failed").alias("status"))
     safe = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("url")).agg(F.when(F.min("l_shipdate") == F.max("l_shipdate"), F.date_format(F.min("l_shipdate"), "yyyy-MM-dd")).alias("safe"))
     return assembly.deadline_table(old, bodies, safe).select("url", "deadline", F.col("score").cast("long").alias("score"), "legacy")
@@ -130,10 +136,10 @@ def q65_deadline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q66_recruiting(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "competition")
-    notices = orders.select("competition", F.col("o_orderkey").alias("url"), DAY.alias("date"), (F.col("o_orderpriority") == "1-URGENT").alias("is_campus"))
+    notices = orders.select("competition", F.col("o_orderkey").alias("url"), day().alias("date"), (F.col("o_orderpriority") == "1-URGENT").alias("is_campus"))
     is_open = F.col("o_orderstatus") == "O"
-    registration = orders.groupBy("competition").agg(F.when(F.bool_or(is_open), "open").otherwise("closed").alias("status"), F.max(DAY).alias("next_deadline"), F.collect_list(F.when(is_open, F.col("o_orderkey"))).alias("open_urls"))
-    made = assembly.recruiting(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("competition")), registration, notices, TODAY)
+    registration = orders.groupBy("competition").agg(F.when(F.bool_or(is_open), "open").otherwise("closed").alias("status"), F.max(day()).alias("next_deadline"), F.collect_list(F.when(is_open, F.col("o_orderkey"))).alias("open_urls"))
+    made = assembly.recruiting(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("competition")), registration, notices, today())
     return made.select(F.col("competition").alias("c_custkey"), "notices", "campus_notices", F.col("latest").cast("double").alias("latest"), "open_deadline", "is_open", "is_selecting", "is_recruiting")
 
 
@@ -142,7 +148,7 @@ def edition_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     year, status = F.year("o_orderdate"), F.col("o_orderstatus")
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("url"), F.col("o_custkey").alias("competition"), F.when(status != "P", year).alias("year"), F.when(status != "P", year).alias("year_end"), F.when(status != "F", year - 1990).alias("edition"),
-        (F.col("o_orderpriority") == "5-LOW").alias("ambiguous"), F.when(F.col("o_orderpriority") == "2-HIGH", "t").alias("track"), F.lit("title").alias("method"), DAY.alias("date"), "o_orderkey",
+        (F.col("o_orderpriority") == "5-LOW").alias("ambiguous"), F.when(F.col("o_orderpriority") == "2-HIGH", "t").alias("track"), F.lit("title").alias("method"), day().alias("date"), "o_orderkey",
     )
 
 
@@ -186,10 +192,10 @@ def q69_slot_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     kind = F.when(F.col("o_orderstatus") == "O", "registration_deadline").otherwise("registration_start")
     none = F.lit(None).cast("string")
-    entry = F.struct(F.col("o_orderkey").cast("string"), DAY, DAY, none, none, F.lit("x"), F.array().cast("array<string>"), F.lit("source_matched")).cast(editions.ENTRY)
+    entry = F.struct(F.col("o_orderkey").cast("string"), day(), day(), none, none, F.lit("x"), F.array().cast("array<string>"), F.lit("source_matched")).cast(editions.ENTRY)
     made = orders.filter("o_orderstatus <> 'F'").groupBy(F.col("o_custkey").alias("edition_id"), kind.alias("kind"), F.col("o_orderpriority").alias("track")).agg(F.sort_array(F.collect_list(F.struct("o_orderdate", "o_orderkey", entry.alias("x")))).alias("all"))
     made = made.select("edition_id", "kind", "track", none.alias("phase"), none.alias("stage"), F.transform("all", lambda a: a["x"]).alias("entries")).withColumn("state", editions.entry_state(F.col("entries")))
-    results = orders.filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("edition_id"), F.col("o_orderkey").cast("string").alias("url"), DAY.alias("date"), F.lit("获奖名单").alias("title"), F.lit("results").alias("notice_type"), none.alias("phase"), none.alias("stage"), F.col("o_orderpriority").alias("track"))
+    results = orders.filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("edition_id"), F.col("o_orderkey").cast("string").alias("url"), day().alias("date"), F.lit("获奖名单").alias("title"), F.lit("results").alias("notice_type"), none.alias("phase"), none.alias("stage"), F.col("o_orderpriority").alias("track"))
     return editions.slot_status(made, results, F.to_timestamp_ntz(F.lit(NOW))).select("edition_id", "track", "status")
 
 
@@ -208,7 +214,7 @@ def q70_competition_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
     has = lambda s: F.bool_or(F.col("o_orderstatus") == s)
     status = F.when(has("O"), "open").when(has("P"), "conflict").otherwise("closed")
     key = F.max(F.when(F.col("o_orderstatus") == "O", F.col("o_orderkey"))).cast("string")
-    made = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("competition"), F.year("o_orderdate").alias("year")).agg(F.min(DAY).alias("first_date"), status.alias("status"), F.when(F.bool_or(F.col("o_orderpriority") == "1-URGENT"), "confirmed").otherwise("needs_review").alias("identity_state"), key.alias("k"))
+    made = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("competition"), F.year("o_orderdate").alias("year")).agg(F.min(day()).alias("first_date"), status.alias("status"), F.when(F.bool_or(F.col("o_orderpriority") == "1-URGENT"), "confirmed").otherwise("needs_review").alias("identity_state"), key.alias("k"))
     made = made.withColumn("edition_id", F.concat_ws("-", "competition", "year")).withColumn("year_end", F.col("year")).withColumn("open_nodes", F.when(F.col("status") == "open", F.array(F.struct(F.col("k").alias("value"), F.col("k").alias("url")))))
     now = editions.current_editions(made, F.to_timestamp_ntz(F.lit(NOW)))
     return editions.competition_registration(now).select(F.col("competition").alias("o_custkey"), "status", F.size("current_ids").cast("long").alias("editions"), "next_deadline")
@@ -268,7 +274,7 @@ def q73_fetch_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q74_fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.when(F.col("o_orderpriority") == "2-HIGH", "报名通知").when(F.col("o_orderpriority") == "1-URGENT", "竞赛报名").otherwise(F.col("o_orderpriority"))
-    notices = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("url"), DAY.alias("date"), F.when(F.col("o_orderstatus") == "F", "c").alias("competition"), F.col("o_orderpriority").startswith("1").alias("is_competition"), title.alias("title"))
+    notices = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("url"), day().alias("date"), F.when(F.col("o_orderstatus") == "F", "c").alias("competition"), F.col("o_orderpriority").startswith("1").alias("is_competition"), title.alias("title"))
     top = crawl.work_list(crawl.with_priority(notices, 1998, "1997-06-01"), crawl.plan_order(), 100)
     return top.select("o_orderkey", F.col("priority").cast("long").alias("priority"), F.row_number().over(Window.orderBy(*crawl.plan_order())).cast("long").alias("place"))
 
@@ -314,7 +320,7 @@ def q77_sorted_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def competitions_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     ahead = (F.col("o_orderstatus") == "O") & (F.col("o_orderdate") > F.to_timestamp_ntz(F.lit(NOW)))
-    seen = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("notices"), F.max(DAY).alias("latest_date"), F.min(F.when(ahead, DAY)).alias("open_deadline"))
+    seen = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("notices"), F.max(day()).alias("latest_date"), F.min(F.when(ahead, day())).alias("open_deadline"))
     c = table(spark, sf_dir, "customer").join(seen, F.col("c_custkey") == F.col("o_custkey"), "left")
     return c.select(
         "c_custkey", F.col("c_name").alias("name"), F.when(F.col("c_acctbal") > 0, F.floor(F.col("c_acctbal") / 2000).cast("int")).alias("score"), F.when(F.col("c_nationkey") > 4, F.col("c_nationkey")).alias("number"), F.coalesce("notices", F.lit(0)).alias("notices"), "latest_date", "open_deadline",
@@ -324,7 +330,7 @@ def competitions_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(SORTED_SQL + f" SELECT c_custkey FROM c WHERE deadline IS NOT NULL AND score >= 2 AND number IS NOT NULL AND date_diff('day', CAST(latest AS DATE), DATE '{NOW}') <= 90 AND contains(name || ' ' || number, '1')")
 def q78_filter_competitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.filter_competitions(competitions_of(spark, sf_dir), TODAY, "FURNITURE", is_open=True, least=2, in_catalogue=True, recent=True, query="1").select("c_custkey")
+    return views.filter_competitions(competitions_of(spark, sf_dir), today(), "FURNITURE", is_open=True, least=2, in_catalogue=True, recent=True, query="1").select("c_custkey")
 
 
 @query(
@@ -333,11 +339,11 @@ def q78_filter_competitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q79_filter_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = F.lit("")
     notices = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.col("o_custkey").cast("string").alias("title"), empty.alias("competition"), empty.alias("site"), empty.alias("excerpt"), empty.alias("fields"), DAY.alias("date"), F.col("o_orderpriority").alias("group"), (F.col("o_orderstatus") == "F").alias("is_competition"),
+        "o_orderkey", F.col("o_custkey").cast("string").alias("title"), empty.alias("competition"), empty.alias("site"), empty.alias("excerpt"), empty.alias("fields"), day().alias("date"), F.col("o_orderpriority").alias("group"), (F.col("o_orderstatus") == "F").alias("is_competition"),
         F.lit(False).alias("is_campus"), F.when(F.col("o_totalprice") > 200000, "x").otherwise("").alias("deadline"),
     )
-    found = views.filter_notices(notices, TODAY, hidden=("5-LOW",), scope="competition", days=365, query="7")
-    return views.filter_notices(found, TODAY, scope="deadline").select("o_orderkey")
+    found = views.filter_notices(notices, today(), hidden=("5-LOW",), scope="competition", days=365, query="7")
+    return views.filter_notices(found, today(), scope="deadline").select("o_orderkey")
 
 
 @query(
@@ -347,8 +353,8 @@ def q79_filter_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q80_compact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn("url", F.col("o_orderkey").cast("string"))
     has = F.col("o_orderstatus") != "P"
-    notices = orders.select(F.col("o_custkey").alias("competition"), "url", F.lit("t").alias("title"), DAY.alias("date"), F.lit(None).cast("string").alias("group_url"), F.when(has, DAY).alias("deadline"))
-    slots = orders.filter(has).select("url", F.lit("deadline").alias("kind"), DAY.alias("value"), F.lit("confirmed").alias("state"))
+    notices = orders.select(F.col("o_custkey").alias("competition"), "url", F.lit("t").alias("title"), day().alias("date"), F.lit(None).cast("string").alias("group_url"), F.when(has, day()).alias("deadline"))
+    slots = orders.filter(has).select("url", F.lit("deadline").alias("kind"), day().alias("value"), F.lit("confirmed").alias("state"))
     made = views.compact_rows(notices, slots, 5)
     return made.select(F.col("url").cast("long").alias("o_orderkey"), F.col("turn").cast("long").alias("turn"), "dates")
 
@@ -359,9 +365,9 @@ def q80_compact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"FROM (SELECT o_orderkey, o_orderdate AS d, CAST(date_diff('day', o_orderdate, TIMESTAMP '{NOW}') AS BIGINT) AS n FROM orders)"
 )
 def q81_day_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = table(spark, sf_dir, "orders").withColumn("day", DAY).withColumn("window", dates.next_window(F.month("o_orderdate"), TODAY))
-    age = dates.days_since(F.col("day"), TODAY)
-    return made.select("o_orderkey", dates.ago_text(age).alias("ago"), dates.deadline_text(F.col("day")).alias("label"), dates.is_fresh(F.col("day"), TODAY).alias("fresh"), F.date_format("window.first", "yyyy-MM-dd").alias("first"), F.date_format("window.behind", "yyyy-MM-dd").alias("behind"))
+    made = table(spark, sf_dir, "orders").withColumn("day", day()).withColumn("window", dates.next_window(F.month("o_orderdate"), today()))
+    age = dates.days_since(F.col("day"), today())
+    return made.select("o_orderkey", dates.ago_text(age).alias("ago"), dates.deadline_text(F.col("day")).alias("label"), dates.is_fresh(F.col("day"), today()).alias("fresh"), F.date_format("window.first", "yyyy-MM-dd").alias("first"), F.date_format("window.behind", "yyyy-MM-dd").alias("behind"))
 
 
 @query(
