@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewell.llm.best_fit import op12_best_fit_packing
 from tidewell.llm.bpe import op9_bpe_round_trip
 from tidewell.llm.chunk_store import op4_chunk_store
 from tidewell.llm.jaccard_join import op1_jaccard_join
@@ -21,7 +22,7 @@ from tidewell.llm.whitening import op11_embedding_whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_suffix_dedup, op3_secret_scans, op4_chunk_store, op5_toxicity, op6_quality_rules, op7_substring_dedup, op8_exact_top_k, op9_bpe_round_trip, op10_packing, op11_embedding_whitening)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_suffix_dedup, op3_secret_scans, op4_chunk_store, op5_toxicity, op6_quality_rules, op7_substring_dedup, op8_exact_top_k, op9_bpe_round_trip, op10_packing, op11_embedding_whitening, op12_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
