@@ -4,7 +4,7 @@ import duckdb
 import pyarrow as pa
 import pytest
 
-from tidewell.plans import editorial  # noqa: F401
+from tidewell.plans import composed, editorial  # noqa: F401
 from tidewell.plans.catalogue import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
