@@ -195,6 +195,9 @@ def entry_state(entries: Column) -> Column:
     return F.when(clash, "conflict").when(F.size(sure) != F.size(entries), "needs_review").when(F.size(entries) > 0, "confirmed").otherwise("not_mentioned")
 
 
+SLOT = ("competition", "edition_id", "kind", "track", "phase", "stage")
+
+
 def slots(notices: DataFrame, events: DataFrame) -> DataFrame:
     """competition, edition_id, kind, track, phase, stage, entries, history, applied, pending, state: what each date of an
     edition is by now, after its notices in the order of (date, url).
@@ -204,20 +207,29 @@ def slots(notices: DataFrame, events: DataFrame) -> DataFrame:
     one confirmed value of an earlier notice and agrees with the old date that the revision states; else it stays beside
     it, for review. Only the events of a slot are gathered, which are as many as its notices tell.
     """
+    return folded(placed(notices, events).groupBy(*SLOT).agg(F.sort_array(F.collect_list("event")).alias("events")))
+
+
+def placed(notices: DataFrame, events: DataFrame) -> DataFrame:
+    """The columns of SLOT and `event`, a struct that sorts by date, url and place, for each date of an edition."""
     if "track" not in events.columns:
         events = events.withColumn("track", F.lit(None).cast("string"))
     about = notices.select("url", "date", "competition", "edition_id", F.col("phase").alias("own_phase"), F.col("stage").alias("own_stage"))
     clause = F.concat(F.regexp_extract("before", r"[^，,。；;\n]*$", 0), "raw", F.regexp_extract("after", r"^[^，,。；;\n]*", 0))
-    placed = events.filter("kind <> 'other'").join(about, "url").withColumn("clause__", clause).withColumn("phase", F.coalesce(first_of(F.col("clause__"), PHASES), "own_phase"))
-    placed = placed.withColumn("stage", F.coalesce(stage_in(F.col("clause__"), F.col("phase")), "own_stage")).withColumn("sentence", F.concat("before", "raw", "after"))
+    found = events.filter("kind <> 'other'").join(about, "url").withColumn("clause__", clause).withColumn("phase", F.coalesce(first_of(F.col("clause__"), PHASES), "own_phase"))
+    found = found.withColumn("stage", F.coalesce(stage_in(F.col("clause__"), F.col("phase")), "own_stage")).withColumn("sentence", F.concat("before", "raw", "after"))
     several = F.size(F.array_distinct(F.regexp_extract_all("sentence", F.lit(STAGE), 0))) > 1
-    placed = placed.withColumn("flags", F.when(several, F.array_union("flags", F.array(F.lit("scope_ambiguous")))).otherwise(F.col("flags"))).withColumn("verification", F.when(several, "needs_review").otherwise(F.col("verification")))
+    found = found.withColumn("flags", F.when(several, F.array_union("flags", F.array(F.lit("scope_ambiguous")))).otherwise(F.col("flags"))).withColumn("verification", F.when(several, "needs_review").otherwise(F.col("verification")))
     # Dates of one sentence, kind and track: which of them it revises, and to what.
-    near = placed.groupBy("url", "kind", "track", "sentence", "begin").agg(F.bool_or("revises").alias("sibling"), F.collect_set(F.when(F.col("superseded"), F.struct("value", "time"))).alias("declared"))
+    near = found.groupBy("url", "kind", "track", "sentence", "begin").agg(F.bool_or("revises").alias("sibling"), F.collect_set(F.when(F.col("superseded"), F.struct("value", "time"))).alias("declared"))
     same = ["url", "kind", "sentence", "begin"]
-    placed = placed.join(near.withColumnRenamed("track", "near_track"), same).filter("track <=> near_track")
+    found = found.join(near.withColumnRenamed("track", "near_track"), same).filter("track <=> near_track")
     event = F.struct("date", "url", "start", "value", "time", "end_value", F.col("sentence").alias("raw"), "flags", "verification", "superseded", "revises", "sibling", "declared")
-    gathered = placed.groupBy("competition", "edition_id", "kind", "track", "phase", "stage").agg(F.sort_array(F.collect_list(event)).alias("events"))
+    return found.select(*SLOT, event.alias("event"))
+
+
+def folded(gathered: DataFrame) -> DataFrame:
+    """Slots of gathered events (SLOT, events: array of `event` of placed, sorted)."""
 
     def without(e: Column, *flags: str) -> tuple[Column, Column]:
         rest = F.array_except(e["flags"], F.array(*[F.lit(f) for f in flags]))
