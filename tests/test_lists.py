@@ -34,6 +34,17 @@ def test_crawl(spark):
     assert {r.source: (r.pages, r.listed, r["count"], r.missing_dates, r.state) for r in status.collect()} == {"s": (2, 4, 4, 1, "partial"), "t": (1, 0, 0, 0, "needs_adapter_or_unavailable")}
 
 
+def test_many_pages(spark):
+    """A source of 17 pages gives all 17, and one that its cap cuts says so."""
+    page = lambda i: f'<a href="/info/1/{i}.htm" title="第{i}页的竞赛通知一则">x</a><span class="date">2026-03-01</span><a href="p{i + 1}.htm">下一页</a>'
+    rows = [(s, f"http://a.example/p{i}.htm", page(i)) for s in "abc" for i in range(1, 18)]
+    found = spark.createDataFrame(rows, "source string, url string, html string")
+    made = [(s, "http://a.example/p1.htm", r"/info/", None, cap, []) for s, cap in (("a", 17), ("b", 6), ("c", None))]
+    got, status = lists.crawled(found, spark.createDataFrame(made, "source string, url string, pattern string, keywords string, max_pages int, seeds array<string>"))
+    assert {r.source: r.n for r in got.groupBy("source").agg(F.count("*").alias("n")).collect()} == {"a": 17, "b": 6, "c": 3}
+    assert {r.source: (r.pages, r.state) for r in status.collect()} == {"a": (17, "ok"), "b": (6, "partial"), "c": (3, "partial")}
+
+
 def test_other_scans(spark):
     got = lists.regex_rows(pages(spark).filter("source = 's'"), r'<a href="(/info/\d/\d+\.htm)"[^>]*>([^<]*)</a>', ("path", "label"))
     assert ("/info/1/13.htm", "关于讲座安排的通知") in [(r.path, r.label) for r in got.collect()]

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import facts
 from tidewell.functions.html import VOID
 from tidewell.functions.text import clean_tags
+from tidewell.operators import rounds
 
 #: Dates, classes and names of elements that hold a date of publication, labels of such, words of links to
 #: the next page, and titles of pages that are no articles.
@@ -194,16 +195,22 @@ def next_links(pages: DataFrame) -> DataFrame:
 
 
 def visited(pages: DataFrame, sources: DataFrame, most: int = 3) -> DataFrame:
-    """source, url, depth: the pages that are reached from each source's first one (sources: source, url, max_pages), as
-    far as they are stored, none twice. The cap on pages is the source's own; `most` bounds the steps of all."""
-    links = next_links(pages)
-    step = sources.select("source", "url", F.coalesce("max_pages", F.lit(most)).alias("cap")).join(pages.select("source", "url"), ["source", "url"], "left_semi").withColumn("depth", F.lit(1)).withColumn("seen", F.array("url"))
-    out = step
-    for depth in range(2, most + 1):
-        step = step.join(links, ["source", "url"]).filter((F.col("next") != "") & (F.col("cap") >= depth) & ~F.array_contains("seen", F.col("next")))
-        step = step.select("source", F.col("next").alias("url"), "cap", F.lit(depth).alias("depth"), F.concat("seen", F.array("next")).alias("seen")).join(pages.select("source", "url"), ["source", "url"], "left_semi")
-        out = out.unionByName(step)
-    return out.select("source", "url", "depth")
+    """source, url, depth, cut: the pages that are reached from each source's first one (sources: source, url, max_pages),
+    as far as they are stored, none twice. The cap on pages is the source's own, or `most` where it has none; cut: whether
+    the cap leaves out a stored page that this one leads to. A round goes one page on in all sources at once."""
+    links, _ = rounds.kept(next_links(pages).filter("next <> ''").join(pages.select("source", F.col("url").alias("next")), ["source", "next"], "left_semi"), "links")
+    start = sources.select("source", "url", F.coalesce("max_pages", F.lit(most)).alias("cap")).filter("cap > 0").join(pages.select("source", "url"), ["source", "url"], "left_semi").distinct()
+    at = ["source", "url"]
+    out, path = rounds.kept(start.withColumn("depth", F.lit(1)), "visited")
+    depth, before = 1, 0
+    while (reached := out.count()) > before:
+        depth, before = depth + 1, reached
+        ahead = out.filter((F.col("depth") == depth - 1) & (F.col("cap") >= depth)).join(links, at).select("source", F.col("next").alias("url"), "cap", F.lit(depth).alias("depth")).distinct()
+        made, made_path = rounds.kept(out.unionByName(ahead.join(out, at, "left_anti")), "visited")
+        rounds.drop(pages.sparkSession, path)
+        out, path = made, made_path
+    left = out.filter("depth = cap").join(links, at).select("source", "url", F.col("next")).join(out.select("source", F.col("url").alias("next")), ["source", "next"], "left_anti").select(*at).distinct().withColumn("cut", F.lit(True))
+    return out.join(left, at, "left").select("source", "url", "depth", F.coalesce("cut", F.lit(False)).alias("cut"))
 
 
 def article_days(pages: DataFrame) -> DataFrame:
@@ -223,7 +230,7 @@ def article_days(pages: DataFrame) -> DataFrame:
 def crawled(pages: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, status): the articles of each source over the pages that are reached, dates filled in from the stored
     article where the list has none, and its seeds (sources: source, url, pattern, keywords, max_pages, seeds); and
-    source, pages, listed, count, missing_dates, state."""
+    source, pages, listed, count, missing_dates, state. A source whose cap leaves out stored pages is partial."""
     reached = visited(pages, sources)
     on_lists = pages.join(reached.select("source", "url"), ["source", "url"], "left_semi")
     listed = list_rows(on_lists, sources.withColumn("keywords", F.lit(None).cast("string")))
@@ -235,9 +242,9 @@ def crawled(pages: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]
     rows = dated.unionByName(seeds)
     n_rows = rows.groupBy("source").agg(F.count("*").alias("count"), F.count_if(F.col("date") == "").alias("missing_dates"))
     n_listed = listed.groupBy("source").agg(F.count("*").alias("listed"))
-    status = sources.select("source").join(reached.groupBy("source").agg(F.count("*").alias("pages")), "source", "left").join(n_listed, "source", "left").join(n_rows, "source", "left").na.fill(0)
-    state = F.when(F.col("count") > 0, F.when(F.col("missing_dates") > 0, "partial").otherwise("ok")).when(F.col("listed") > 0, "ok_no_matching_notices").otherwise("needs_adapter_or_unavailable")
-    return rows, status.withColumn("state", state)
+    status = sources.select("source").join(reached.groupBy("source").agg(F.count("*").alias("pages"), F.bool_or("cut").alias("cut")), "source", "left").join(n_listed, "source", "left").join(n_rows, "source", "left").na.fill(0)
+    state = F.when(F.col("count") > 0, F.when((F.col("missing_dates") > 0) | F.coalesce("cut", F.lit(False)), "partial").otherwise("ok")).when(F.col("listed") > 0, "ok_no_matching_notices").otherwise("needs_adapter_or_unavailable")
+    return rows, status.withColumn("state", state).drop("cut")
 
 
 def regex_rows(pages: DataFrame, pattern: str, order: tuple[str, ...]) -> DataFrame:
