@@ -100,3 +100,11 @@ def test_names(spark):
     assert row.n == ["第三届机器人竞赛、创新大赛"] and sorted(row.t) == ["智能车赛道", "水下赛道"]
     assert row.k == ["全国大学生机器人竞赛暨国际机器人挑战赛", "机器人竞赛暨国际机器人挑战赛", "全国大学生机器人竞赛暨国际机器人", "全国大学生机器人竞赛", "国际机器人挑战赛"]
     assert row.u == "https://a.example/s?a=1&b=2" and row.s == ["stu"] and tuple(row.c) == ("王老师", "029-88888888", "a@b.cn", "123456") and row.p == "a b\nc"
+
+
+def test_many_dates_in_one_sentence(spark):
+    """Work goes by the number of dates: what stands around each is cut, a range is told from its neighbours alone."""
+    body = " ".join(f"报名{1 + i % 12}月{1 + i % 28}日至{1 + i % 12}月{1 + i % 28}日" for i in range(1500))
+    found = notices.events(spark.createDataFrame([("u", body, "2026-01-01")], "url string, body string, date string"), "url", "body", "date")
+    got = found.agg(F.count("*"), F.max(F.length("before")), F.count_distinct("begin"), F.count_if(F.array_contains("flags", "range_endpoint")), F.count_if("superseded")).first()
+    assert tuple(got) == (3000, facts.AROUND, 1, 1500, 0)

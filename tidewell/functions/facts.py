@@ -1,11 +1,13 @@
 """Typed dates in notices, each with the place that it was read from.
 
-Python only finds the matches of a pattern, for built-in functions give no offsets; all decisions are expressions over
-the array of a text's matches.
+Python finds the matches of a pattern, for built-in functions give no offsets, and carries on what a date takes from
+the one before it; all other decisions are expressions over the array of a text's matches. Work goes by the number of
+matches: what stands around one is cut at AROUND characters, and what holds for a whole sentence is looked up once there.
 """
 
 from __future__ import annotations
 
+import datetime
 import re
 from bisect import bisect_left
 from collections.abc import Callable
@@ -18,7 +20,7 @@ from tidewell.functions.dates import clock
 
 #: What ends a sentence, what ends a clause.
 BREAKS = r"[\n。；;]"
-CLAUSE = r"[^，,。；;]*"
+MARKS = r"[，,。；;]"
 #: Dates with and without a year, months with a year and ranges of such, clock times, and range marks.
 DATE = r"(?<!\d)(?:(20\d{2})\s*[年./-]\s*(\d{1,2})\s*[月./-]|(\d{1,2})\s*[月./])\s*(\d{1,2})(?![\d月])\s*日?"
 MONTHS = r"(20\d{2})[年./-](\d{1,2})月?\s*(?:至|到|—|–|-|~|～)\s*(?:(20\d{2})[年./-])?(\d{1,2})月|(20\d{2})[年./-](\d{1,2})月(?!\s*\d)"
@@ -41,37 +43,94 @@ NEXT_YEAR = r"次年|翌年|明年"
 REVISED_TO = r"(?:延期|延长|推迟|调整|变更|延)(?:至|到|为)\s*$"
 DEADLINES = ("registration_deadline", "campus_deadline", "official_deadline")
 
+#: Characters that are kept on either side of a match.
+AROUND = 1000
+
 EVENT = "struct<kind:string,value:string,time:string,end_value:string,raw:string,start:int,end:int,begin:int,before:string,after:string,whole:boolean,flags:array<string>>"
 
 
-def spans(c: Column, pattern: str, breaks: str = BREAKS) -> Column:
-    """array<struct<raw, start, groups, before, after>>: the matches of the pattern (Python's), trimmed, each with its
-    place in code points and the rest of its sentence on both sides. Null texts have none."""
+def spans(c: Column, pattern: str, breaks: str = BREAKS, told: dict[str, str] | None = None, earlier: dict[str, str] | None = None) -> Column:
+    """array<struct<raw, start, groups, begin, before, after, ..>>: the matches of the pattern (Python's), trimmed, each with
+    its place in code points, where its sentence begins, and the rest of the sentence on both sides, AROUND characters at
+    most. Null texts have none. told, earlier: name -> pattern, further booleans: whether the whole sentence has it, and
+    whether it does before the match."""
     wanted, ends = re.compile(pattern), re.compile(breaks)
+    whole = {n: re.compile(p) for n, p in (told or {}).items()}
+    first = {n: re.compile(p) for n, p in (earlier or {}).items()}
+    more = "".join(f",{n}:boolean" for n in (*whole, *first))
 
-    @F.arrow_udf("array<struct<raw:string,start:int,groups:array<string>,before:string,after:string>>")
+    @F.arrow_udf(f"array<struct<raw:string,start:int,groups:array<string>,begin:int,before:string,after:string{more}>>")
     def run(texts: pa.Array) -> pa.Array:
-        counts, raws, starts, groups, befores, afters = [0], [], [], [], [], []
+        counts, raws, starts, groups, begins, befores, afters = [0], [], [], [], [], [], []
+        flags: dict[str, list[bool]] = {n: [] for n in (*whole, *first)}
         for text in texts.to_pylist():
             found = list(wanted.finditer(text)) if text else []
             cuts = [m.start() for m in ends.finditer(text)] if found else []
+            known: tuple[int, int] | None = None
             for m in found:
                 raw, start = m.group().rstrip(), m.start()
                 stop = start + len(raw)
                 i, j = bisect_left(cuts, start), bisect_left(cuts, stop)
+                begin, end = cuts[i - 1] + 1 if i else 0, cuts[j] if j < len(cuts) else len(text)
+                if known != (begin, end) and flags:
+                    known, sentence = (begin, end), text[begin:end]
+                    has = {n: p.search(sentence) is not None for n, p in whole.items()}
+                    ahead = {n: begin + x.end() if (x := p.search(sentence)) else len(text) + 1 for n, p in first.items()}
+                for n in whole:
+                    flags[n].append(has[n])
+                for n in first:
+                    flags[n].append(ahead[n] <= start)
                 raws.append(raw)
                 starts.append(start)
                 groups += m.groups()
-                befores.append(text[cuts[i - 1] + 1 if i else 0 : start])
-                afters.append(text[stop : cuts[j] if j < len(cuts) else len(text)])
+                begins.append(begin)
+                befores.append(text[max(begin, start - AROUND) : start])
+                afters.append(text[stop : min(end, stop + AROUND)])
             counts.append(len(raws))
         each = pa.ListArray.from_arrays(pa.array(range(0, len(groups) + 1, max(1, wanted.groups)) if wanted.groups else [0] * (len(raws) + 1), pa.int32()), pa.array(groups, pa.string()))
-        columns = [pa.array(raws, pa.string()), pa.array(starts, pa.int32()), each, pa.array(befores, pa.string()), pa.array(afters, pa.string())]
-        return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.StructArray.from_arrays(columns, names=["raw", "start", "groups", "before", "after"]))
+        columns = [pa.array(raws, pa.string()), pa.array(starts, pa.int32()), each, pa.array(begins, pa.int32()), pa.array(befores, pa.string()), pa.array(afters, pa.string())]
+        columns += [pa.array(x, pa.bool_()) for x in flags.values()]
+        return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.StructArray.from_arrays(columns, names=["raw", "start", "groups", "begin", "before", "after", *flags]))
 
     return run(c)
 
 
+def last_part(c: Column, marks: str) -> Column:
+    """What stands behind the last of the marks."""
+    return F.element_at(F.split(c, marks), -1)
+
+
+def first_part(c: Column, marks: str) -> Column:
+    return F.split(c, marks, 2)[0]
+
+
+CARRIED = "array<struct<kind:string,linked:boolean,start_year:int,range_year:int>>"
+
+
+def carried(matches: pa.Array) -> pa.Array:
+    """What a date takes from the one before it in its sentence: a range's end, or a date that is moved, its kind; a range's
+    end without a year that of the beginning, or the next where its month is an earlier one."""
+    out = []
+    for row in matches.to_pylist():
+        made, near = [], None
+        for m in row or []:
+            same = near is not None and near["begin"] == m["begin"]
+            linked = same and bool(m["linked"])
+            kind = near["kind"] if linked or same and m["moved"] else m["kind"]
+            start_year, start_month = near["at"] if same else (None, None)
+            range_year = start_year + (m["month"] < start_month) if linked and not m["whole"] and start_year is not None and m["month"] is not None else None
+            year = m["year"] if range_year is None else range_year
+            try:
+                datetime.date(year, m["month"], m["day"])
+                at = (year, m["month"])
+            except (TypeError, ValueError):
+                at = (None, None)
+            near = {"begin": m["begin"], "kind": kind, "at": at}
+            made.append({"kind": kind, "linked": linked, "start_year": start_year, "range_year": range_year})
+        out.append(made)
+    return pa.array(out, pa.list_(pa.struct([("kind", pa.string()), ("linked", pa.bool_()), ("start_year", pa.int32()), ("range_year", pa.int32())])))
+
+
 def clock_after(after: Column) -> Column:
     """struct<time, bad>: the clock time (HH:MM, 24:00 allowed) that the text begins with, and whether it is impossible."""
     part = lambda i: F.regexp_extract(after, CLOCK, i)
@@ -112,7 +171,7 @@ def kind_of(before: Column, after: Column, context: Column | None = None) -> Col
         contest = F.when(near.rlike(CONTEST), "competition").otherwise("other")
         return F.when(near.rlike(UNRELATED), "other").when(near.rlike(SUBMISSION), "submission").otherwise(F.coalesce(F.when(near.rlike(REGISTRATION), registers), contest))
 
-    clauses = F.struct(F.regexp_extract(before, CLAUSE + "$", 0).alias("prefix"), F.regexp_extract(after, "^" + CLAUSE, 0).alias("suffix"))
+    clauses = F.struct(last_part(before, MARKS).alias("prefix"), first_part(after, MARKS).alias("suffix"))
     return let(let(clauses, lambda c: F.struct(c["prefix"].alias("prefix"), F.concat(beside, c["prefix"], c["suffix"]).alias("near"))), decided)
 
 
@@ -132,80 +191,67 @@ def date_events(df: DataFrame, text: str, published: str, out: str, context: str
     day_published = F.coalesce(F.col(published).cast("string"), F.lit(""))
     beside = F.lit("") if context is None else F.coalesce(context, F.lit(""))
 
-    def plain(m: Column) -> Column:
+    def plain(m: Column, i: Column) -> Column:
         g = lambda i: m["groups"][i].try_cast("int")
         own = g(0)
         year = F.coalesce(own, F.regexp_extract(day_published, r"^(\d{4})-\d{2}-\d{2}", 1).try_cast("int"))
-        later = own.isNull() & m["before"].rlike(NEXT_YEAR)
-        sentence = F.concat(m["before"], m["raw"], m["after"])
+        later = own.isNull() & m["later"]
+        near = F.when(i > 0, F.get("days__", i - 1))
+        gap = F.right(m["before"], F.greatest(m["start"] - near["start"] - F.length(near["raw"]), F.lit(0)))
+        linked = F.coalesce((near["begin"] == m["begin"]) & gap.rlike(RANGE), F.lit(False))
 
         def made(c: Column) -> Column:
             return F.struct(
-                m["raw"].alias("raw"), m["start"].alias("start"), (m["start"] - F.length(m["before"])).alias("begin"), m["before"].alias("before"), m["after"].alias("after"),
+                m["raw"].alias("raw"), m["start"].alias("start"), m["begin"].alias("begin"), m["before"].alias("before"), m["after"].alias("after"),
                 own.isNotNull().alias("whole"), (year + c["later"].cast("int")).alias("year"), F.coalesce(g(1), g(2)).alias("month"), g(3).alias("day"), c["later"].alias("later"),
                 c["kind"].alias("kind"), c["clock"]["time"].alias("time"), c["clock"]["bad"].alias("bad_time"), F.regexp_extract(m["after"], RANGE_DAY, 1).try_cast("int").alias("last"),
-                c["sentence"].rlike(CHANGED).alias("changed"), c["sentence"].rlike(VAGUE).alias("vague"),
+                m["changed"].alias("changed"), m["vague"].alias("vague"), c["linked"].alias("linked"), ((c["kind"] == "other") & last_part(m["before"], "[，,]").rlike(CHANGED)).alias("moved"),
             )
 
-        return let(F.struct(later.alias("later"), kind_of(m["before"], m["after"], beside).alias("kind"), clock_after(m["after"]).alias("clock"), sentence.alias("sentence")), made)
-
-    def add(done: Column, m: Column) -> Column:
-        before = F.when(F.size(done) > 0, F.element_at(done, -1))
-
-        def after(near: Column) -> Column:
-            gap = F.right(m["before"], F.greatest(m["start"] - near["end"], F.lit(0)))
-            linked = F.coalesce(near.isNotNull() & gap.rlike(RANGE), F.lit(False))
-            changed = (m["kind"] == "other") & F.regexp_extract(m["before"], r"[^，,]*$", 0).rlike(CHANGED)
-            start_year, start_month = F.substring(near["value"], 1, 4).cast("int"), F.substring(near["value"], 6, 2).cast("int")
-            return let(F.struct(linked.alias("linked"), F.coalesce(F.when(linked | changed, near["kind"]), m["kind"]).alias("kind")), lambda k: F.struct(
-                k["linked"].alias("linked"), k["kind"].alias("kind"), start_year.alias("start_year"),
-                F.when(k["linked"] & ~m["whole"], start_year + (m["month"] < start_month).cast("int")).alias("range_year"),
-            ))
-
-        def dated(k: Column) -> Column:
-            year = F.coalesce(k["range_year"], m["year"])
-            return F.struct(k.alias("k"), year.alias("year"), day_of(year, m["month"], m["day"]).alias("value"), day_of(year, m["month"], m["last"]).alias("last"))
-
-        def event(d: Column) -> Column:
-            k, value = d["k"], d["value"]
-            early = F.coalesce(value < day_published, F.lit(False))
-            partial = m["last"].isNotNull() & value.isNotNull()
+        return let(F.struct(later.alias("later"), kind_of(m["before"], m["after"], beside).alias("kind"), clock_after(m["after"]).alias("clock"), linked.alias("linked")), made)
+
+    def dated(m: Column, i: Column) -> Column:
+        """m with what it takes from the date before, and its day."""
+        k = F.get("carried__", i)
+        year = F.coalesce(k["range_year"], m["year"])
+        return F.struct(k.alias("k"), year.alias("year"), day_of(year, m["month"], m["day"]).alias("value"), day_of(year, m["month"], m["last"]).alias("last"), m.alias("m"))
+
+    def event(d: Column, i: Column) -> Column:
+        at = lambda j: F.get("dated__", i + j) if j > 0 else F.when(i + j >= 0, F.get("dated__", i + j))
+        own = d["m"]["begin"]
+        same = lambda j: F.coalesce(at(j)["m"]["begin"] == own, F.lit(False))
+        beyond = F.struct(
+            d.alias("d"), same(-2).alias("b2"), same(-1).alias("b1"), same(1).alias("a1"), same(2).alias("a2"), at(1)["k"]["linked"].alias("linked"), at(1)["value"].alias("value"), at(-1)["m"]["whole"].alias("whole"),
+            F.concat(beside, d["m"]["before"], d["m"]["raw"], d["m"]["after"]).alias("sentence"), F.coalesce(d["value"] < day_published, F.lit(False)).alias("early"), (d["m"]["last"].isNotNull() & d["value"].isNotNull()).alias("partial"),
+        )
+
+        def judged(x: Column) -> Column:
+            d, m, k = x["d"], x["d"]["m"], x["d"]["k"]
+            opens = x["a1"] & F.coalesce(x["linked"], F.lit(False))
             flags = flagged(
                 ("missing_year", ~m["whole"]), ("cross_year", m["later"] | F.coalesce(k["range_year"] != k["start_year"], F.lit(False))), ("unknown_year", d["year"].isNull()),
-                ("invalid_date", (d["year"].isNotNull() & value.isNull()) | (partial & d["last"].isNull())), ("before_publication", early), ("possible_cross_year", early & ~m["whole"]),
-                ("invalid_time", m["bad_time"]), ("postponed", m["changed"]), ("approximate", m["vague"]), ("range_endpoint", k["linked"]), ("date_range", partial),
+                ("invalid_date", (d["year"].isNotNull() & d["value"].isNull()) | (x["partial"] & d["last"].isNull())), ("before_publication", x["early"]), ("possible_cross_year", x["early"] & ~m["whole"]),
+                ("invalid_time", m["bad_time"]), ("postponed", m["changed"]), ("approximate", m["vague"]), ("range_endpoint", k["linked"]), ("date_range", x["partial"] | opens),
             )
+            # A sentence with two dates, a range of registration: its start and its deadline.
+            first, second = ~x["b1"] & x["a1"] & ~x["a2"], x["b1"] & ~x["b2"] & ~x["a1"]
+            registers = (first & x["linked"] | second & k["linked"]) & x["sentence"].rlike(r"报名|注册|登记") & ~x["sentence"].rlike(r"作品|提交|报送|上传|比赛日期|决赛|初赛")
+            end_value = F.when(opens, x["value"]).when(x["partial"], d["last"])
+            whole = F.when(x["b1"], x["whole"]).otherwise(m["whole"])
+            return let(F.struct(x.alias("x"), flags.alias("flags"), F.coalesce(registers, F.lit(False)).alias("registers"), (~x["b1"]).alias("first"), end_value.alias("end_value"), whole.alias("whole")), put)
+
+        def put(y: Column) -> Column:
+            d, m, r, first = y["x"]["d"], y["x"]["d"]["m"], y["registers"], y["first"]
+            sentence = y["x"]["sentence"]
+            deadline = F.when(sentence.rlike(r"校内|本校"), "campus_deadline").when(sentence.rlike(r"官方|组委会"), "official_deadline").otherwise("registration_deadline")
+            settled = F.when(~y["whole"], F.array().cast("array<string>")).when(first, F.array(F.lit("before_publication"))).otherwise(F.array(F.lit("missing_year"), F.lit("unknown_year"), F.lit("possible_cross_year")))
+            mended = F.array_except(y["flags"], F.concat(F.array(F.lit("date_range"), F.lit("range_endpoint")), settled))
             return F.struct(
-                k["kind"].alias("kind"), value.alias("value"), m["time"].alias("time"), F.when(partial, d["last"]).alias("end_value"), m["raw"].alias("raw"), m["start"].alias("start"),
-                (m["start"] + F.length(m["raw"])).alias("end"), m["begin"].alias("begin"), m["before"].alias("before"), m["after"].alias("after"), m["whole"].alias("whole"), flags.alias("flags"),
+                F.when(r & first, "registration_start").when(r, deadline).otherwise(d["k"]["kind"]).alias("kind"), d["value"].alias("value"), m["time"].alias("time"), F.when(~(r & first), y["end_value"]).alias("end_value"), m["raw"].alias("raw"), m["start"].alias("start"),
+                (m["start"] + F.length(m["raw"])).alias("end"), m["begin"].alias("begin"), m["before"].alias("before"), m["after"].alias("after"), m["whole"].alias("whole"), F.when(r, mended).otherwise(y["flags"]).alias("flags"),
             ).cast(EVENT)
 
-        def put(e: Column) -> Column:
-            opened = before.withField("end_value", e["value"]).withField("flags", F.array_union(before["flags"], F.array(F.lit("date_range")))).cast(EVENT)
-            linked = F.array_contains(e["flags"], "range_endpoint")
-            return F.concat(F.when(linked, F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(opened))).otherwise(done), F.array(e))
-
-        near = F.when(before["begin"] == m["begin"], before)
-        return let(let(let(let(near, after), dated), event), put)
-
-    def interval(events: Column) -> Column:
-        """A sentence with two dates, a range of registration: its start and its deadline."""
-
-        def mend(e: Column) -> Column:
-            parts = F.struct(F.filter(events, lambda o: o["begin"] == e["begin"]).alias("both"), F.concat(beside, e["before"], e["raw"], e["after"]).alias("sentence"))
-            return let(parts, lambda p: mended_one(e, p["both"], p["sentence"]))
-
-        def mended_one(e: Column, both: Column, sentence: Column) -> Column:
-            registers = (F.size(both) == 2) & sentence.rlike(r"报名|注册|登记") & ~sentence.rlike(r"作品|提交|报送|上传|比赛日期|决赛|初赛") & F.array_contains(both[1]["flags"], "range_endpoint")
-            first = e["start"] == both[0]["start"]
-            kind = F.when(first, "registration_start").when(sentence.rlike(r"校内|本校"), "campus_deadline").when(sentence.rlike(r"官方|组委会"), "official_deadline").otherwise("registration_deadline")
-            settled = F.when(~both[0]["whole"], F.array().cast("array<string>")).when(first, F.array(F.lit("before_publication"))).otherwise(F.array(F.lit("missing_year"), F.lit("unknown_year"), F.lit("possible_cross_year")))
-            flags = F.array_except(e["flags"], F.concat(F.array(F.lit("date_range"), F.lit("range_endpoint")), settled))
-            mended = e.withField("kind", kind).withField("flags", flags).withField("end_value", F.when(first, F.lit(None).cast("string")).otherwise(e["end_value"]))
-            return F.when(registers, mended.cast(EVENT)).otherwise(e)
-
-        ranges = F.exists(events, lambda e: F.array_contains(e["flags"], "range_endpoint"))
-        return F.when(ranges, F.transform(events, mend)).otherwise(events)
+        return let(beyond, judged)
 
     def month(m: Column) -> Column:
         g = lambda i: m["groups"][i].try_cast("int")
@@ -214,12 +260,14 @@ def date_events(df: DataFrame, text: str, published: str, out: str, context: str
         none = F.lit(None).cast("string")
         return F.struct(
             kind_of(m["before"], m["after"]).alias("kind"), none.alias("value"), none.alias("time"), none.alias("end_value"), m["raw"].alias("raw"), m["start"].alias("start"), (m["start"] + F.length(m["raw"])).alias("end"),
-            (m["start"] - F.length(m["before"])).alias("begin"), m["before"].alias("before"), m["after"].alias("after"), F.lit(True).alias("whole"), flags.alias("flags"),
+            m["begin"].alias("begin"), m["before"].alias("before"), m["after"].alias("after"), F.lit(True).alias("whole"), flags.alias("flags"),
         ).cast(EVENT)
 
-    found = df.withColumn("days__", spans(F.col(text), DATE)).withColumn("months__", spans(F.col(text), MONTHS))
-    folded = F.aggregate(F.transform("days__", plain), F.array().cast(f"array<{EVENT}>"), add)
     # Generating a column keeps what is long to work out from being repeated by later projections and filters.
-    made = found.select("*", F.inline(F.array(F.struct(folded.alias("folded__")))))
-    every = F.concat(interval(F.col("folded__")), F.transform("months__", month))
+    once = lambda d, name, c: d.select("*", F.inline(F.array(F.struct(c.alias(name)))))
+    found = df.withColumn("days__", spans(F.col(text), DATE, told={"changed": CHANGED, "vague": VAGUE}, earlier={"later": NEXT_YEAR})).withColumn("months__", spans(F.col(text), MONTHS))
+    made = once(found, "plain__", F.transform("days__", plain))
+    slim = F.transform("plain__", lambda m: F.struct(*[m[n].alias(n) for n in ("begin", "linked", "moved", "kind", "whole", "year", "month", "day")]))
+    made = once(made.withColumn("carried__", F.arrow_udf(carried, CARRIED)(slim)), "dated__", F.transform("plain__", dated))
+    every = F.concat(F.transform("dated__", event), F.transform("months__", month))
     return made.select(*[F.col(f"`{c}`") for c in df.columns if c != out], F.inline(F.array(F.struct(every.alias(out)))))

@@ -30,14 +30,16 @@ def events(notices: DataFrame, key: str, body: str, published: str) -> DataFrame
     # The dates of one notice are few and stay in its row, so nothing is shuffled.
     found = facts.date_events(base, "text__", "day__", "all__").filter(F.size("all__") > 0)
 
-    def rivals(e: Column) -> Column:
-        same = F.filter("all__", lambda o: (o["kind"] == e["kind"]) & o["value"].isNotNull())
-        return F.filter(same, lambda o: ~(o["value"].eqNullSafe(e["value"]) & o["time"].eqNullSafe(e["time"])))
+    # What each kind of deadline is told to be, and what it is said to be moved to.
+    values = lambda kind: F.array_distinct(F.transform(F.filter("all__", lambda o: (o["kind"] == kind) & o["value"].isNotNull()), lambda o: F.concat_ws(" ", o["value"], o["time"])))
+    days = lambda kind: F.array_distinct(F.transform(F.filter("all__", lambda o: (o["kind"] == kind) & o["value"].isNotNull() & F.array_contains(o["flags"], "postponed") & o["before"].rlike(facts.CHANGED)), lambda o: o["value"]))
+    told = F.struct(*[F.struct(F.size(values(kind)).alias("n"), F.slice(days(kind), 1, 2).alias("to")).alias(kind) for kind in facts.DEADLINES])
+    found = found.select("*", F.inline(F.array(F.struct(told.alias("told__")))))
 
     def judged(e: Column) -> Column:
-        others = rivals(e)
-        conflict = e["kind"].isin(*facts.DEADLINES) & e["value"].isNotNull() & (F.size(others) > 0)
-        moved = F.exists(others, lambda o: (o["value"] != e["value"]) & F.array_contains(o["flags"], "postponed") & o["before"].rlike(facts.CHANGED))
+        here = F.coalesce(*[F.when(e["kind"] == kind, F.col(f"told__.{kind}")) for kind in facts.DEADLINES])
+        conflict = F.coalesce(e["value"].isNotNull() & (here["n"] > 1), F.lit(False))
+        moved = F.coalesce(F.exists(here["to"], lambda v: v != e["value"]), F.lit(False))
         flags = F.when(conflict, F.array_append(e["flags"], F.lit("conflict"))).otherwise(e["flags"])
         return F.struct(e.alias("e"), flags.alias("flags"), (conflict & moved).alias("superseded"))
 
