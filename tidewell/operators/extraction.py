@@ -9,6 +9,7 @@ is in, the track that is spoken of, the person named last) comes by windows over
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewell.functions import facts, text
+from tidewell.operators import rounds
 
 #: Sentences, headings, sections and what tells each field.
 SENTENCE = r"[^\n。；;]+[。；;]?"
@@ -94,75 +96,119 @@ def sentences(docs: DataFrame) -> DataFrame:
     )
 
 
+Entry = Column  # array<struct<field, item, value, flags, track>>: facts that a row gives
+
+
+def entry(field: str, values: Column, item: Callable[[Column], Column] | Column | None = None, flags: Column | None = None, track: Callable[[Column], Column] | None = None, when: Column | None = None) -> Entry:
+    """A fact for each of the values (array), if `when` holds; item and track may hang on the value."""
+
+    def one(v: Column) -> Column:
+        own = F.lit(None).cast("string") if item is None else item(v) if callable(item) else item
+        return F.struct(F.lit(field).alias("field"), own.alias("item"), v.alias("value"), (no_flags() if flags is None else flags).alias("flags"), (F.col("track") if track is None else track(v)).alias("track"))
+
+    made = F.transform(values, one)
+    none = F.array().cast("array<struct<field:string,item:string,value:string,flags:array<string>,track:string>>")
+    return F.coalesce(made if when is None else F.when(when, made), none)
+
+
+def stated(df: DataFrame, entries: list[Entry], kind: str = "body") -> DataFrame:
+    """The facts of rows with url, raw, start and end: one pass over them, whatever the number of fields."""
+    found = df.select("url", "raw", "start", "end", F.explode(F.concat(*entries)).alias("f"))
+    own = {"type": F.lit(kind), "at": F.lit(None).cast("string"), "method": F.lit("rule"), "verification": F.when(F.size("f.flags") > 0, "needs_review").otherwise("source_matched")}
+    own |= {c: F.col(f"f.{c}") for c in ("field", "item", "value", "flags", "track")}
+    return found.select(*[own.get(c, F.col(c)).alias(c) for c in COLUMNS])
+
+
 def title_facts(docs: DataFrame) -> DataFrame:
     """Names, editions and tracks that the titles give."""
     base = docs.filter("coalesce(title, '') <> ''").select("url", F.col("title").alias("raw"), F.lit(0).alias("start"), F.length("title").alias("end"), F.lit(None).cast("string").alias("track"))
-    each = {"competitionNames": text.competition_names(F.col("raw")), "editions": F.array_distinct(F.regexp_extract_all("raw", F.lit(EDITION), 0)), "tracks": text.track_names(F.col("raw"))}
-    return reduce(DataFrame.unionByName, [fact(base.withColumn("v", F.explode(values)), field, F.col("v"), kind="title", track=text.track_id(F.col("v")) if field == "tracks" else None) for field, values in each.items()])
+    entries = [entry("competitionNames", text.competition_names(F.col("raw"))), entry("editions", F.array_distinct(F.regexp_extract_all("raw", F.lit(EDITION), 0))), entry("tracks", text.track_names(F.col("raw")), track=text.track_id)]
+    return stated(base, entries, "title")
 
 
-def sentence_facts(said: DataFrame) -> DataFrame:
-    """Editions, tracks, audiences, ways to register and materials that the sentences give."""
+def sentence_entries() -> list[Entry]:
     raw, plain = F.col("raw"), ~F.col("heading")
-    out = [fact(said.withColumn("v", F.explode(F.array_distinct(F.regexp_extract_all("raw", F.lit(EDITION), 0)))), "editions", F.col("v")), fact(said.filter("header"), "tracks", F.regexp_extract(raw, TRACK_HEADER, 1))]
+    out = [entry("editions", F.array_distinct(F.regexp_extract_all("raw", F.lit(EDITION), 0))), entry("tracks", F.array(F.regexp_extract(raw, TRACK_HEADER, 1)), when=F.col("header"))]
     wanted = {"audiences": plain & (F.col("in_audiences") | raw.rlike(FIELDS["audiences"])), "registrationMethods": plain & (F.col("in_methods") | raw.rlike(FIELDS["registrationMethods"])), "requiredMaterials": raw.rlike(FIELDS["requiredMaterials"])}
-    return reduce(DataFrame.unionByName, out + [fact(said.filter(condition), field, raw) for field, condition in wanted.items()])
+    return out + [entry(field, F.array(raw), when=condition) for field, condition in wanted.items()]
+
+
+def sentence_facts(said: DataFrame) -> DataFrame:
+    """Editions, tracks, audiences, ways to register and materials that the sentences give."""
+    return stated(said, sentence_entries())
+
+
+def with_people(said: DataFrame) -> DataFrame:
+    """said with joint (two names that share what follows), people (array of item, name, part: what stands between a name
+    and the next), person (the last of them) and to (the person named last in the same run of sentences, or nobody)."""
+    raw = F.col("raw")
+    loose = (F.size(phones(raw)) > 0) | (F.size(emails(raw)) > 0) | raw.rlike(r"^[一-鿿]{1,4}老师$")
+    marked = said.withColumn("joint", raw.rlike(JOINT))
+    named = marked.withColumn("some__", facts.spans(F.when(~F.col("joint"), raw), NAMED, r"\Z")).withColumn("more__", facts.spans(F.when(~F.col("joint") & loose, raw), f"{TEACHER}|{BEFORE_PHONE}", r"\Z"))
+    apart = F.filter("more__", lambda m: ~F.exists("some__", lambda s: (m["start"] < s["start"] + F.length(s["raw"])) & (s["start"] < m["start"] + F.length(m["raw"]))))
+    found = F.array_sort(F.transform(F.concat("some__", apart), lambda m: F.struct(m["start"].alias("s"), F.coalesce(m["groups"][0], F.try_element_at(m["groups"], F.lit(2))).alias("name"))))
+
+    def person(f: Column, k: Column) -> Column:
+        stop = F.coalesce(F.get("found__", k + 1)["s"], F.length("raw"))
+        name = F.element_at(F.split(f["name"], r"学院|学部|中心|办公室"), -1)
+        return F.struct(F.concat_ws(":", "url", "no", k.cast("string")).alias("item"), name.alias("name"), F.substring(F.col("raw"), f["s"] + 1, stop - f["s"]).alias("part"))
+
+    named = named.withColumn("found__", F.coalesce(found, F.array().cast("array<struct<s:int,name:string>>"))).drop("some__", "more__")
+    named = named.withColumn("people", F.filter(F.transform("found__", person), lambda p: (p["name"] != "") & ~p["name"].isin(*NO_NAMES))).drop("found__")
+    named = named.withColumn("person", F.try_element_at("people", F.lit(-1))["item"])
+    before = Window.partitionBy("url", "contact_run", "track").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
+    return named.withColumn("to", F.coalesce(F.last("person", ignorenulls=True).over(before), F.concat_ws(":", "url", "contact_run", F.coalesce("track", F.lit("-")), F.lit("nobody"))))
+
+
+def contact_entries() -> list[Entry]:
+    raw, joint, kinds = F.col("raw"), F.col("joint"), (("phones", phones), ("emails", emails))
+    shared, unsure = F.concat_ws(":", "url", "no", F.lit("shared")), F.array(F.lit("relationship_ambiguous"))
+    out = [entry("contacts.name", F.array(F.regexp_extract(raw, JOINT, 1), F.regexp_extract(raw, JOINT, 2)), lambda v: F.concat_ws(":", "url", "no", v), when=joint)]
+    out += [entry(f"contacts.{kind}", values(raw), shared, unsure, when=joint) for kind, values in kinds]
+
+    def of_people(field: str, values: Callable[[Column], Column]) -> Entry:
+        one = lambda p: F.transform(values(p), lambda v: F.struct(F.lit(field).alias("field"), p["item"].alias("item"), v.alias("value"), no_flags().alias("flags"), F.col("track").alias("track")))
+        return F.flatten(F.transform("people", one))
+
+    out += [of_people("contacts.name", lambda p: F.array(p["name"]))] + [of_people(f"contacts.{kind}", lambda p, values=values: values(p["part"])) for kind, values in kinds]
+    alone = ~joint & F.col("person").isNull() & raw.rlike(CONTACT_LINE)
+    out += [entry(f"contacts.{kind}", values(raw), F.col("to"), when=alone) for kind, values in kinds]
+    qq = F.regexp_extract(raw, r"(?i)QQ[号：: \t]*(\d{5,12})", 1)
+    return [*out, entry("contacts.qq", F.array(qq), F.coalesce("person", "to"), when=~joint & ~raw.rlike(GROUP) & ~(F.col("in_groups") & raw.rlike("群[：:]")) & (qq != ""))]
 
 
 def contact_facts(said: DataFrame) -> DataFrame:
     """Facts of persons (fields contacts.name, .phones, .emails, .qq), by item: what stands between a name and the next
     belongs to it; lines that only give numbers belong to the person named last in the same run of sentences. Numbers
     next to two names that share them belong to neither, and need review."""
+    return stated(with_people(said), contact_entries())
+
+
+def group_entries() -> list[Entry]:
     raw = F.col("raw")
-    joint = said.filter(raw.rlike(JOINT))
-    pairs = joint.withColumn("v", F.explode(F.array(F.regexp_extract(raw, JOINT, 1), F.regexp_extract(raw, JOINT, 2))))
-    shared = F.concat_ws(":", "url", "no", F.lit("shared"))
-    unsure = F.array(F.lit("relationship_ambiguous"))
-    out = [fact(pairs, "contacts.name", F.col("v"), F.concat_ws(":", "url", "no", "v"))]
-    out += [fact(joint.withColumn("v", F.explode(values(raw))), f"contacts.{kind}", F.col("v"), shared, unsure) for kind, values in (("phones", phones), ("emails", emails))]
-
-    single = said.filter(~raw.rlike(JOINT))
-    loose = (F.size(phones(raw)) > 0) | (F.size(emails(raw)) > 0) | raw.rlike(r"^[一-鿿]{1,4}老师$")
-    named = single.withColumn("some__", facts.spans(raw, NAMED, r"\Z")).withColumn("more__", facts.spans(F.when(loose, raw), f"{TEACHER}|{BEFORE_PHONE}", r"\Z"))
-    found = F.array_sort(F.transform(F.concat("some__", F.filter("more__", lambda m: ~F.exists("some__", lambda s: (m["start"] < s["start"] + F.length(s["raw"])) & (s["start"] < m["start"] + F.length(m["raw"]))))), lambda m: F.struct(m["start"].alias("s"), F.coalesce(m["groups"][0], F.try_element_at(m["groups"], F.lit(2))).alias("name"))))
-    named = named.withColumn("found__", found).filter(F.size("found__") > 0)
-    each = named.select("*", F.posexplode("found__").alias("k", "f"))
-    stop = F.coalesce(F.try_element_at("found__", F.col("k") + 2)["s"], F.length("raw"))
-    name = F.element_at(F.split("f.name", r"学院|学部|中心|办公室"), -1)
-    people = each.withColumn("name", name).withColumn("part", F.substring(raw, F.col("f.s") + 1, stop - F.col("f.s"))).filter((F.col("name") != "") & ~F.col("name").isin(*NO_NAMES)).withColumn("item", F.concat_ws(":", "url", "no", F.col("k").cast("string")))
-    out += [fact(people, "contacts.name", F.col("name"), F.col("item"))]
-    out += [fact(people.withColumn("v", F.explode(values(F.col("part")))), f"contacts.{kind}", F.col("v"), F.col("item")) for kind, values in (("phones", phones), ("emails", emails))]
-
-    last = people.groupBy("url", "no").agg(F.max_by("item", "k").alias("person"))
-    known = single.join(last, ["url", "no"], "left")
-    before = Window.partitionBy("url", "contact_run", "track").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
-    own = known.withColumn("to", F.coalesce(F.last("person", ignorenulls=True).over(before), F.concat_ws(":", "url", "contact_run", F.coalesce("track", F.lit("-")), F.lit("nobody"))))
-    lines = own.filter(F.col("person").isNull() & raw.rlike(CONTACT_LINE))
-    out += [fact(lines.withColumn("v", F.explode(values(raw))), f"contacts.{kind}", F.col("v"), F.col("to")) for kind, values in (("phones", phones), ("emails", emails))]
-    qq = own.filter(~raw.rlike(GROUP) & ~(F.col("in_groups") & raw.rlike("群[：:]"))).withColumn("v", F.regexp_extract(raw, r"(?i)QQ[号：: \t]*(\d{5,12})", 1)).filter("v <> ''")
-    out += [fact(qq, "contacts.qq", F.col("v"), F.coalesce("person", "to"))]
-    return reduce(DataFrame.unionByName, out)
+    about = raw.rlike(GROUP) | (F.col("in_groups") & raw.rlike("群[：:]"))
+    tail = F.element_at(F.split(F.when(raw.rlike(GROUP), F.regexp_extract(raw, f"(?s)(?:{GROUP})(.*)$".replace("(?i)", ""), 1)).otherwise(raw), "电话|手机|邮箱|联系人"), 1)
+    numbers = F.regexp_extract_all(F.when(raw.rlike(r"群"), tail).otherwise(raw), F.lit(r"(?<!\d)\d{5,12}(?!\d)"), 0)
+    kind = F.col("in_groups") | raw.rlike("(?i)QQ")
+    item = lambda v: F.concat_ws(":", "url", v)
+    return [entry("groups.qq", numbers, item, when=about & kind), entry("groups.unknown", numbers, item, when=about & ~kind)]
 
 
 def group_facts(said: DataFrame, images: DataFrame | None = None) -> DataFrame:
     """Numbers of groups (fields groups.qq, groups.unknown) and images that show how to join one (groups.image; images:
     url, image, context), which always need review."""
-    raw = F.col("raw")
-    about = said.filter(raw.rlike(GROUP) | (F.col("in_groups") & raw.rlike("群[：:]")))
-    tail = F.element_at(F.split(F.when(raw.rlike(GROUP), F.regexp_extract(raw, f"(?s)(?:{GROUP})(.*)$".replace("(?i)", ""), 1)).otherwise(raw), "电话|手机|邮箱|联系人"), 1)
-    tail = F.when(raw.rlike(r"群"), tail).otherwise(raw)
-    numbers = about.withColumn("v", F.explode(F.regexp_extract_all(tail, F.lit(r"(?<!\d)\d{5,12}(?!\d)"), 0)))
-    kind = F.col("in_groups") | raw.rlike("(?i)QQ")
-    out = [fact(numbers.filter(kind), "groups.qq", F.col("v"), F.concat_ws(":", "url", "v")), fact(numbers.filter(~kind), "groups.unknown", F.col("v"), F.concat_ws(":", "url", "v"))]
-    if images is not None:
-        of = images.filter(F.coalesce("context", F.lit("")).rlike(GROUP_IMAGE))
-        scopes = said.groupBy("url", F.col("raw").alias("context")).agg(F.collect_set(F.coalesce("track", F.lit(""))).alias("tracks"))
-        placed = of.join(scopes, ["url", "context"], "left").withColumn("track", F.when(F.size("tracks") == 1, F.nullif(F.col("tracks")[0], F.lit(""))))
-        flags = F.array_compact(F.array(F.lit("image_requires_review"), F.when(F.size("tracks") > 1, "scope_ambiguous")))
-        none = F.lit(None).cast("int")
-        shown = placed.select("url", F.col("context").alias("raw"), none.alias("start"), none.alias("end"), "track", "image", flags.alias("f"))
-        out.append(fact(shown, "groups.image", F.col("image"), F.concat_ws(":", "url", "image"), F.col("f"), "image", F.col("image")))
-    return reduce(DataFrame.unionByName, out)
+    numbers = stated(said, group_entries())
+    return numbers if images is None else numbers.unionByName(image_facts(said, images))
+
+
+def image_facts(said: DataFrame, images: DataFrame) -> DataFrame:
+    of = images.filter(F.coalesce("context", F.lit("")).rlike(GROUP_IMAGE))
+    scopes = said.groupBy("url", F.col("raw").alias("context")).agg(F.collect_set(F.coalesce("track", F.lit(""))).alias("tracks"))
+    placed = of.join(scopes, ["url", "context"], "left").withColumn("track", F.when(F.size("tracks") == 1, F.nullif(F.col("tracks")[0], F.lit(""))))
+    flags = F.array_compact(F.array(F.lit("image_requires_review"), F.when(F.size("tracks") > 1, "scope_ambiguous")))
+    none = F.lit(None).cast("int")
+    shown = placed.select("url", F.col("context").alias("raw"), none.alias("start"), none.alias("end"), "track", "image", flags.alias("f"))
+    return fact(shown, "groups.image", F.col("image"), F.concat_ws(":", "url", "image"), F.col("f"), "image", F.col("image"))
 
 
 def link_facts(said: DataFrame, links: DataFrame | None = None) -> DataFrame:
@@ -190,11 +236,12 @@ def link_facts(said: DataFrame, links: DataFrame | None = None) -> DataFrame:
 
 def extract(docs: DataFrame, links: DataFrame | None = None, images: DataFrame | None = None) -> DataFrame:
     """All facts of docs (url, title, body) but their dates, which notices.events gives. Null titles and bodies give none;
-    rows that repeat a url count as one notice each only if their texts are the same."""
+    rows that repeat a url count as one notice each only if their texts are the same. The sentences are worked out once,
+    and kept in the shared folder, since links look at their neighbours again."""
     docs = docs.select("url", "title", "body").distinct()
-    said = sentences(docs)
-    parts = [title_facts(docs), sentence_facts(said), contact_facts(said), group_facts(said, images), link_facts(said, links)]
-    return reduce(DataFrame.unionByName, parts)
+    said, _ = rounds.kept(sentences(docs), "sentences")
+    parts = [title_facts(docs), stated(with_people(said), sentence_entries() + contact_entries() + group_entries()), link_facts(said, links)]
+    return reduce(DataFrame.unionByName, parts if images is None else [*parts, image_facts(said, images)])
 
 
 def extract_resources(resources: DataFrame) -> DataFrame:
