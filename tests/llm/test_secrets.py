@@ -83,3 +83,20 @@ def test_odd_tables(spark):
     assert [(x.kind, x.start, x.end) for x in found.filter("doc_id = 3").first().found] == [("assign", 400_000, 400_018)]
     with pytest.raises(ValueError):
         find_secrets(docs)
+
+
+@pytest.mark.parametrize("text", [b"eyJa" * 50_000, b"://a:" * 40_000, b"eyJa" * 20_000 + b".eyJb." + b"eyJa" * 20_000], ids=["dots that never come", "no at sign", "one match"])
+def test_long_runs_are_linear(text):
+    """Marks that stand close together in one run, of which each would read to its end."""
+    began = time.monotonic()
+    found = compiled(RULES).scan(text)
+    assert time.monotonic() - began < 20 and len(found) == (b".eyJb." in text)
+
+
+def test_runs_same_as_expression():
+    """Reads that are cut short give what whole reads give: runs longer than what is worth keeping."""
+    rng, jwt = random.Random(6), [r.kind for r in RULES].index("jwt")
+    for _ in range(300):
+        text = "".join(rng.choice(["eyJa", "eyJ" + "b" * 70, ".", " ", "c" * 90, ".eyJx."]) for _ in range(rng.randrange(1, 14)))
+        want = [(m.start(), m.end()) for m in re.finditer(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", text)]
+        assert [(a, b) for a, k, b in compiled(RULES).scan(text.encode()) if k == jwt] == want, text

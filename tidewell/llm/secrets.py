@@ -346,6 +346,26 @@ class Scanner:
                 found = at + 1 if ahead else at
         return found
 
+    @staticmethod
+    def longest(machine: Automaton, text: bytes, start: int, barren: set[int]) -> int:
+        """Where the longest match from start on ends, or -1. barren: places and states that no match ends behind, of this
+        text and machine; a read that comes by one is over, so that many reads of one run cost no more than a few. Short
+        ends of reads aren't worth keeping."""
+        step, letters, limit, dead, state = machine.step, machine.letter, machine.limit, machine.dead, machine.start
+        found, trail, wide = start if state >= limit else -1, [], len(step)
+        for at in range(start, len(text)):
+            state = step[state | letters[text[at]]]
+            if state == dead or (barren and at * wide + state in barren):
+                break
+            if state >= limit:
+                found = at + 1
+                trail.clear()
+            else:
+                trail.append(at * wide + state)
+        if len(trail) > 64:
+            barren.update(trail)
+        return found
+
     def first_end(self, k: int, text: bytes, start: int, stop: int) -> int:
         """The first byte at which a mark that begins at start or later ends, or -1."""
         machine = self.alone[k]
@@ -359,7 +379,7 @@ class Scanner:
     def scan(self, text: bytes) -> list[tuple[int, int, int]]:
         """(start, rule, end) in bytes, by start and rule. A match uses up its text, also if it is then dropped because
         it is too short; what else ends in its stretch may begin in used-up text, so that is searched from there anew."""
-        out, free = [], [0] * len(self.rules)
+        out, free, barren = [], [0] * len(self.rules), [set() for _ in self.rules]
         for k, first, last in self.accepted(text):
             rule, end = self.rules[k], first
             if end <= free[k]:
@@ -371,7 +391,7 @@ class Scanner:
                     start = self.reach(self.behind[k], text, end, free[k]) if end >= 0 else -1
                     if start < 0:
                         break
-                stop = self.reach(self.ahead[k], text, start, len(text))
+                stop = self.longest(self.ahead[k], text, start, barren[k])
                 if stop < end:  # the mark stands there, but not what the rule needs behind it
                     free[k] = start + 1
                     end = self.first_end(k, text, free[k], last)
