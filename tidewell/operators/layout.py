@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
+from pyspark.sql.window import Window
 
 
 def monotone_partition(values: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -73,23 +74,67 @@ def partition_rows(df: DataFrame, key: str, order: str, value: str, centres: lis
     return made.select(key, F.explode(F.arrays_zip("rows", "parts")).alias("r")).select(key, F.col(f"r.rows.{order}"), F.col(f"r.rows.{value}"), F.col("r.parts").alias("part"))
 
 
-def same_lines(df: DataFrame, page: str, y: str, x: str, text: str, tolerance: float = 2.0) -> DataFrame:
-    """page, y, text: fragments of one line, joined by x. Downwards, a fragment belongs to the line above it while it is
-    within the tolerance of that line's first fragment, not of the last one, so this is a fold over a page's fragments."""
-    fragment = F.struct((-F.col(y)).alias("down"), F.col(x).alias("x"), F.col(text).alias("text"))
-    pages = df.groupBy(page).agg(F.sort_array(F.collect_list(fragment)).alias("all"))
-    # The state holds the first y of each line so far; a fragment's line is the number of those begun.
-    kind = "array<struct<line:int,first:double,x:double,text:string>>"
+def partition_to(values: Column, centres: Column) -> Column:
+    """array<long>: the group of each of a row's ordered values, for the row's own centres. Rows with as many values and
+    centres are worked out together; a row without centres has no groups."""
+
+    @F.pandas_udf("array<long>")
+    def parts(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for column, to in batches:
+            sizes = np.array([(len(v), len(c)) for v, c in zip(column, to, strict=True)]).reshape(-1, 2)
+            out = np.empty(len(column), object)
+            for n, k in np.unique(sizes, axis=0).tolist():
+                at = np.flatnonzero((sizes == (n, k)).all(axis=1))
+                step = max(1, (1 << 20) // max(1, n * max(1, k)))
+                for i in range(0, len(at), step):
+                    some = at[i : i + step]
+                    stack = lambda s, m: np.array([np.asarray(s.iloc[j], float) for j in some]).reshape(len(some), m)
+                    made = monotone_partition(stack(column, n), stack(to, k)) if k else np.empty((len(some), 0), np.int64)
+                    for row, groups in zip(some, made, strict=True):
+                        out[row] = groups
+            yield pd.Series(out, index=column.index)
+
+    return parts(values, centres)
 
-    def place(done: Column, f: Column) -> Column:
-        last = F.element_at(done, -1)
-        fresh = (F.size(done) == 0) | (F.abs(last["first"] - f["down"]) > tolerance)
-        line = F.when(F.size(done) == 0, 1).otherwise(last["line"] + fresh.cast("int"))
-        return F.concat(done, F.array(F.struct(line.alias("line"), F.when(fresh, f["down"].cast("double")).otherwise(last["first"]).alias("first"), f["x"].cast("double").alias("x"), f["text"].alias("text"))).cast(kind))
 
-    placed = pages.select(page, F.explode(F.aggregate("all", F.array().cast(kind), place)).alias("f"))
-    lines = placed.groupBy(page, "f.line", "f.first").agg(F.sort_array(F.collect_list(F.struct("f.x", "f.text"))).alias("parts"))
-    return lines.select(page, (-F.col("first")).alias("y"), F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"))
+def line_numbers(down: Column, tolerance: float) -> Column:
+    """array<int>: of ordered values, the number (from 1) of the line of each: a line begins with the first value that is
+    farther than the tolerance from the first of the line before."""
+
+    @F.pandas_udf("array<int>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def one(y: np.ndarray) -> np.ndarray:
+            out, at, line = np.zeros(len(y), np.int32), 0, 0
+            while at < len(y):
+                apart = np.abs(y[at:] - y[at]) > tolerance
+                stop = at + int(apart.argmax()) if apart.any() else len(y)
+                line += 1
+                out[at:stop] = line
+                at = stop
+            return out
+
+        for column in batches:
+            yield column.map(lambda y: one(np.asarray(y, float)))
+
+    return run(down)
+
+
+def in_lines(df: DataFrame, page: list[str], y: str, x: str, text: str, tolerance: float = 2.0) -> DataFrame:
+    """page, line (number, from 1, downwards), y (of the line's first fragment), x, text: fragments with the line that each
+    belongs to. A page's fragments meet in one array. Downwards, a fragment belongs to the line above it while it is within
+    the tolerance of that line's first fragment, not of the last one."""
+    fragment = F.struct((-F.col(y)).cast("double").alias("down"), F.col(x).cast("double").alias("x"), F.col(text).alias("text"))
+    pages = df.filter(F.col(y).isNotNull()).groupBy(*page).agg(F.sort_array(F.collect_list(fragment)).alias("all"))
+    numbered = pages.withColumn("lines", line_numbers(F.transform("all", lambda f: f["down"]), tolerance))
+    rows = numbered.select(*page, F.explode(F.arrays_zip("all", "lines")).alias("f")).select(*page, F.col("f.lines").alias("line"), "f.all.*")
+    first = F.min("down").over(Window.partitionBy(*page, "line"))
+    return rows.select(*page, "line", (-first).alias("y"), "x", "text")
+
+
+def same_lines(df: DataFrame, page: str, y: str, x: str, text: str, tolerance: float = 2.0) -> DataFrame:
+    """page, y, text: fragments of one line (see in_lines), joined by x."""
+    lines = in_lines(df, [page], y, x, text, tolerance).groupBy(page, "line", "y").agg(F.sort_array(F.collect_list(F.struct("x", "text"))).alias("parts"))
+    return lines.select(page, "y", F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"))
 
 
 def columns_by_x(df: DataFrame, x: str, edges: list[float]) -> DataFrame:
@@ -99,16 +144,14 @@ def columns_by_x(df: DataFrame, x: str, edges: list[float]) -> DataFrame:
 
 def fold(line: str, size: int = 75) -> str:
     """The line in parts of at most `size` UTF-8 bytes, continued by a space, never cut inside a character."""
-    parts, now, used = [], [], 0
-    for c in line:
-        n = len(c.encode())
-        if used + n > size:
-            parts.append("".join(now))
-            now, used = [], 1
-        now.append(c)
-        used += n
-    parts.append("".join(now))
-    return "\r\n ".join(parts)
+    raw, parts, at = line.encode(), [], 0
+    while len(raw) - at > (room := size - bool(parts)):
+        stop = at + room
+        while raw[stop] & 0xC0 == 0x80:
+            stop -= 1
+        parts.append(raw[at:stop])
+        at = stop
+    return b"\r\n ".join([*parts, raw[at:]]).decode()
 
 
 @F.pandas_udf(StringType())
