@@ -184,7 +184,8 @@ def assign_editions(notices: DataFrame) -> DataFrame:
 
 
 ENTRY = "struct<url:string,date:string,value:string,time:string,end_value:string,raw:string,flags:array<string>,verification:string>"
-STATE = f"struct<entries:array<{ENTRY}>,history:array<{ENTRY}>,applied:bigint,pending:bigint>"
+CHANGE = "struct<url:string,old:array<string>,status:string>"
+STATE = f"struct<entries:array<{ENTRY}>,history:array<{ENTRY}>,applied:bigint,pending:bigint,changes:array<{CHANGE}>>"
 
 
 def entry_state(entries: Column) -> Column:
@@ -199,8 +200,8 @@ SLOT = ("competition", "edition_id", "kind", "track", "phase", "stage")
 
 
 def slots(notices: DataFrame, events: DataFrame) -> DataFrame:
-    """competition, edition_id, kind, track, phase, stage, entries, history, applied, pending, state: what each date of an
-    edition is by now, after its notices in the order of (date, url).
+    """competition, edition_id, kind, track, phase, stage, entries, history, applied, pending, changes, state: what each date
+    of an edition is by now, after its notices in the order of (date, url). changes: which notice revised what of which.
 
     notices: url, date, competition, edition_id, phase, stage. events: as notices.events gives them, by url; a track is
     optional. A revision ("moved to ..") takes the place of the earlier value, which goes to the history, only if that is
@@ -255,12 +256,14 @@ def folded(gathered: DataFrame) -> DataFrame:
         def put(x: Column) -> Column:
             entries = F.when(x["applies"], F.array(x["new"])).when(x["past"] | F.array_contains(s["entries"], x["now"]), s["entries"]).otherwise(F.concat(s["entries"], F.array(x["now"])))
             history = F.when(x["applies"], F.concat(s["history"], s["entries"])).when(x["past"], F.concat(s["history"], F.array(x["now"]))).otherwise(s["history"])
-            return F.struct(entries.alias("entries"), history.alias("history"), (s["applied"] + x["applies"].cast("long")).alias("applied"), (s["pending"] + x["fails"].cast("long")).alias("pending")).cast(STATE)
+            change = F.struct(e["url"].alias("url"), F.transform(s["entries"], lambda o: o["url"]).alias("old"), F.when(x["applies"], "applied").otherwise("needs_review").alias("status"))
+            changes = F.when(x["applies"] | x["fails"], F.array_append(s["changes"], change.cast(CHANGE))).otherwise(s["changes"])
+            return F.struct(entries.alias("entries"), history.alias("history"), (s["applied"] + x["applies"].cast("long")).alias("applied"), (s["pending"] + x["fails"].cast("long")).alias("pending"), changes.alias("changes")).cast(STATE)
 
         return let(F.struct(applies.alias("applies"), fails.alias("fails"), (declared & known).alias("past"), entry(e, flags, verification).alias("now"), entry(e, new_flags, new_verification).alias("new")), put)
 
     none = F.array().cast(f"array<{ENTRY}>")
-    start = F.struct(none.alias("entries"), none.alias("history"), F.lit(0).cast("long").alias("applied"), F.lit(0).cast("long").alias("pending")).cast(STATE)
+    start = F.struct(none.alias("entries"), none.alias("history"), F.lit(0).cast("long").alias("applied"), F.lit(0).cast("long").alias("pending"), F.array().cast(f"array<{CHANGE}>").alias("changes")).cast(STATE)
     folded = gathered.withColumn("s", F.aggregate("events", start, add)).select(*[c for c in gathered.columns if c != "events"], "s.*")
     return folded.withColumn("state", entry_state(F.col("entries")))
 

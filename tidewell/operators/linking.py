@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.facts import let
+from tidewell.operators import dictionary
 
 
 def link_longest(df: DataFrame, text: str, keywords: list[tuple[str, str]], out: str) -> DataFrame:
@@ -26,8 +27,8 @@ def contained_passages(df: DataFrame, key: str, text: str, passages: DataFrame,
 
     The words of a passage but its first and last are whole words of a text that holds it, so the first `seed` of them
     are looked up by their hash among the runs of words of all texts; only (key, hash) travels until a text is compared
-    in full. Passages of fewer than seed + 2 words, rarely any, are compared with every text. A null passage is held by
-    nothing, an empty one by every text that isn't null."""
+    in full. Passages of fewer than seed + 2 words are looked up by their rarest run of characters. A null or empty passage
+    says nothing and is held by no text."""
     spaces = r"[\x20\x09-\x0D]+"
     inner = F.slice(F.split(passage, spaces), 2, seed)
     long_enough = F.size(F.split(passage, spaces)) >= seed + 2
@@ -38,4 +39,8 @@ def contained_passages(df: DataFrame, key: str, text: str, passages: DataFrame,
     held = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("key__"), F.explode(F.array_distinct(runs)).alias("seed__")).join(seeds, "seed__").distinct()
     found = df.join(held, F.col(key).eqNullSafe(F.col("key__")) & F.contains(F.col(text), F.col(passage))).select(*df.columns, *passages.columns)
     short = passages.filter(F.size(F.split(passage, spaces)) < seed + 2)
-    return found.unionByName(df.join(short, F.contains(F.col(text), F.col(passage))).select(*df.columns, *passages.columns))
+    # JSON names each key, a null one too.
+    named = df.withColumn("json__", F.to_json(F.struct(F.col(key).alias("k"))))
+    pairs = dictionary.occurrences(named, "json__", text, short, passage)
+    more = named.join(pairs, F.col("json__") == F.col("key")).drop("json__", "key").join(short, F.col("name") == F.col(passage))
+    return found.unionByName(more.select(*df.columns, *passages.columns))

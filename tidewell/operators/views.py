@@ -71,10 +71,15 @@ def link_order(links: Column) -> Column:
     return F.transform(ranked, lambda r: r["link"])
 
 
-def competition_order(how: str) -> list[Column]:
+def by_name(name: str = "name", locale: str | None = None) -> Column:
+    """The name as it sorts: by code points, or as the locale has it ("zh": by pinyin, other scripts behind)."""
+    return F.collate(name, locale) if locale else F.col(name)
+
+
+def competition_order(how: str, locale: str | None = None) -> list[Column]:
     """Orders of competitions (name, score, number, notices, latest_date, open_deadline, is_recruiting): score, deadline,
     recent, notices, number, name. What isn't known comes last; ties end with the name."""
-    score, name = F.desc(F.coalesce(F.col("score"), F.lit(0))), F.col("name")
+    score, name = F.desc(F.coalesce(F.col("score"), F.lit(0))), by_name(locale=locale)
     deadline = F.nullif(F.coalesce(F.col("open_deadline"), F.lit("")), F.lit("")) if how == "deadline" else None
     return {
         "score": lambda: [score, name], "deadline": lambda: [F.desc(F.col("is_recruiting")), F.asc_nulls_last(deadline), score, name], "recent": lambda: [F.desc(F.coalesce(F.col("latest_date"), F.lit(""))), score, name],
@@ -82,14 +87,14 @@ def competition_order(how: str) -> list[Column]:
     }[how]()
 
 
-def window_order(how: str) -> list[Column]:
+def window_order(how: str, locale: str | None = None) -> list[Column]:
     """Orders of competitions with a window: months, score, years."""
     score = F.desc(F.coalesce(F.col("score"), F.lit(0)))
-    return {"months": [F.col("window_start"), score, F.col("name")], "score": [score, F.col("name")], "years": [F.desc("years_observed"), F.col("name")]}[how]
+    return {"months": [F.col("window_start"), score, by_name(locale=locale)], "score": [score, by_name(locale=locale)], "years": [F.desc("years_observed"), by_name(locale=locale)]}[how]
 
 
-def cadence_order() -> list[Column]:
-    return [F.desc(F.coalesce(F.col("score"), F.lit(0))), F.desc("years_observed"), F.col("name")]
+def cadence_order(locale: str | None = None) -> list[Column]:
+    return [F.desc(F.coalesce(F.col("score"), F.lit(0))), F.desc("years_observed"), by_name(locale=locale)]
 
 
 def date_order(newest_first: bool = True, then: str = "title") -> list[Column]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewell.functions import dates, facts, text
-from tidewell.operators import assembly, crawl, diagnosis, editions, extraction, notices, views
+from tidewell.operators import assembly, crawl, diagnosis, editions, extraction, notices, ranking, views
 from tidewell.plans.catalogue import NOW, query, spread, table
 
 
@@ -21,8 +21,8 @@ def day() -> Column:
 
 
 def ranked(df: DataFrame, key: str, order: list, name: str = "place") -> DataFrame:
-    """key and its place in the order: a report over one row a customer, so one window over the ids is the feature."""
-    return df.select(key, F.row_number().over(Window.orderBy(*order, key)).cast("long").alias(name))
+    """key and its place in the order."""
+    return ranking.numbered(df, [key], [*order, F.col(key)], name)
 
 
 @query(
