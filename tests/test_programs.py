@@ -3,6 +3,8 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+from tidewell.operators import notices
+from tidewell.operators.results import Store
 from tidewell.plans import programs
 from tidewell.sources import documents
 
@@ -40,3 +42,52 @@ def test_weekly_program(spark):
     assert got == {"Robot": (3, "u4", True, 3, 3), "Math": (1, "u3", False, None, None), "None": (0, None, False, None, None)}
     assert "SUMMARY:Robot\\, 3-3" in programs.calendar_events(site, 2026).first().event
     assert [r.url for r in programs.search(found, "robot-contest").collect()] == ["u4", "u2", "u1"]
+
+
+def test_calendars(spark):
+    windows = spark.createDataFrame([("Robot", 3, 5), ("Math, applied", 1, 1), ("None", None, None)], "competition string, window_start int, window_end int")
+    master = spark.createDataFrame([("Robot", 12, 5), ("Math, applied", None, 2)], "name string, number int, score int")
+    got = {r.calendar: r.text for r in programs.calendars(windows, master, F.to_date(F.lit("2026-02-10")), F.lit("20260210T000000Z"), "-//x", "c").collect()}
+    assert set(got) == {"all", "core"} and got["all"].count("BEGIN:VEVENT") == 2 and got["core"].count("BEGIN:VEVENT") == 1
+    assert "UID:moe12\r\nDTSTART;VALUE=DATE:20260301\r\n" in got["core"] and "DTSTART;VALUE=DATE:20270101" in got["all"] and "SUMMARY:Math\\, applied 1月\r\n" in got["all"] and "SUMMARY:Robot 3月-5月" in got["core"]
+    assert all(len(line.encode()) <= 75 for t in got.values() for line in t.split("\r\n")) and got["all"].endswith("END:VCALENDAR\r\n")
+
+
+def test_deadlines_still_there(spark):
+    docs = spark.createDataFrame([("u", "报名截止：2026年3月20日。", "2026-01-01"), ("v", "报名截止：2026年4月1日。", "2026-01-01")], "url string, body string, date string")
+    events = notices.events(docs, "url", "body", "date")
+    changed = docs.withColumn("body", F.when(F.col("url") == "v", "正文已改。").otherwise(F.col("body")))
+    assert {r.url: r.safe for r in programs.deadline_map(events, changed).collect()} == {"u": "2026-03-20"}
+
+
+def test_article_queue(spark):
+    found = spark.createDataFrame([("a", "A"), ("a", "A"), ("b", "B"), ("c", "C"), ("d", "D"), ("", "x"), (None, "y")], "url string, title string")
+    history = spark.createDataFrame([("a", 1, "success", ""), ("b", 1, "failed", "HTTP 503")] + [("c", i, "failed", "HTTP 503") for i in range(3)], "url string, at int, status string, error string")
+    got = {r.url: (r.state, r.attempts, r.error, r.wait) for r in programs.article_queue(found, history).collect()}
+    assert got == {"a": ("success", 1, None, None), "b": ("pending", 1, "HTTP 503", 1.0), "c": ("failed", 3, "HTTP 503", None), "d": ("pending", 0, None, 0.0)}
+
+
+def test_listing_run(spark):
+    page = '<ul><li><a href="/info/1/1.htm" title="关于机器人竞赛报名的通知">x</a><span class="date">2026-03-01</span></li></ul>'
+    pages = spark.createDataFrame([("s", "http://a.example/l.htm", page)], "source string, url string, html string")
+    sources = spark.createDataFrame([("s", "http://a.example/l.htm", "/info/", None, 1, [])], "source string, url string, pattern string, keywords string, max_pages int, seeds array<string>")
+    known = spark.createDataFrame([("http://a.example/info/1/1.htm", "old title", None, "s"), ("http://b.example/", "化学（竞赛）", "2025-01-01", "t")], "url string, title string, date string, source string")
+    names = spark.createDataFrame([("机器人竞赛", "Robot", 0), ("竞赛", "Any", 1), ("化学竞赛", "Chemistry", 2)], "name string, target string, rank int")
+    found, status = programs.listing_run(known, pages, sources, names)
+    assert {r.url[-6:]: (r.title, r.date, r.competition) for r in found.collect()} == {"/1.htm": ("关于机器人竞赛报名的通知", "2026-03-01", "Robot"), "ample/": ("化学（竞赛）", "2025-01-01", "Chemistry")}
+    assert status.first().state == "ok"
+
+
+def test_field_run(spark, tmp_path):
+    store = Store(spark, tmp_path.as_uri(), programs.FACTS)
+    kinds = "url string, title string, body string, status string"
+    rows = [("a", "第三届机器人竞赛报名通知", "联系人：王老师，电话029-88888888", "success"), ("b", "食堂通知", "吃饭", "success"), ("c", None, None, "pending")]
+    names = spark.createDataFrame([("机器人竞赛", "Robot", "A", 0)], "name string, target string, category string, rank int")
+    worked, found = programs.field_run(store, spark.createDataFrame(rows, kinds), "1", names, ("A",))
+    got = {r.url: (r.facts_state, r.state, r.eligible, {f.field: f.value for f in r.facts}) for r in found.collect()}
+    assert worked == 3 and got["a"] == ("fresh", "target", True, {"competitionNames": "第三届机器人竞赛", "editions": "第三届", "contacts.name": "王老师", "contacts.phones": "029-88888888"})
+    assert got["b"][:3] == ("fresh", "excluded", False) and got["c"] == ("fresh", "review", False, {})
+    again = [*rows[:1], ("b", "食堂通知", "第五届", "success"), rows[2]]
+    worked, found = programs.field_run(store, spark.createDataFrame(again, kinds), "1", names, ("A",))
+    assert worked == 1 and {r.url: [f.value for f in r.facts] for r in found.collect()}["b"] == ["第五届"]
+    assert programs.field_run(store, spark.createDataFrame(again, kinds), "1", names, ("A",))[0] == 0
