@@ -1,5 +1,6 @@
 import datetime
 import itertools
+import json
 import random
 
 import numpy as np
@@ -96,6 +97,15 @@ def test_sources_and_sinks(spark, tmp_path):
     assert (tmp_path / "d.js").read_text().startswith('window.SITE_DATA = {"t":[{"id":1')
     sinks.calendar_file(spark.createDataFrame([("BEGIN:VEVENT\r\nEND:VEVENT",)], "e string"), "e", at("c.ics"), "-//x//", "n")
     assert (tmp_path / "c.ics").read_bytes().endswith(b"END:VEVENT\r\nEND:VCALENDAR\r\n")
+    many = spark.range(20_000).select("id", F.lit("x|y").alias("name")).repartitionByRange(5, "id").sortWithinPartitions("id")
+    sinks.envelope(many, at("m.json"), "many")
+    whole = json.loads((tmp_path / "m.json").read_text())
+    assert whole["count"] == 20_000 and [i["id"] for i in whole["items"]] == list(range(20_000))
+    sinks.envelope(many.limit(0), at("none.json"), "none")
+    assert json.loads((tmp_path / "none.json").read_text()) == {"source": "none", "schema_version": 1, "count": 0, "items": []}
+    sinks.markdown(many, at("m.md"), "T")
+    assert (tmp_path / "m.md").read_text().splitlines()[4:6] == ["| 0 | x\\|y |", "| 1 | x\\|y |"] and len((tmp_path / "m.md").read_text().splitlines()) == 20_004
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == sorted(["e.json", "t.csv", "t.md", "d.js", "c.ics", "m.json", "none.json", "m.md"])
     (tmp_path / "u.txt").write_text("# urls\n\nhttps://example.edu/a\nhttps://example.edu/b\nhttps://example.edu/a\n")
     assert [r.url[-1] for r in readers.url_list(spark, at("u.txt")).collect()] == ["a", "b"]
     (tmp_path / "x.pdf").write_bytes(b"%PDF-1.4")
