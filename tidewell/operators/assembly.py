@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewell.functions import dates, text
-from tidewell.operators import merging
+from tidewell.operators import dictionary, merging
 
 
 def body_columns(bodies: DataFrame, links: int = 4) -> DataFrame:
@@ -145,12 +145,13 @@ def merge_links(parts: list[DataFrame], renames: dict[str, str], overrides: Data
 
 def source_coverage(competitions: DataFrame, rules: DataFrame, status: DataFrame) -> DataFrame:
     """competition, sources (array of key, last_run): the sources of all rules (rank, keyword, exact, keys) whose keyword
-    the name holds (or is, where exact), each once, in the order of the rules, with the last run of each source. The
-    rules are a curated list, joined by broadcast after its size was checked."""
-    if rules.limit(10_001).count() > 10_000:
-        raise ValueError("more than 10000 rules: this is meant for a curated list")
-    hit = F.when(F.col("exact"), F.col("competition") == F.col("keyword")).otherwise(F.contains("competition", "keyword"))
-    found = competitions.select("competition").join(F.broadcast(rules), hit).select("competition", "rank", F.posexplode("keys").alias("pos", "key"))
+    the name holds (or is, where exact), each once, in the order of the rules, with the last run of each source. An empty
+    keyword matches nothing."""
+    names = competitions.select("competition").filter("competition is not null").distinct()
+    same = names.join(rules.filter("exact"), F.col("competition") == F.col("keyword")).select("competition", "rank", "keys")
+    within = dictionary.occurrences(names, "competition", "competition", rules.filter("not exact"), "keyword")
+    held = within.join(rules.filter("not exact"), F.col("name") == F.col("keyword")).select(F.col("key").alias("competition"), "rank", "keys")
+    found = same.unionByName(held).select("competition", "rank", F.posexplode("keys").alias("pos", "key"))
     first = found.groupBy("competition", "key").agg(F.min(F.struct("rank", "pos")).alias("at"))
     joined = first.join(status.select("key", "last_run"), "key", "left")
     return joined.groupBy("competition").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "key", "last_run"))), lambda x: F.struct(x["key"].alias("key"), x["last_run"].alias("last_run"))).alias("sources"))
