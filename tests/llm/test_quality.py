@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.llm.quality import COMMON_WORDS, assess, beyond, code_of, js_distance, share
+from tidewell.llm.quality import COMMON_WORDS, OF_REFERENCE, assess, beyond, code_of, js_distance, share
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -71,3 +71,14 @@ def test_distance():
     assert js_distance(a, b) == pytest.approx(math.sqrt(divergence))
     assert not beyond(None, (0.0, 0.0), 1) and beyond(0.5, (0.3, 1.0), 100)
     assert [code_of(x) for x in ("EN_us", " fr ", None, "english", "x1")] == ["en", "fr", "und", "und", "und"]
+
+
+def test_small_languages_are_judged_too(spark):
+    """No number of documents switches the verdict off: what a reference allows for falls with its size, step by step."""
+    limits = [(0.3**2 + OF_REFERENCE / n) ** 0.5 for n in (1, 2, 10, 29, 30, 31, 1000)]
+    assert all(beyond(x + 1e-9, (0.3, 0.0), 1, n) and not beyond(x - 1e-9, (0.3, 0.0), 1, n) for x, n in zip(limits, (1, 2, 10, 29, 30, 31, 1000)))
+    rng = random.Random(3)
+    clean = [(i, " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(400)), "pl") for i in range(20)]
+    junk = [(99, " ".join("".join(rng.choices("#$%&|<>*", k=7)) for _ in range(400)), "pl")]
+    kept = {r.doc_id: r.quality.kept for r in assess(spark.createDataFrame(clean + junk, "doc_id int, text string, lang string")).collect()}
+    assert not kept.pop(99) and all(kept.values())

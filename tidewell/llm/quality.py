@@ -2,7 +2,8 @@
 
 The reference of a language is the mean of its documents' histograms, over all documents. A document is judged by the
 Jensen-Shannon distance (base 2, so 0 to 1) of its own two histograms to that reference, each only from a minimum
-length on, and only where the language has enough documents for a reference.
+length on. A mean of few documents strays by chance as well, by a divergence that falls with their number, and so much
+more is allowed for, at every number alike.
 """
 
 from __future__ import annotations
@@ -34,10 +35,12 @@ CLASSES = {
     "symbol": b"#*$%&|<>",
     "other": b"/\\@+=_~^`[]{}",
 }
-MIN_LETTERS, MIN_WORDS, MIN_DOCUMENTS = 500, 100, 30
+MIN_LETTERS, MIN_WORDS = 500, 100
 #: A distance may be so large, and by what is divided by the root of the number of characters or words more: short
 #: texts stray from their language by chance.
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = (0.18, 1.5), (0.24, 0.8)
+#: The divergence (squared distance) that a reference of one document allows for besides; divided by their number.
+OF_REFERENCE = 0.5
 N_CLASSES = len(CLASSES) + 2
 LANGUAGE = re.compile(r"[a-z]{2,3}")
 
@@ -115,8 +118,9 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
     return float(np.sqrt(max(0.0, (against(p) + against(q)) / 2)))
 
 
-def beyond(distance: float | None, limit: tuple[float, float], n: int) -> bool:
-    return distance is not None and distance > limit[0] + limit[1] / n**0.5
+def beyond(distance: float | None, limit: tuple[float, float], n: int, documents: float = float("inf")) -> bool:
+    """Whether the distance of a text of n characters or words to a reference of so many documents is too large."""
+    return distance is not None and distance**2 > (limit[0] + limit[1] / n**0.5) ** 2 + OF_REFERENCE / documents
 
 
 def references(docs: DataFrame) -> dict[str, tuple[int, np.ndarray, np.ndarray | None]]:
@@ -176,12 +180,12 @@ def assess(docs: DataFrame, max_class_distance: tuple[float, float] = MAX_CLASS_
                 failed = n < 50 or 100 * repeated > 50 * n
                 far = near = None
                 documents, by_class, by_word = known.value.get(code, (0, None, None))
-                if documents >= MIN_DOCUMENTS:
+                if documents:
                     if classes.sum() >= MIN_LETTERS:
                         far = js_distance(share(classes), by_class)
                     if by_word is not None and n >= MIN_WORDS:
                         near = js_distance(share(made.of_words(text, code)), by_word)
-                kept = not failed and not beyond(far, max_class_distance, int(classes.sum())) and not beyond(near, max_word_distance, n)
+                kept = not failed and not beyond(far, max_class_distance, int(classes.sum()), documents) and not beyond(near, max_word_distance, n, documents)
                 rows.append((n, int(classes.sum() - classes[3]), int(classes[5]), len(lines) - len(set(lines)), repeated, far, near, failed, kept))
             kinds = [pa.int64()] * 5 + [pa.float64()] * 2 + [pa.bool_()] * 2
             fields = "n_words word_chars n_symbols n_dup_lines n_repeat_words class_distance word_distance base_failed kept".split()
