@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 #: Punctuation, brackets and spaces that names are compared without.
 NAME_NOISE = r"""[\s()\[\]{}<>"'`“”‘’《》（）【】·、,，.。:：;；!！?？—–_/\\-]"""
 #: Pattern of e-mail addresses and of phone numbers.
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-PHONE = r"[0-9]{3,4}-[0-9]{7,8}|1[3-9][0-9]{9}"
+EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
+PHONE = r"(?<!\d)(?:\+?86[- ]?)?1\d{10}(?!\d)|(?<!\d)0\d{2,3}[- ]?\d{7,8}(?!\d)"
+SHORT_PHONE = r"(?:电话|联系方式|老师)[：: \t]*(?:联系方式[：: \t]*)?([1-9]\d{6,7})(?!\d)"
 HALF = "".join(chr(c) for c in range(0x21, 0x7F))
 FULL = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F))
 
@@ -89,7 +90,8 @@ def emails(c: Column) -> Column:
 
 
 def phones(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(PHONE), 0)
+    """Mobile numbers and those with an area code, then labelled short ones, each once."""
+    return F.array_union(F.regexp_extract_all(c, F.lit(PHONE), 0), F.regexp_extract_all(c, F.lit(SHORT_PHONE), 1))
 
 
 def clean_tags(c: Column) -> Column:

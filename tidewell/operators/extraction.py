@@ -37,9 +37,6 @@ BEFORE_PHONE = r"(?:^|[，,；; \t])((?!电话|手机|联系)[一-鿿]{2,4})(?=[
 JOINT = r"(?:联系人|联络人)[：: \t]*([一-鿿]{2,6})[、和及与]([一-鿿]{2,6})(?=[，,：: \t]|$)"
 NO_NAMES = ["联系方式", "邮箱", "电话", "报名", "竞赛"]
 CONTACT_LINE = r"(?i)^(?:联系)?(?:电话|手机|邮箱|电子邮箱|E-mail|Email|QQ)[：: \t]"
-PHONE = r"(?<!\d)(?:\+?86[- ]?)?1\d{10}(?!\d)|(?<!\d)0\d{2,3}[- ]?\d{7,8}(?!\d)"
-SHORT_PHONE = r"(?:电话|联系方式|老师)[：: \t]*(?:联系方式[：: \t]*)?([1-9]\d{6,7})(?!\d)"
-EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
 GROUP = r"(?i)QQ\s*(?:交流|联络|咨询|报名|竞赛)?群|(?:交流|联络|竞赛)QQ群|群号"
 URL = r"(https?://[^\s，。；;）)<>]+|www\.[a-zA-Z0-9.-]+(?:/[^\s，。；;）)<>]*)?)"
 ENTRY_LINK = r"(?i)报名|登记|注册|填.*信息|form|signup|register|enroll"
@@ -47,14 +44,6 @@ GROUP_IMAGE = r"(?i)(?:交流|联络|竞赛|QQ|微信).*群|群.*二维码"
 COLUMNS = ("url", "field", "item", "value", "raw", "type", "at", "start", "end", "method", "flags", "verification", "track")
 
 
-def phones(c: Column) -> Column:
-    return F.array_union(F.regexp_extract_all(c, F.lit(PHONE), 0), F.regexp_extract_all(c, F.lit(SHORT_PHONE), 1))
-
-
-def emails(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(EMAIL), 0)
-
-
 def no_flags() -> Column:
     return F.array().cast("array<string>")
 
@@ -88,7 +77,7 @@ def sentences(docs: DataFrame) -> DataFrame:
     section = lambda pattern: F.coalesce(carried(F.when(heading, raw.rlike(pattern))), F.lit(False))
     change = F.when(header, F.struct(text.track_id(F.regexp_extract(raw, TRACK_HEADER, 1)).alias("t"))).when(common, F.struct(F.lit(None).cast("string").alias("t"))).when(heading, F.struct(F.col("own_track").alias("t")))
     groups = F.when(raw.rlike(r"(?i)QQ群") & ~raw.rlike(r"\d{5,}"), True).when(heading | (raw.rlike(r"^[【\[].+[】\]]$") & ~raw.rlike(r"(?i)QQ群")), False)
-    contact = raw.rlike(r"群|电话|邮箱|联系人|联络人|负责人|老师") | raw.rlike(CONTACT_LINE) | (F.size(phones(raw)) > 0) | (F.size(emails(raw)) > 0)
+    contact = raw.rlike(r"群|电话|邮箱|联系人|联络人|负责人|老师") | raw.rlike(CONTACT_LINE) | (F.size(text.phones(raw)) > 0) | (F.size(text.emails(raw)) > 0)
     active = carried(change)
     return made.select(
         "url", "no", "raw", "start", "end", heading.alias("heading"), F.when(active.isNull(), F.col("own_track")).otherwise(active["t"]).alias("track"), section(SECTIONS["audiences"]).alias("in_audiences"), section(SECTIONS["registrationMethods"]).alias("in_methods"),
@@ -142,7 +131,7 @@ def with_people(said: DataFrame) -> DataFrame:
     """said with joint (two names that share what follows), people (array of item, name, part: what stands between a name
     and the next), person (the last of them) and to (the person named last in the same run of sentences, or nobody)."""
     raw = F.col("raw")
-    loose = (F.size(phones(raw)) > 0) | (F.size(emails(raw)) > 0) | raw.rlike(r"^[一-鿿]{1,4}老师$")
+    loose = (F.size(text.phones(raw)) > 0) | (F.size(text.emails(raw)) > 0) | raw.rlike(r"^[一-鿿]{1,4}老师$")
     marked = said.withColumn("joint", raw.rlike(JOINT))
     named = marked.withColumn("some__", facts.spans(F.when(~F.col("joint"), raw), NAMED, r"\Z")).withColumn("more__", facts.spans(F.when(~F.col("joint") & loose, raw), f"{TEACHER}|{BEFORE_PHONE}", r"\Z"))
     apart = F.filter("more__", lambda m: ~F.exists("some__", lambda s: (m["start"] < s["start"] + F.length(s["raw"])) & (s["start"] < m["start"] + F.length(m["raw"]))))
@@ -161,7 +150,7 @@ def with_people(said: DataFrame) -> DataFrame:
 
 
 def contact_entries() -> list[Entry]:
-    raw, joint, kinds = F.col("raw"), F.col("joint"), (("phones", phones), ("emails", emails))
+    raw, joint, kinds = F.col("raw"), F.col("joint"), (("phones", text.phones), ("emails", text.emails))
     shared, unsure = F.concat_ws(":", "url", "no", F.lit("shared")), F.array(F.lit("relationship_ambiguous"))
     out = [entry("contacts.name", F.array(F.regexp_extract(raw, JOINT, 1), F.regexp_extract(raw, JOINT, 2)), lambda v: F.concat_ws(":", "url", "no", v), when=joint)]
     out += [entry(f"contacts.{kind}", values(raw), shared, unsure, when=joint) for kind, values in kinds]
