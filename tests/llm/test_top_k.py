@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from tidewell.llm.top_k import search
+from tidewell.llm.top_k import ImpactIndex, search
 
 
 def brute(rows, queries, k):
@@ -55,3 +55,23 @@ def test_repeated_queries(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = sorted(tuple(r) for r in search(df, df.filter("vec_id % 20 = 0"), 20, 30, 4).collect())
     assert got == brute(rows, [r for r in rows if r[0] % 20 == 0], 20) and len(got) == 40
+
+
+def test_groups_same_as_one_by_one():
+    """With floors from other blocks, own rows, ties, zero queries, and queries too large for the group's sums."""
+    rng = np.random.default_rng(5)
+    for top, n in ((40, 300), (1 << 12, 300), (1 << 24, 120), (3, 40)):
+        x = rng.integers(-top, top, (n, 9))
+        x[n // 2 :: 7], x[3] = x[1], 0
+        ids = rng.permutation(n) // 2
+        index = ImpactIndex(ids, x)
+        queries = np.concatenate([x[:: 5], np.zeros((1, 9), np.int64), x[:1] * (1 << 20)])
+        owns = np.append(ids[::5], [10**6, ids[0]])
+        for k in (1, 5, 400):
+            least = [None if i % 2 else int(v) for i, v in enumerate(rng.integers(-top * top, top * top, len(queries)))]
+            got = index.search_all(queries, owns, k, least)
+            for q, own, floor, (found, scores) in zip(queries, owns, least, got):
+                a, b = index.search(q, int(own), k, floor)
+                keep = slice(None) if floor is None else b >= floor
+                mine = slice(None) if floor is None else scores >= floor
+                assert found[mine].tolist() == a[keep].tolist() and scores[mine].tolist() == b[keep].tolist()

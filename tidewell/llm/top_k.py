@@ -5,7 +5,10 @@ of bits that absolute values have there, with the candidates and values in it. A
 quantised impact, its own component times the segment's largest value; what a candidate may still gain or lose is at
 most the sum over dimensions of the largest impact that is left there. The query stops as soon as few candidates may
 still be among its k best, or have a score that another block already gives k times; these alone are scored exactly.
-Sums are integers of 64 bits; where they might not hold a partial sum, all candidates are scored with Python's integers.
+A group of queries goes through a block together, level by level of quantised impact: the segments that are due at a level
+for any of them are laid out as rows, and one product adds each query's share. Queries that are done leave the group.
+Partial sums are integers that a double holds; where one might not, that query goes segment by segment in integers of 64
+bits, or in Python's integers, by itself.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from tidewell.llm.common import staged, table
 K, BLOCK, GROUP = 20, 8192, 1024
 #: Partial sums stay below this; what lies lower than any sum stands for the query's own rows.
 MOST, NONE = 1 << 61, -(1 << 62)
+#: Partial sums of groups stay below this; segments that are laid out at a time.
+EXACT, LAID_OUT = 1 << 52, 128
 
 
 class ImpactIndex:
@@ -75,6 +80,71 @@ class ImpactIndex:
                 return self.best(query, possible, own, k)
         return self.best(query, np.arange(n), own, k)
 
+    def laid_out(self, segments: np.ndarray, kind: type) -> np.ndarray:
+        """The segments' values by candidate, a row each."""
+        rows = np.zeros((len(segments), len(self.ids)), kind)
+        sizes = self.stop[segments] - self.start[segments]
+        at = np.repeat(self.start[segments] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        rows[np.repeat(np.arange(len(segments)), sizes), self.member[at]] = self.value[at]
+        return rows
+
+    def search_all(self, queries: np.ndarray, owns: np.ndarray, k: int, least: list[int | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """What search gives, for each of the queries (rows)."""
+        n, few = len(self.ids), max(4 * k, len(self.ids) // 50)
+        found: list = [None] * len(queries)
+        weight = np.abs(queries)
+        most = weight.astype(np.float64) @ np.abs(self.exact).max(axis=0, initial=0).astype(np.float64)
+        small = most < EXACT
+        kind = np.float32 if most[small].max(initial=0) < 1 << 23 else np.float64  # either holds every partial sum
+        for i in np.flatnonzero(~small).tolist():
+            found[i] = self.search(queries[i], int(owns[i]), k, least[i])
+        rows = np.flatnonzero(small)
+        impact = weight[rows][:, self.dimension] * self.top
+        level = np.where(impact > 0, np.frexp(impact.astype(np.float64))[1], -1)
+        gone = weight[rows][:, self.dimension] * self.drop
+        left = gone.sum(axis=1)
+        floor = np.array([NONE if least[i] is None else least[i] for i in rows.tolist()], np.float64)
+        sums = np.zeros((len(rows), n), kind)
+        for r, i in enumerate(rows.tolist()):
+            sums[r, np.searchsorted(self.ids, owns[i]) : np.searchsorted(self.ids, owns[i], side="right")] = -np.inf
+
+        def done(limit: np.ndarray, which: np.ndarray) -> None:
+            for r in which.tolist():
+                members = np.flatnonzero((sums[r] >= limit[r]) & (sums[r] > -np.inf))
+                found[rows[r]] = self.best(queries[rows[r]], members, int(owns[rows[r]]), k)
+                active[r] = False
+            nonlocal group
+            group = np.flatnonzero(active)
+
+        active, group = np.ones(len(rows), bool), np.arange(len(rows))
+        kth = lambda: np.partition(sums[group], n - k, axis=1)[:, n - k].astype(np.float64) if n > k else np.full(len(group), -np.inf)
+        limit = np.empty(len(rows))
+        for now in np.unique(level)[::-1].tolist():
+            if now < 0 or not len(group):
+                break
+            due = level[group] == now
+            segments = np.flatnonzero(due.any(axis=0))
+            if not len(segments):
+                continue
+            mine = slice(None) if len(group) == len(rows) else group
+            more = None
+            for j in range(0, len(segments), LAID_OUT):
+                part = segments[j : j + LAID_OUT]
+                share = np.where(due[:, part], queries[rows[group]][:, self.dimension[part]], 0).astype(kind) @ self.laid_out(part, kind)
+                more = share if more is None else np.add(more, share, out=more)
+            sums[mine] += more
+            left[group] -= (gone[group] * due).sum(axis=1)
+            # While most of it is left, no query can be done.
+            if (left[group] > gone[group].sum(axis=1) / 2).all():
+                continue
+            limit[group] = np.maximum(kth() - 2 * left[group], floor[group] - left[group])
+            count = (sums[group] >= limit[group][:, None]).sum(axis=1)
+            done(limit, group[count <= few])
+        if len(group):
+            limit[group] = np.maximum(kth(), floor[group])
+            done(limit, group)
+        return found
+
     def best(self, query: np.ndarray, members: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         members = members[self.ids[members] != own]
         scores = (self.exact[members].astype(query.dtype) @ query) if len(members) else np.empty(0, np.int64)
@@ -117,8 +187,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOC
                 width = max(int(pc.max(s.field("embedding").value_lengths()).as_py() or 0) for s in (rows, wanted))
                 index = ImpactIndex(*matrix(rows.field("vec_id"), rows.field("embedding"), width))
                 out: list[list[np.ndarray]] = [[], [], []]
-                for own, query, least in zip(*matrix(wanted.field("vec_id"), wanted.field("embedding"), width), wanted.field("least").to_pylist(), strict=True):
-                    found, scores = index.search(query, int(own), k, least)
+                owns, asking = matrix(wanted.field("vec_id"), wanted.field("embedding"), width)
+                for own, (found, scores) in zip(owns, index.search_all(asking, owns, k, wanted.field("least").to_pylist()), strict=True):
                     for into, x in zip(out, (np.full(len(found), own), found, scores), strict=True):
                         into.append(x)
                 if out[0]:
