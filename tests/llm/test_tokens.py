@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -6,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewell.llm.bpe import round_trip
+from tidewell.llm.bpe import codec, round_trip
 from tidewell.llm.chunk_store import read_store, write_store
 from tidewell.llm.packing import pack
+from tidewell.llm.tokens import Pieces, encoder
 
 TEXTS = [
     "", None, "a", "  lead and trail  ", "a  b\n\n c", "one line.\nTwo, (three)! don't we'll 'S", "foo <|endoftext|> bar<|endoftext|>", "no break x y", "x\x1cy \x1f z", "\t\tz \r\n",
@@ -106,3 +108,35 @@ def test_store_notices_lost_recipes(spark, tmp_path, lost):
     (tmp_path / "store/damaged").rename(tmp_path / "store/recipes")
     with pytest.raises(Exception, match="manifest"):
         read_store(spark, path).collect()
+
+
+def test_unlike_pieces_are_learnt_once():
+    calls = []
+
+    def learn(pieces):
+        calls.append(pieces)
+        return [b"<" + p + b">" for p in pieces]
+
+    texts = [b"head%d and and, and 7 %d\nand" % (k % 40, k % 5) for k in range(200)] + [b"", b" lead", b"\n", b"trail "]
+    want = [b"<head%d>< and>< and><,>< and>< 7>< %d><\nand>" % (k % 40, k % 5) for k in range(200)] + [b"", b"< lead>", b"<\n>", b"<trail>< >"]
+    pieces = Pieces(learn, None, 1000)
+    assert pieces.encode(texts) == want
+    assert len(calls) <= 2
+    learnt = [p for found in calls for p in found]
+    assert len(learnt) == len(set(learnt))
+    assert pieces.encode(texts[::-1]) == want[::-1]
+    assert sum(map(len, calls)) == len(learnt)
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_odd_pieces_in_one_call(name):
+    chosen = random.Random(4)
+    parts = ["a", "Zo", "the", "É", "ÿ", "×", "÷", "ß", "ł", "中", "🙂", "'s", "'", ",", ".", "%#", "7", "_", " ", " ", " ", "\n", "  ", "\t", "\u00a0", "\0"]
+    texts = ["".join(chosen.choices(parts, k=chosen.randrange(12))) for _ in range(3000)]
+    found = encoder(public_tokenizers.path(name)).encode([t.encode() for t in texts])
+    whole = Tokenizer.from_file(public_tokenizers.path(name))
+    want = [x.ids for x in whole.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == want
+    if name.startswith("byte"):
+        made = codec(public_tokenizers.path(name)).encode([t.encode() for t in texts])
+        assert [np.frombuffer(x, "<u4").tolist() for x in made] == want

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import U64, columns, discard, mix64, scratch, slices, staged, table, texts_of
+from tidewell.llm.common import SLICE_BYTES, U64, columns, discard, mix64, scratch, slices, staged, table, texts_of
 from tidewell.llm.tokens import encoder
 
 END_ID = 2
@@ -103,7 +103,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
         encode_all = encoder(file).encode
         width = 2 if max(encoder(file).size, end_id + 1) <= 65536 else 4  # by vocabulary, so that equal ids are equal bytes
         met: set[bytes] = set()
-        for batch in slices(batches):
+        for batch in slices(batches, limit=4 * SLICE_BYTES):  # the more at once, the more often a word meets its like
             rows, sizes, recipes, roots, names, contents = [], [], [], [], [], []
             raws = [raw + end for raw in encode_all(texts_of(batch))]
             ids = np.frombuffer(b"".join(raws), "<u4")

@@ -14,15 +14,16 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 #: The ASCII separators that only some call space; lead bytes of white space outside ASCII, and how such begins.
 ODD_ASCII = (b"\x1c", b"\x1d", b"\x1e", b"\x1f")
 ODD_LEAD = (b"\xc2", b"\xe1", b"\xe2", b"\xe3", b"\xef")
 ODD_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe1\xa0", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80", b"\xef\xbb")
-#: Fixed value: ASCII letters and the letters from U+00C0 to U+00FF, in UTF-8.
-LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 PIECE = re.compile(rb"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: By byte: ASCII letters; the second bytes of the letters from U+00C0 to U+00FF, which 0xC3 begins; ASCII punctuation.
+LETTER, LETTER_END, MARK = (np.isin(np.arange(256), list(x)) for x in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", bytes({*range(0x80, 0xC0)} - {0x97, 0xB7}), PUNCTUATION))
 RARE = (b"\t", b"\r", b"\x0b", b"\x0c")
 RUNS = (b"  ", b" \n", b"\n ", b"\n\n")
 
@@ -42,70 +43,99 @@ def load(path: str):
     return found
 
 
+def strings(data: np.ndarray, offsets: np.ndarray) -> pa.LargeBinaryArray:
+    """The data cut at the offsets (0 first, its length last), without a copy."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def views(found: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of strings."""
+    _, offsets, data = found.buffers()
+    return np.frombuffer(data or b"", np.uint8), np.frombuffer(offsets, np.int64)[found.offset : found.offset + len(found) + 1]
+
+
+def kinds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each string (of valid UTF-8, none empty), the bytes of Latin letters behind its first byte if it is a space,
+    Latin letters and then nothing but ASCII punctuation, or else 0; and its bytes of punctuation, which then are all
+    behind the letters."""
+    letter, mark = LETTER[data], MARK[data]
+    two = (data[:-1] == 0xC3) & LETTER_END[data[1:]]
+    letter[:-1] |= two
+    letter[1:] |= two
+    back = np.zeros(len(data), bool)
+    back[1:] = mark[:-1] & letter[1:]
+    n_letters, n_marks, n_back = (np.add.reduceat(x, offsets[:-1], dtype=np.int64) for x in (letter, mark, back))
+    fit = (data[offsets[:-1]] == 32) & (n_back == 0) & (n_letters + n_marks + 1 == np.diff(offsets))
+    return np.where(fit, n_letters, 0), n_marks
+
+
 class Pieces:
     """Joins what `learn` makes of a text's pieces: learn(pieces) -> bytes of each. `bound`: pieces remembered at most.
 
     `words` does the same for pieces that are a space and Latin letters; there are many of them, so it may be faster.
+    Each unlike piece of a call is looked up once, however often it occurs.
     """
 
     def __init__(self, learn: Callable[[list[bytes]], list[bytes]], words: Callable[[list[bytes]], list[bytes]] | None, bound: int):
         self.learn, self.words, self.bound = learn, words or (lambda found: learn([b" " + w for w in found])), bound
-        self.spaced: dict[bytes, bytes] = {}  # by what follows a space, or else begins with a line feed
-        self.tails: dict[bytes, bytes] = {}
-        self.heads: dict[bytes, bytes] = {b"": b""}  # a text's first piece, without a space before it
-
-    def _spaced(self, parts: set[bytes]) -> None:
-        """Letters and the ASCII punctuation after them never share a token, so each is learnt by itself."""
-        spaced, tails, cut, other = self.spaced, self.tails, [], []
-        for part in parts:
-            stem = part.rstrip(PUNCTUATION)
-            if LATIN.fullmatch(stem):
-                cut.append((part, stem, part[len(stem) :]))
-            else:
-                other.append(part)
-        stems = [*{stem for _, stem, _ in cut}.difference(spaced)]
-        spaced.update(zip(stems, self.words(stems), strict=True))
-        new = [*{tail for _, _, tail in cut if tail}.difference(tails)]
-        tails.update(zip(new, self.learn(new), strict=True))
-        spaced.update([(part, spaced[stem] + tails[tail]) for part, stem, tail in cut if tail])
-        spaced.update(zip(other, self.learn([p if p[:1] == b"\n" else b" " + p for p in other]), strict=True))
+        self.known: dict[bytes, bytes] = {}
+
+    def _whole(self, units: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """Of unlike pieces that aren't cut further."""
+        known, names = self.known, units.to_numpy(zero_copy_only=False).tolist()
+        made = [*map(known.get, names)]
+        new = np.array([x is None for x in made])
+        if new.any():
+            n_letters, n_marks = kinds(*views(units))
+            latin = (n_letters > 0) & (n_marks == 0)
+            for rows, learn in ((new & latin, lambda found: self.words([w[1:] for w in found])), (new & ~latin, self.learn)):
+                at = np.flatnonzero(rows).tolist()
+                found = [names[i] for i in at]
+                for i, name, x in zip(at, found, learn(found), strict=True):
+                    made[i] = known[name] = x
+        return pa.array(made, pa.large_binary())
+
+    def _cut(self, pieces: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """Of unlike pieces. Letters and the ASCII punctuation after them never share a token, so each is learnt by itself."""
+        data, offsets = views(pieces)
+        n_letters, n_marks = kinds(data, offsets)
+        halves = 1 + ((n_letters > 0) & (n_marks > 0))
+        first = np.concatenate([[0], np.cumsum(halves)])
+        edges = np.repeat(offsets, np.append(halves, 1))
+        edges[first[1:][halves == 2] - 1] += 1 + n_letters[halves == 2]
+        return through(data, edges, first, self._whole)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.spaced) + len(self.tails) > self.bound:
-            self.spaced.clear()
-            self.tails.clear()
-        if len(self.heads) > self.bound // 10:
-            self.heads = {b"": b""}
-        get = self.spaced.get
-        out: list[list[bytes | None]] = []
-        gaps: list[tuple[list[bytes | None], list[int], list[bytes]]] = []
-        for text in texts:
-            if not text:
-                out.append([])
-            elif odd(text):
-                out.append(self.learn([text]))
+        if len(self.known) > self.bound:
+            self.known.clear()
+        out, plain = [b""] * len(texts), []
+        for row, text in enumerate(texts):
+            if odd(text):
+                out[row] = self.learn([text])[0]
             elif any(x in text for x in RARE) or any(x in text for x in RUNS):
                 found = PIECE.findall(text)
                 unlike = [*dict.fromkeys(found)]
-                out.append([*map(dict(zip(unlike, self.learn(unlike), strict=True)).__getitem__, found)])
-            else:
-                parts = text.replace(b"\n", b" \n").split(b" ")
-                made = [*map(get, parts)]
-                head = self.heads.get(parts[0])
-                if head is None:
-                    head = self.heads[parts[0]] = self.learn(parts[:1])[0]
-                made[0] = head
-                if None in made:
-                    at = [i for i, x in enumerate(made) if x is None]
-                    gaps.append((made, at, [parts[i] for i in at]))
-                out.append(made)
-        if gaps:
-            self._spaced(set().union(*(parts for _, _, parts in gaps)))
-            known = self.spaced
-            for made, at, parts in gaps:
-                for i, part in zip(at, parts, strict=True):
-                    made[i] = known[part]
-        return [b"".join(made) for made in out]
+                out[row] = b"".join(map(dict(zip(unlike, self.learn(unlike), strict=True)).__getitem__, found))
+            elif text:
+                plain.append(row)
+        if plain:
+            data = np.frombuffer(b"".join([texts[row] for row in plain]), np.uint8)
+            starts = np.cumsum([0] + [len(texts[row]) for row in plain])
+            edge = (data == 32) | (data == 10)
+            edge[starts[:-1]] = True
+            edges = np.append(np.flatnonzero(edge), len(data))
+            made = through(data, edges, np.searchsorted(edges, starts), self._cut)
+            for row, x in zip(plain, made.to_pylist(), strict=True):
+                out[row] = x
+        return out
+
+
+def through(data: np.ndarray, edges: np.ndarray, first: np.ndarray, make: Callable[[pa.LargeBinaryArray], pa.LargeBinaryArray]) -> pa.LargeBinaryArray:
+    """The data cut at the edges, what `make` makes of each unlike string, joined from each edge of the numbers `first`
+    to the next."""
+    coded = strings(data, edges).dictionary_encode()
+    made, ends = views(make(coded.dictionary).take(coded.indices))
+    return strings(made, ends[first])
 
 
 def ranked(model: dict) -> Callable[[list[bytes]], list[bytes]]:
