@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -92,3 +93,28 @@ def test_lines_and_folds(spark):
         parts = layout.fold(line).split("\r\n ")
         assert "".join(parts) == line and all(len(p.encode()) + (i > 0) <= 75 for i, p in enumerate(parts))
         assert all(len((p + q[0]).encode()) + (i > 0) > 75 for i, (p, q) in enumerate(zip(parts, parts[1:])))
+
+
+def test_long_rows():
+    """As all cuts tell for short rows of any order; a page of 960 rows took 73 s."""
+    rng = np.random.default_rng(5)
+    for turn in range(300):
+        k = int(rng.integers(1, 5))
+        values, centres = rng.integers(0, 20, int(rng.integers(k + 1, 9))).astype(float), rng.integers(0, 20, k).astype(float)
+        if turn % 3:
+            values, centres = np.sort(values)[:: 3 - 2 * (turn % 3)], np.sort(centres)[:: 3 - 2 * (turn % 3)]
+        assert layout.long_partition(values, centres).tolist() == layout.monotone_partition(values[None], centres)[0].tolist()
+    at = -60.0 * np.arange(1000)
+    began = time.time()
+    assert (layout.monotone_partition(np.sort(np.concatenate([at + 5, at - 5]))[None, ::-1], at + 0.5)[0] == np.arange(2000) // 2).all()
+    assert time.time() - began < 10
+
+
+def test_long_page(spark):
+    """What stands in a row isn't looked for among all lines of the page."""
+    frags = [("a", 1, -60.0 * i + dy, x, t) for i in range(1500) for dy, x, t in ((0.7, 12.0, str(i)), (5.0, 120.0, "n"), (-5.0, 120.0, str(i)), (0.0, 220.0, "国家级"), (0.0, 320.0, f"o{i}"))]
+    df = spark.createDataFrame(frags, "doc string, page int, y double, x double, text string")
+    began = time.time()
+    got = sorted((r.row, r.no, r.name, r.owner) for r in tables.assemble(df, SHAPE).collect())
+    assert got == [(i + 1, str(i), f"n{i}", f"o{i}") for i in range(1500)]
+    assert time.time() - began < 60

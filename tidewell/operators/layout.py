@@ -12,15 +12,22 @@ from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 
+#: Rows of more values are partitioned one by one; ends of their groups are looked for so many at a time, and so many of
+#: them are followed to find a bound.
+LONG, FEW = 64, 16
+
+
 def monotone_partition(values: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Groups (rows x n) of the ordered values (rows x n): contiguous runs, in order and none empty, one for each of k
     centres, with the least sum over the groups of the distance of a group's mean to its centre; of equals the one
     whose later groups begin earlier. Rows with fewer values than centres take one group each, in order."""
     rows, n = values.shape
     k = centres.shape[-1]
-    if n < k or not k:
+    if n <= k or not k:
         return np.broadcast_to(np.arange(n), (rows, n)).astype(np.int64)
     centres = np.broadcast_to(centres, (rows, k))
+    if n > LONG and np.isfinite(values).all() and np.isfinite(centres).all():
+        return np.stack([long_partition(v, c) for v, c in zip(values, centres, strict=True)])
     total = np.concatenate([np.zeros((rows, 1)), np.cumsum(values, axis=1)], axis=1)
     best = np.full((rows, n + 1), np.inf)
     best[:, 0] = 0.0
@@ -44,6 +51,57 @@ def monotone_partition(values: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return out
 
 
+def long_partition(values: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """monotone_partition of one row of finite numbers, with fewer centres than values. A way that follows the best few
+    ends of each group gives a bound; as distances only add up, what already costs more is no part of the best way, and
+    of all else nothing is left out. Where values fall or rise, so do the means of groups that begin at one place, and
+    ends are looked for as far as these can come near the centre."""
+    n, k = len(values), len(centres)
+    total = np.concatenate([[0.0], np.cumsum(values)])
+    steps = np.diff(values)
+    sense = -1 if (steps <= 0).all() else 1 if (steps >= 0).all() else 0
+    error = 8 * n * np.finfo(float).eps * max(np.abs(values).sum(), np.abs(centres).max())  # more than means are off by
+    _, bound = ways(total, centres, np.inf, sense, error, FEW)
+    found, _ = ways(total, centres, bound, sense, error)
+    out, end = np.zeros(n, np.int64), n
+    for g in range(k - 1, -1, -1):
+        ends, begins = found[g]
+        begin = int(begins[np.searchsorted(ends, end)])
+        out[begin:end] = g
+        end = begin
+    return out
+
+
+def ways(total: np.ndarray, centres: np.ndarray, bound: float, sense: int, error: float, most: int | None = None) -> tuple[list[tuple[np.ndarray, np.ndarray]], float]:
+    """For each group the ends that are reached within the bound, and the best beginning for each; and what the best way to
+    the last value costs. most: only so many ends of a group, those of least cost, are followed."""
+    n, k = len(total) - 1, len(centres)
+    at, cost = np.array([0]), np.array([0.0])
+    found = []
+    for g in range(k):
+        first, last = (n, n) if g == k - 1 else (int(at[0]) + 1, n - (k - 1 - g))
+        ends, begins, costs = [], [], []
+        for low in range(first, last + 1, LONG):
+            i = np.arange(low, min(low + LONG, last + 1))
+            size = i - at[:, None]
+            off = (total[i] - total[at][:, None]) / np.maximum(size, 1) - centres[g]
+            each = np.where(size > 0, cost[:, None] + np.abs(off), np.inf)
+            best = np.argmin(each, axis=0)
+            least = each[best, np.arange(len(i))]
+            near = np.isfinite(least) & (least <= bound)
+            ends.append(i[near])
+            begins.append(at[best[near]])
+            costs.append(least[near])
+            if sense and size[-1, -1] > 0 and (sense * off[:, -1] > (error if most else bound - cost + error)).all():
+                break
+        at, begun, cost = np.concatenate(ends), np.concatenate(begins), np.concatenate(costs)
+        if most and len(at) > most:
+            few = np.sort(np.argpartition(cost, most)[:most])
+            at, begun, cost = at[few], begun[few], cost[few]
+        found.append((at.astype(np.int32), begun.astype(np.int32)))
+    return found, float(cost[-1])
+
+
 def partition_arrays(values: Column, centres: list[float]) -> Column:
     """array<long>: the group of each of a row's ordered values. Rows of one length are worked out together."""
     fixed = np.array(centres)
@@ -104,13 +162,11 @@ def line_numbers(down: Column, tolerance: float) -> Column:
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         def one(y: np.ndarray) -> np.ndarray:
-            out, at, line = np.zeros(len(y), np.int32), 0, 0
-            while at < len(y):
-                apart = np.abs(y[at:] - y[at]) > tolerance
-                stop = at + int(apart.argmax()) if apart.any() else len(y)
-                line += 1
-                out[at:stop] = line
-                at = stop
+            out, line, first = np.zeros(len(y), np.int32), 0, 0.0
+            for i, v in enumerate(y.tolist()):
+                if not line or abs(v - first) > tolerance:
+                    line, first = line + 1, v
+                out[i] = line
             return out
 
         for column in batches:

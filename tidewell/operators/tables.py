@@ -77,14 +77,25 @@ def assemble(fragments: DataFrame, shape: Shape, carry: bool = False, tolerance:
         pages = pages.withColumn(f"{name}__", own(name))
         pages = pages.withColumn(f"{name}__at", layout.partition_to(F.transform(f"{name}__", lambda c: c["y"]), F.col("centres")))
     pages = with_marks(pages, shape) if shape.mark else pages.withColumn("labels", F.array().cast("array<string>")).withColumn("labels__at", F.array().cast("array<bigint>"))
-    rows = pages.select("*", F.posexplode("anchors").alias("i", "a"))
+    label = F.when(F.size("labels") == 1, F.col("labels")[0])
+    category = lambda i: label.when((F.size("labels") > 1) & (F.size("centres") >= F.size("labels")), F.get("labels", F.get("labels__at", i).cast("int")))
+    # Rows and what stands in them go apart, so that nothing of a page is copied for each of its rows.
+    kind = "array<struct<i:bigint,y:double,section:string,category:string,column:string,n:int,text:string>>"
+    none = F.lit(None)
+    anchors = F.transform("anchors", lambda a, i: F.struct(i, a["y"], a["section"], F.coalesce(category(i), F.lit(UNKNOWN)), none, none, none)).cast(kind)
+
+    def within(name: str) -> Column:
+        zipped = F.arrays_zip(F.col(f"{name}__").alias("c"), F.col(f"{name}__at").alias("g"))
+        return F.transform(zipped, lambda z, n: F.struct(z["g"], none, none, none, F.lit(name), n, z["c"]["text"])).cast(kind)
+
+    rows = pages.select(*at, F.inline(F.concat(anchors, *[within(name) for name in shape.columns]))).groupBy(*at, "i")
 
     def text(name: str) -> Column:
-        zipped = F.filter(F.arrays_zip(F.col(f"{name}__").alias("c"), F.col(f"{name}__at").alias("g")), lambda z: z["g"] == F.col("i"))
-        return F.regexp_replace(F.array_join(F.transform(zipped, lambda z: z["c"]["text"]), ""), r"\s+", "").alias(name)
+        parts = F.sort_array(F.collect_list(F.when(F.col("column") == name, F.struct("n", "text"))))
+        return F.regexp_replace(F.array_join(F.transform(parts, lambda p: p["text"]), ""), r"\s+", "").alias(name)
 
-    category = F.when(F.size("labels") == 1, F.col("labels")[0]).when((F.size("labels") > 1) & (F.size("centres") >= F.size("labels")), F.get("labels", F.get("labels__at", F.col("i")).cast("int")))
-    return rows.select(*at, (F.col("i") + 1).alias("row"), "a.y", "a.section", F.coalesce(category, F.lit(UNKNOWN)).alias("category"), *[text(name) for name in shape.columns])
+    made = rows.agg(F.max("y").alias("y"), F.max("section").alias("section"), F.max("category").alias("category"), *[text(name) for name in shape.columns])
+    return made.select(*at, (F.col("i") + 1).cast("int").alias("row"), "y", "section", "category", *shape.columns)
 
 
 def with_marks(pages: DataFrame, shape: Shape) -> DataFrame:
