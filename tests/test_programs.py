@@ -1,9 +1,10 @@
 import io
+import time
 import zipfile
 
 from pyspark.sql import functions as F
 
-from tidewell.operators import notices
+from tidewell.operators import assembly, notices
 from tidewell.operators.results import Store
 from tidewell.plans import programs
 from tidewell.sources import documents
@@ -91,3 +92,13 @@ def test_field_run(spark, tmp_path):
     worked, found = programs.field_run(store, spark.createDataFrame(again, kinds), "1", names, ("A",))
     assert worked == 1 and {r.url: [f.value for f in r.facts] for r in found.collect()}["b"] == ["第五届"]
     assert programs.field_run(store, spark.createDataFrame(again, kinds), "1", names, ("A",))[0] == 0
+
+
+def test_names_many_times(spark):
+    """Equal names and numbers pair once each: 4 billion pairs of rows before."""
+    rows = spark.range(60000).select(F.col("id").alias("row_id"), (F.col("id") % 2).cast("int").alias("no"), F.when(F.col("id") < 7, "other").otherwise("Red Widget").alias("name"))
+    names = spark.range(60000).select(F.col("id").alias("name_id"), F.when(F.col("id") % 3 == 0, 1).alias("no"), F.when(F.col("id") % 3 == 1, "the red widget").when(F.col("id") % 6 == 2, "widget").otherwise("other").alias("name"))
+    began = time.time()
+    got = assembly.match_names(rows, names).groupBy(F.col("name_id") % 6, "row_id").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 10000), (1, 7, 10000), (2, 7, 10000), (3, 1, 10000), (4, 7, 10000), (5, 0, 10000)]
+    assert time.time() - began < 60

@@ -73,20 +73,22 @@ def match_names(rows: DataFrame, names: DataFrame, least: int = 6, gram: int = 6
     """name_id, row_id: for each name (name_id, name, no) the first row (row_id, name, no) that has its number, else the
     first whose normalised name is equal or holds it or is held by it, both of `least` characters or more.
 
-    Names that contain one another share their runs of `gram` characters, so candidates come from an equi-join on the
-    first run of the shorter one among all runs of the longer; nothing is compared with everything.
+    Equal numbers and equal normalised names are one each before anything is joined, the first of their rows standing
+    for all. Names that contain one another share their runs of `gram` characters, so candidates come from an equi-join
+    on the first run of the shorter one among all runs of the longer; nothing is compared with everything.
     """
-    rows = rows.select("row_id", F.col("no").alias("row_no"), text.normal_name(F.col("name")).alias("r"))
     names = names.select("name_id", F.col("no").alias("want"), text.normal_name(F.col("name")).alias("n"))
-    numbered = names.join(rows, F.col("want") == F.col("row_no")).groupBy("name_id").agg(F.min("row_id").alias("row_id"))
+    first = F.min("row_id").alias("row_id")
+    numbered = names.join(rows.groupBy(F.col("no").alias("want")).agg(first), "want").groupBy("name_id").agg(first)
     runs = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - gram + 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(gram))))
     head = lambda c: F.substring(c, 1, gram)
     rest = names.join(numbered, "name_id", "left_anti")
-    long_rows, long_names = rows.filter(F.length("r") >= least), rest.filter(F.length("n") >= least)
-    equal = rest.join(rows, F.col("n") == F.col("r")).select("name_id", "row_id")
-    held = long_names.withColumn("g", F.explode(runs(F.col("n")))).join(long_rows.withColumn("g", head(F.col("r"))), "g").filter(F.contains("n", "r")).select("name_id", "row_id")
-    holds = long_names.withColumn("g", head(F.col("n"))).join(long_rows.withColumn("g", F.explode(runs(F.col("r")))), "g").filter(F.contains("r", "n")).select("name_id", "row_id")
-    named = equal.unionByName(held).unionByName(holds).groupBy("name_id").agg(F.min("row_id").alias("row_id"))
+    called, wanted = rows.groupBy("name").agg(first).groupBy(text.normal_name(F.col("name")).alias("r")).agg(first), rest.select("n").distinct()
+    long_rows, long_names = called.filter(F.length("r") >= least), wanted.filter(F.length("n") >= least)
+    equal = wanted.join(called, F.col("n") == F.col("r")).select("n", "row_id")
+    held = long_names.withColumn("g", F.explode(runs(F.col("n")))).join(long_rows.withColumn("g", head(F.col("r"))), "g").filter(F.contains("n", "r")).select("n", "row_id")
+    holds = long_names.withColumn("g", head(F.col("n"))).join(long_rows.withColumn("g", F.explode(runs(F.col("r")))), "g").filter(F.contains("r", "n")).select("n", "row_id")
+    named = rest.join(equal.unionByName(held).unionByName(holds).groupBy("n").agg(first), "n").groupBy("name_id").agg(first)
     return numbered.unionByName(named)
 
 
